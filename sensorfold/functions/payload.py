@@ -1,11 +1,16 @@
 """Column expressions that take a wire payload apart. No Python runs per row."""
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # What a JSON number, or a quoted integer, can be written with.
 NUMBER_CHARS = "+-.0123456789eE"
 
+# A line break needs a backslash inside a JSON string.
+MARKER = "\n"
+
 
 def strip_backslashes(payload: Column) -> Column:
     """Remove every backslash. A literal replace; no regex engine per row."""
@@ -22,13 +27,13 @@ def payload_body(payload: Column) -> Column:
 
 
 def parse_body(body: Column) -> Column:
-    """Parse the body as one element of an enclosing JSON array; NULL if malformed.
+    """Parse the body as the first of two elements of a JSON array; NULL if malformed.
 
-    The JSON parser stops at the end of the first value. Inside the extra brackets,
-    text after that value either breaks the syntax or becomes a second element,
-    which ``reading_candidate`` looks for.
+    Alone, a JSON parser stops at the end of the first value and ignores what follows. The
+    second element is a marker that no body can spell, since bodies have no backslashes. If
+    the marker comes out right after the body's value, the body was that one value.
     """
-    return F.try_parse_json(F.concat(F.lit("["), body, F.lit("]")))
+    return F.try_parse_json(F.concat(F.lit("["), body, F.lit(f",{json.dumps(MARKER)}]")))
 
 
 def reading_candidate(parsed: Column) -> Column:
@@ -44,7 +49,7 @@ def reading_candidate(parsed: Column) -> Column:
         F.try_variant_get(
             parsed, first, "struct<meaning:variant,value:string,received:string>"
         ).alias("seen"),
-        F.try_variant_get(parsed, "$[1]", "variant").isNull().alias("alone"),
+        (F.try_variant_get(parsed, "$[1]", "string") == MARKER).alias("alone"),
     )
 
 

@@ -38,12 +38,12 @@ def co_group_only(
         aggregates.append(
             F.struct(
                 F.count_if(here).alias("n"),
-                F.any_value(F.when(here, F.struct(F.col(tag).alias("v"))), True).alias("only"),
+                F.any_value(F.when(here, F.col(tag)), True).alias("only"),
             ).alias(f"_{tag}")
         )
     grouped = _stack(inputs, keys, value).groupBy(*keys).agg(*aggregates)
     checked = [
-        F.when(F.col(f"_{tag}.n") == 1, F.col(f"_{tag}.only.v"))
+        F.when(F.col(f"_{tag}.n") == 1, F.col(f"_{tag}.only"))
         .otherwise(
             F.raise_error(
                 F.concat(
