@@ -1,0 +1,186 @@
+"""Provisioning, appending, batch runs and message sources."""
+
+import datetime as dt
+import uuid
+
+import pytest
+from pyspark import StorageLevel
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from sensorfold.operators import agg_rows, extract_readings, raw_rows, windowed_stats
+from sensorfold.plans import compare_tables, reduce_tables, run_batch
+from sensorfold.schemas import AGG_SCHEMA, MESSAGE_SCHEMA, RAW_SCHEMA
+from sensorfold.session import configure_session, work_dir
+from sensorfold.sources import (
+    append_rows,
+    broker_records,
+    ensure_table,
+    event_messages,
+    read_messages,
+    readings_from_raw,
+    text_messages,
+)
+
+SF = "/root/testdata/sf0.001"
+
+
+def fresh(prefix="t"):
+    return f"{prefix}_{uuid.uuid4().hex}"
+
+
+@pytest.fixture
+def messages(spark):
+    return event_messages(spark.read.parquet(f"{SF}/events.parquet"))
+
+
+# --- tables ---------------------------------------------------------------------------
+
+
+def test_create_then_reopen(spark):
+    name = f"telemetry_test.{fresh()}"
+    assert ensure_table(spark, name, RAW_SCHEMA) is True
+    assert ensure_table(spark, name, RAW_SCHEMA) is False
+    assert spark.table(name).dtypes == [(f.name, f.dataType.simpleString()) for f in RAW_SCHEMA]
+
+
+def test_create_at_a_location(spark, tmp_path):
+    name = fresh()
+    ensure_table(spark, name, RAW_SCHEMA, f"{tmp_path}/it's here")
+    spark.sql(f"INSERT INTO {name} VALUES ('a', 1, 2, TIMESTAMP '2024-01-01')")
+    assert spark.read.parquet(f"{tmp_path}/it's here").count() == 1
+
+
+@pytest.mark.parametrize(
+    "schema",
+    [
+        T.StructType(RAW_SCHEMA.fields[:-1]),
+        T.StructType(list(reversed(RAW_SCHEMA.fields))),
+        T.StructType([T.StructField("measure", T.StringType()), T.StructField("value", T.IntegerType()), *RAW_SCHEMA.fields[2:]]),
+        AGG_SCHEMA,
+    ],
+)
+def test_refuse_another_schema(spark, schema):
+    name = fresh()
+    ensure_table(spark, name, RAW_SCHEMA)
+    with pytest.raises(RuntimeError, match="expected: .* actual: .*"):
+        ensure_table(spark, name, schema)
+
+
+def test_unset_name_or_schema_is_skipped(spark):
+    name = fresh()
+    assert ensure_table(spark, None, RAW_SCHEMA) is False
+    assert ensure_table(spark, name, None) is False
+    assert not spark.catalog.tableExists(name)
+
+
+def test_append_is_by_name(spark):
+    name = fresh()
+    ensure_table(spark, name, RAW_SCHEMA)
+    row = spark.sql(
+        "SELECT TIMESTAMP '2024-01-01' AS window_timestamp, 5L AS received, 3L AS value, 'm' AS measure"
+    )
+    append_rows(row, name)
+    append_rows(row, name)
+    assert spark.table(name).count() == 2
+    first = spark.table(name).first()
+    assert (first["measure"], first["value"], first["received"]) == ("m", 3, 5)
+
+
+# --- batch ----------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("keep", [None, StorageLevel.DISK_ONLY])
+def test_run_batch_fills_both_tables(spark, messages, keep):
+    raw, agg = fresh(), fresh()
+    run_batch(messages, raw, agg, "1 hour", keep=keep)
+    readings = extract_readings(messages)
+    for table, rows in ((raw, raw_rows(readings)), (agg, agg_rows(windowed_stats(readings, "1 hour")))):
+        stored = spark.table(table)
+        assert stored.exceptAll(rows).isEmpty() and rows.exceptAll(stored).isEmpty()
+    assert spark.table(agg).agg(F.sum("cnt")).first()[0] == spark.table(raw).count()
+    assert compare_tables(spark, raw, agg).count() == 10
+    report = reduce_tables(spark, raw, agg).first()
+    assert report["raw_rows"] == 1000 and report["agg_rows"] == spark.table(agg).count()
+
+
+@pytest.mark.parametrize("left_out", ["raw", "agg"])
+def test_run_batch_leaves_out_an_unset_table(spark, messages, left_out):
+    name = fresh()
+    raw, agg = (None, name) if left_out == "raw" else (name, None)
+    run_batch(messages, raw, agg)
+    assert spark.table(name).count() > 0
+
+
+def test_raw_table_gives_the_same_windows(spark, messages):
+    raw = fresh()
+    run_batch(messages, raw, None)
+    again = agg_rows(windowed_stats(readings_from_raw(spark, raw)))
+    direct = agg_rows(windowed_stats(extract_readings(messages)))
+    assert again.exceptAll(direct).isEmpty() and direct.exceptAll(again).isEmpty()
+
+
+# --- sources --------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("format", ["parquet", "orc", "json"])
+@pytest.mark.parametrize("streaming", [False, True])
+def test_tabular_formats(spark, messages, tmp_path, format, streaming):
+    rows = messages.select("payload", "publish_ts")
+    rows.write.format(format).save(f"{tmp_path}/m")
+    got = read_messages(spark, f"{tmp_path}/m", streaming, format)
+    assert got.isStreaming is streaming
+    assert got.dtypes == [(f.name, f.dataType.simpleString()) for f in MESSAGE_SCHEMA]
+    if not streaming:
+        assert extract_readings(got).count() == 1000
+
+
+def test_text_lines_are_published_when_their_file_was_written(spark, tmp_path):
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m" / "a.txt").write_text("'[{\"meaning\":\"a\",\"value\":1,\"received\":2}]'\njunk\n")
+    got = extract_readings(read_messages(spark, f"{tmp_path}/m", format="text")).collect()
+    assert [(r["measure"], r["value"], r["received"]) for r in got] == [("a", 1, 2)]
+    assert abs(got[0]["publish_ts"].timestamp() - (tmp_path / "m" / "a.txt").stat().st_mtime) < 86_400
+
+
+def test_table_source(spark, messages):
+    name = fresh()
+    messages.select("payload", F.col("publish_ts").cast("timestamp_ntz").alias("publish_ts")).write.saveAsTable(name)
+    assert read_messages(spark, name, format="table").dtypes[1] == ("publish_ts", "timestamp")
+    assert read_messages(spark, name, True, "table").isStreaming
+
+
+def test_broker_records(spark):
+    ts = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(bytearray(b"abc"), ts)], "value binary, timestamp timestamp")
+    assert tuple(broker_records(df).first()) == ("abc", ts)
+
+
+def test_unknown_format(spark):
+    with pytest.raises(ValueError, match="unknown message format"):
+        read_messages(spark, "x", format="xml")
+
+
+def test_replay_touches_every_row(spark, messages):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert messages.groupBy("origin").count().orderBy("origin").collect() == [("reading", 1000), ("status", 1000)]
+    texts = text_messages(docs)
+    assert texts.where("payload IS NULL").isEmpty()
+    assert texts.agg(F.sum(F.length("payload"))).first() == docs.agg(F.sum(F.length("text"))).first()
+
+
+# --- session --------------------------------------------------------------------------
+
+
+def test_configure_session_is_repeatable(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    width = spark.conf.get(key)
+    configure_session(spark)
+    assert spark.conf.get(key) == width
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_work_dir_is_under_the_shared_folder_and_new(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    first, second = work_dir(spark), work_dir(spark)
+    assert first.startswith(shared + "/") and second.startswith(shared + "/") and first != second
