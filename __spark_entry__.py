@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from sensorfold.functions import payload_body  # noqa: E402
 from sensorfold.operators import (  # noqa: E402
     agg_rows,
     assign_window,
@@ -37,12 +36,14 @@ from sensorfold.operators import (  # noqa: E402
     summary_agg,
     summary_raw,
     token_counts,
+    unescape_payload,
     windowed_stats,
 )
 from sensorfold.plans import compare_tables, reduce_tables, run_batch  # noqa: E402
 from sensorfold.schemas import AGG_SCHEMA, RAW_SCHEMA  # noqa: E402
 from sensorfold.session import configure_session, work_dir  # noqa: E402
 from sensorfold.sources import (  # noqa: E402
+    deal_out,
     ensure_table,
     event_messages,
     text_messages,
@@ -61,7 +62,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_messages(_table(spark, sf_dir, "events"))
+    return event_messages(deal_out(_table(spark, sf_dir, "events")))
 
 
 def _mixed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,8 +97,8 @@ def _plain_raw(rows: DataFrame) -> DataFrame:
 
 
 def q_unescape_payload(spark, sf_dir):
-    body = payload_body(F.col("payload")).alias("body")
-    return _mixed_messages(spark, sf_dir).select("origin", "message_id", body)
+    bodies = unescape_payload(_mixed_messages(spark, sf_dir))
+    return bodies.select("origin", "message_id", "body")
 
 
 def q_extract_readings(spark, sf_dir):
@@ -255,7 +256,7 @@ def q_stream_agg_append(spark, sf_dir):
 
 
 def q_tokenize_letters(spark, sf_dir):
-    return token_counts(_table(spark, sf_dir, "documents"), "lang")
+    return token_counts(deal_out(_table(spark, sf_dir, "documents")), "lang")
 
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -1,8 +1,8 @@
 from sensorfold.functions.payload import (
     is_reading,
     parse_body,
-    payload_body,
     reading_candidate,
+    slice_body,
     strip_backslashes,
     wire_quote,
 )
@@ -16,8 +16,8 @@ __all__ = [
     "last_milli",
     "letter_tokens",
     "parse_body",
-    "payload_body",
     "reading_candidate",
+    "slice_body",
     "strip_backslashes",
     "wire_quote",
 ]

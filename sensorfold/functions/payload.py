@@ -5,9 +5,6 @@ import json
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# What a JSON number, or a quoted integer, can be written with.
-NUMBER_CHARS = "+-.0123456789eE"
-
 # A line break needs a backslash inside a JSON string.
 MARKER = "\n"
 
@@ -17,12 +14,8 @@ def strip_backslashes(payload: Column) -> Column:
     return F.replace(payload, F.lit("\\"), F.lit(""))
 
 
-def payload_body(payload: Column) -> Column:
-    """Drop backslashes, then the first and last character, whatever they are.
-
-    NULL when fewer than two characters are left.
-    """
-    text = strip_backslashes(payload)
+def slice_body(text: Column) -> Column:
+    """Drop the first and last character, whatever they are; NULL if there are not two."""
     return F.when(F.length(text) >= 2, F.substr(text, F.lit(2), F.length(text) - 2))
 
 
@@ -37,40 +30,48 @@ def parse_body(body: Column) -> Column:
 
 
 def reading_candidate(parsed: Column) -> Column:
-    """All that ``is_reading`` needs to know of the array's first element.
+    """The first array element's fields, as typed values and as text, and the marker.
 
-    ``typed`` is the reading itself; ``seen`` is how the same fields were spelled.
+    Single fields cost less to extract than a struct of them.
     """
-    first = "$[0][0]"
+
+    def field(name: str, as_type: str) -> Column:
+        return F.try_variant_get(parsed, f"$[0][0].{name}", as_type)
+
     return F.struct(
-        F.try_variant_get(
-            parsed, first, "struct<meaning:string,value:int,received:bigint>"
-        ).alias("typed"),
-        F.try_variant_get(
-            parsed, first, "struct<meaning:variant,value:string,received:string>"
-        ).alias("seen"),
-        (F.try_variant_get(parsed, "$[1]", "string") == MARKER).alias("alone"),
+        field("meaning", "string").alias("measure"),
+        field("value", "int").alias("value"),
+        field("received", "bigint").alias("received"),
+        field("value", "string").alias("value_text"),
+        field("received", "string").alias("received_text"),
+        F.try_variant_get(parsed, "$[1]", "string").alias("marker"),
     )
 
 
-def is_reading(candidate: Column) -> Column:
+def _spelled_as_number(text: Column) -> Column:
+    """Told by the ends alone: what lies between has already been read as a number."""
+    return (text >= "+") & (text < ":") & F.right(text, F.lit(1)).between("0", "9")
+
+
+def is_reading(candidate: Column, parsed: Column) -> Column:
     """True for a complete reading, False (never NULL) for anything else.
 
-    Casting a variant is more generous than the wire format: it takes ``true`` for 1,
-    trims quoted numbers, and renders an object or array as text.
+    Extracting from a variant is more generous than the wire format: it takes ``true`` for
+    1, trims quoted numbers, and renders an object or array as text.
     """
-    typed, seen = candidate["typed"], candidate["seen"]
+    measure = candidate["measure"]
     complete = (
-        typed["meaning"].isNotNull() & typed["value"].isNotNull() & typed["received"].isNotNull()
+        measure.isNotNull() & candidate["value"].isNotNull() & candidate["received"].isNotNull()
     )
-    numeric = (F.translate(seen["value"], NUMBER_CHARS, "") == "") & (
-        F.translate(seen["received"], NUMBER_CHARS, "") == ""
+    alone = candidate["marker"] == MARKER
+    numeric = _spelled_as_number(candidate["value_text"]) & _spelled_as_number(
+        candidate["received_text"]
     )
     scalar_name = F.when(
-        F.left(typed["meaning"], F.lit(1)).isin("{", "["),
-        F.schema_of_variant(seen["meaning"]) == "STRING",
+        F.left(measure, F.lit(1)).isin("{", "["),
+        F.schema_of_variant(F.try_variant_get(parsed, "$[0][0].meaning", "variant")) == "STRING",
     ).otherwise(F.lit(True))
-    return F.coalesce(complete & candidate["alone"] & numeric & scalar_name, F.lit(False))
+    return F.coalesce(complete & alone & numeric & scalar_name, F.lit(False))
 
 
 def wire_quote(text: Column) -> Column:

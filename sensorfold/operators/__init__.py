@@ -4,6 +4,7 @@ from sensorfold.operators.extract import (
     extract_readings,
     parse_messages,
     rejected_messages,
+    unescape_payload,
 )
 from sensorfold.operators.rows import agg_rows, key_value, raw_rows
 from sensorfold.operators.summary import (
@@ -47,5 +48,6 @@ __all__ = [
     "summary_raw",
     "token_counts",
     "tokenize_letters",
+    "unescape_payload",
     "windowed_stats",
 ]

@@ -6,28 +6,38 @@ from pyspark.sql import functions as F
 from sensorfold.functions.payload import (
     is_reading,
     parse_body,
-    payload_body,
     reading_candidate,
+    slice_body,
+    strip_backslashes,
 )
 
 
+def unescape_payload(messages: DataFrame) -> DataFrame:
+    """Replace ``payload`` by ``body``: no backslashes, and no first and last character."""
+    kept = [c for c in messages.columns if c != "payload"]
+    unescaped = messages.select("*", strip_backslashes(F.col("payload")).alias("_text"))
+    return unescaped.select(*kept, slice_body(F.col("_text")).alias("body"))
+
+
 def parse_messages(messages: DataFrame) -> DataFrame:
     """Add ``measure, value, received, valid`` to every message; drops none.
 
-    The candidate goes through ``explode`` of a one-element array on purpose: a filter
-    on a plain projection would be pushed below it, and the payload would be parsed
-    again in every conjunct of the filter. A generator is a barrier, so one parse it is.
+    Each step is its own projection, so that no step is computed twice. The candidate goes
+    through ``explode`` of a one-element array on purpose: a filter on a plain projection
+    would be pushed below it, and the payload would be parsed again in every conjunct of the
+    filter. A generator is a barrier, so one parse it is.
     """
-    parsed = messages.select("*", parse_body(payload_body(F.col("payload"))).alias("_json"))
-    candidates = parsed.select(
-        *messages.columns, F.explode(F.array(reading_candidate(F.col("_json")))).alias("_c")
+    kept = messages.columns
+    bodies = unescape_payload(messages.select("*", F.col("payload").alias("_payload")))
+    candidates = (
+        bodies.withColumnRenamed("_payload", "payload")
+        .select(*kept, parse_body(F.col("body")).alias("_json"))
+        .select(*kept, "_json", F.explode(F.array(reading_candidate(F.col("_json")))).alias("_c"))
     )
     return candidates.select(
-        *messages.columns,
-        F.col("_c.typed.meaning").alias("measure"),
-        F.col("_c.typed.value").alias("value"),
-        F.col("_c.typed.received").alias("received"),
-        is_reading(F.col("_c")).alias("valid"),
+        *kept,
+        *[F.col(f"_c.{name}").alias(name) for name in ("measure", "value", "received")],
+        is_reading(F.col("_c"), F.col("_json")).alias("valid"),
     )
 
 

@@ -48,3 +48,16 @@ def read_messages(
     else:
         rows = reader.format(format).schema(MESSAGE_SCHEMA).load(source)
     return rows.select("payload", F.col("publish_ts").cast("timestamp").alias("publish_ts"))
+
+
+def deal_out(rows: DataFrame) -> DataFrame:
+    """Spread an input that has fewer splits than the cluster has cores.
+
+    Parsing is the costly step, and a file of one row group is one task however many cores
+    are idle. An input with a split per core, which any large one has, is left alone: no
+    shuffle is added. Streams are left alone too.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if rows.isStreaming or rows.rdd.getNumPartitions() >= cores:
+        return rows
+    return rows.repartition(cores)

@@ -4,12 +4,13 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from sensorfold.functions import payload_body, wire_quote
+from sensorfold.functions import wire_quote
 from sensorfold.operators import (
     count_messages,
     extract_readings,
     parse_messages,
     rejected_messages,
+    unescape_payload,
 )
 from sensorfold.schemas import MESSAGE_SCHEMA
 
@@ -132,15 +133,16 @@ def test_decision(parsed, i):
     [("abc", "b"), ("ab", ""), ("a", None), ("", None), ("\\a\\b\\c\\", "b"), ("é✓😀x", "✓😀")],
 )
 def test_body(spark, payload, body):
-    row = spark.createDataFrame([(payload,)], "payload string").select(payload_body(F.col("payload")))
-    assert row.first()[0] == body
+    df = unescape_payload(spark.createDataFrame([(payload,)], "payload string"))
+    assert df.columns == ["body"]
+    assert df.first()[0] == body
 
 
 def test_wire_quote_is_undone_by_the_body(spark):
     texts = [('[{"k":"v"}]',), ("plain",), ("",)]
     df = spark.createDataFrame(texts, "t string")
-    back = df.select(payload_body(wire_quote(F.col("t")))).collect()
-    assert [r[0] for r in back] == [t[0] for t in texts]
+    back = unescape_payload(df.select(wire_quote(F.col("t")).alias("payload"))).collect()
+    assert [r["body"] for r in back] == [t[0] for t in texts]
 
 
 def test_every_message_is_either_a_reading_or_rejected(spark):

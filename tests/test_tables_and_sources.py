@@ -15,6 +15,7 @@ from sensorfold.session import configure_session, work_dir
 from sensorfold.sources import (
     append_rows,
     broker_records,
+    deal_out,
     ensure_table,
     event_messages,
     read_messages,
@@ -184,3 +185,11 @@ def test_work_dir_is_under_the_shared_folder_and_new(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = work_dir(spark), work_dir(spark)
     assert first.startswith(shared + "/") and second.startswith(shared + "/") and first != second
+
+
+def test_few_splits_are_dealt_out_and_many_are_left_alone(spark):
+    few, many = spark.range(0, 100, 1, 2), spark.range(0, 100, 1, 64)
+    dealt = deal_out(few)
+    assert dealt.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert dealt.exceptAll(few).isEmpty() and dealt.count() == 100
+    assert deal_out(many) is many
