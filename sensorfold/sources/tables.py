@@ -55,5 +55,8 @@ def readings_from_raw(spark: SparkSession, table: str, streaming: bool = False)
     """
     rows = (spark.readStream if streaming else spark.read).table(table)
     return rows.select(
-        "measure", "value", "received", F.col("window_timestamp").alias("publish_ts")
+        "measure",
+        F.col("value").cast("int").alias("value"),
+        "received",
+        F.col("window_timestamp").alias("publish_ts"),
     )
