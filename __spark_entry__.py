@@ -51,6 +51,14 @@ from sensorfold.sources import (  # noqa: E402
 )
 from sensorfold.streaming import start_aggregate, start_raw, wait_all  # noqa: E402
 
+try:
+    from sensorfold.llm import registry as _llm  # noqa: E402
+except ModuleNotFoundError as missing:
+    # Only the subpackage itself may be absent; a fault inside it must show.
+    if missing.name not in ("sensorfold.llm", "corpus_pipeline"):
+        raise
+    _llm = None
+
 HOUR = "1 hour"
 
 
@@ -303,6 +311,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_raw_append": q_stream_raw_append,
         "stream_agg_append": q_stream_agg_append,
         "tokenize_letters": q_tokenize_letters,
+        **(_llm.queries() if _llm else {}),
     }
 
 
@@ -427,4 +436,5 @@ WHERE ts < (SELECT strftime(max(ts), '%Y-%m-%dT%H:%M:%S.%gZ') FROM readings)""",
   SELECT lang, count(*) AS n_tokens, count(DISTINCT token) AS n_distinct
   FROM (SELECT lang, unnest(string_split_regex(text, '[^\p{L}]+')) AS token FROM documents)
   WHERE token <> '' GROUP BY lang""",
+        **(_llm.oracle_sql() if _llm else {}),
     }
