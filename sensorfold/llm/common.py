@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +31,26 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package's source to the executors, once per application.
+
+    Tasks import the package by name; nothing has to be installed where they run.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="ship-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """``df`` computed once into the shared checkpoint folder; later reads survive lost executors."""
     spark = df.sparkSession

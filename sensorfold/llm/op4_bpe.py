@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import ship
+
 #: Characters per segment of a long text.
 SEGMENT = 16_384
 #: Bytes from which a single word is halved.
@@ -318,6 +320,7 @@ def encode_documents(
     row, and its ids one task.
     """
     path = path or vocabulary_path()
+    ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(
         F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")
