@@ -173,7 +173,7 @@ def classify(
     own. Empty and null texts have no evidence, so their site alone decides. Rows that repeat an id each get a row.
     """
     host, path = F.col(host_col), F.col(path_col)
-    told, _, sites, rate, _ = _scored(docs, labels, id_col, text_col, host, path, quality_col, train_rows, soft)
+    told, model, sites, rate, _ = _scored(docs, labels, id_col, text_col, host, path, quality_col, train_rows, soft)
     sites = sites.withColumnsRenamed({"_host": "_sh", "_path": "_sp"})
     at_site = F.col("_host").eqNullSafe(F.col("_sh")) & F.col("_path").eqNullSafe(F.col("_sp"))
     share = F.col("_words") / (F.col("_words") + HALF_WORDS)
