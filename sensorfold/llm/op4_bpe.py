@@ -179,16 +179,16 @@ class Codec:
         return ids, np.cumsum(sizes) - sizes
 
     def join(self, left: tuple, right: tuple) -> tuple:
-        """``(text, ids, word starts)`` of two neighbouring parts as one.
+        """``(ids, word starts)`` of two neighbouring parts as one.
 
         A word of the left part that ends before the part's end is a word of the whole text:
         what ended it was seen. Special tokens can straddle the cut, so the window begins a
         special token's length before it, and a common start counts only that far before the
         window's end (unless the right part ends there too).
         """
-        (ltext, lids, lstarts), (rtext, rids, rstarts) = left, right
+        (lids, lstarts), (rids, rstarts) = left, right
         if not len(lids) or not len(rids):
-            return (ltext + rtext, *((rids, rstarts) if not len(lids) else (lids, lstarts)))
+            return left if len(lids) else right
         lat = np.concatenate([[0], np.cumsum(self.length_of[lids])])
         rat = np.concatenate([[0], np.cumsum(self.length_of[rids])])
         safe = np.flatnonzero(lat[lstarts] < lat[-1] - 2 * self.reach)
@@ -226,7 +226,7 @@ class Codec:
             first + np.cumsum(sizes) - sizes,
             rstarts[rstarts >= keep] - keep + first + len(mid_ids),
         ]).astype(np.int64)
-        return ltext + rtext, ids, starts
+        return ids, starts
 
     def _across(self, word: str, at: int, tail: bytes, lids, lstarts, rids, rstarts) -> list[int]:
         """Ids of a word of a window; a long one across the cut from what both sides have."""
@@ -275,8 +275,9 @@ def _leaves(path: str) -> Callable:
         coder = codec(path)
         for batch in batches:
             done = [coder.segment(t) for t in batch["_part"]]
-            yield batch.assign(
-                _ids=[ids.tobytes() for ids, _ in done], _starts=[s.tobytes() for _, s in done]
+            yield batch.drop(columns="_part").assign(
+                _ids=[ids.tobytes() for ids, _ in done],
+                _starts=[s.astype(np.uint32).tobytes() for _, s in done],
             )
 
     return run
@@ -288,15 +289,15 @@ def _joined(path: str, with_ids: bool) -> Callable:
         times = int((group["_seg"] == 0).sum())  # rows that repeat id and text
         one = group.drop_duplicates("_seg").sort_values("_seg")
         level = [
-            (t, np.frombuffer(i, dtype=np.uint32), np.frombuffer(s, dtype=np.int64))
-            for t, i, s in zip(one["_part"], one["_ids"], one["_starts"], strict=True)
+            (np.frombuffer(i, dtype=np.uint32), np.frombuffer(s, dtype=np.uint32).astype(np.int64))
+            for i, s in zip(one["_ids"], one["_starts"], strict=True)
         ]
         while len(level) > 1:
             level = [
                 coder.join(*level[k : k + 2]) if k + 1 < len(level) else level[k]
                 for k in range(0, len(level), 2)
             ]
-        row = _result(coder, level[0][1], with_ids)
+        row = _result(coder, level[0][0], with_ids)
         return pd.DataFrame([row | {"_id": one["_id"].iloc[0]}] * times)
 
     return run
@@ -344,7 +345,7 @@ def encode_documents(
     )
     width_now = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     leaves = long.repartition(width_now, "_id", "_key", "_seg").mapInPandas(
-        _leaves(path), f"_id {kind}, _key string, _seg int, _part string, _ids binary, _starts binary"
+        _leaves(path), f"_id {kind}, _key string, _seg int, _ids binary, _starts binary"
     )
     whole = leaves.groupBy("_id", "_key").applyInPandas(_joined(path, with_ids), shape)
     return short.unionByName(whole).withColumnRenamed("_id", id_col)
