@@ -7,7 +7,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Marks the characters that separate words (ASCII white space only).
@@ -60,6 +60,37 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Bits of a bitmap of keys: 65,536 words of 64 bits, about 1 MB however many keys it takes.
+BITMAP_BITS = 1 << 22
+
+
+def _slot(key: Column, bits: int) -> tuple[Column, Column]:
+    place = F.pmod(F.xxhash64(key, F.lit(7)), F.lit(bits))
+    return F.floor(place / 64).cast("int"), F.pmod(place, F.lit(64)).cast("int")
+
+
+def bitmap(keys: DataFrame, key: str, bits: int = BITMAP_BITS) -> DataFrame:
+    """The keys as a bitmap of at most ``bits / 64`` rows, for :func:`marked`."""
+    word, bit = _slot(F.col(key), bits)
+    return settled(
+        keys.select(word.alias("_word"), bit.alias("_bit"))
+        .groupBy("_word")
+        .agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_mask"))
+    )
+
+
+def marked(rows: DataFrame, key: Column, keys: DataFrame, name: str, bits: int = BITMAP_BITS) -> DataFrame:
+    """``rows`` with a boolean: false means that ``key`` is certainly not among the keys."""
+    word, bit = _slot(key, bits)
+    hit = F.coalesce(F.expr("(shiftright(_mask, _bit) & 1L) = 1L"), F.lit(False))
+    return (
+        rows.withColumns({"_word": word, "_bit": bit})
+        .join(F.broadcast(keys), "_word", "left")
+        .withColumn(name, hit)
+        .drop("_word", "_bit", "_mask")
+    )
+
+
 def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Smallest node id reachable from each node over undirected edges.
 

@@ -10,43 +10,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, settled
-
-#: Bits of the bitmap that one step hands to the next: 65,536 words of 64 bits, about 1 MB.
-BITMAP_BITS = 1 << 22
-
+from .common import BITMAP_BITS, SPACE, bitmap, marked, settled
 
 def normalised(text: Column) -> Column:
     """Runs of ASCII white space as one space; null counts as empty."""
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " ")
 
 
-def _slot(key: Column, bits: int) -> tuple[Column, Column]:
-    place = F.pmod(F.xxhash64(key, F.lit(7)), F.lit(bits))
-    return F.floor(place / 64).cast("int"), F.pmod(place, F.lit(64)).cast("int")
-
-
-def _repeated(rows: DataFrame, key: Column, bits: int) -> DataFrame:
-    """Bitmap of the keys that occur at least twice: at most ``bits / 64`` rows."""
-    twice = rows.groupBy(key.alias("_k")).count().where("count > 1")
-    word, bit = _slot(F.col("_k"), bits)
-    one = F.expr("shiftleft(1L, _bit)")
-    return settled(
-        twice.select(word.alias("_word"), bit.alias("_bit"))
-        .groupBy("_word")
-        .agg(F.bit_or(one).alias("_mask"))
-    )
-
-
-def _marked(rows: DataFrame, key: Column, bitmap: DataFrame, bits: int, name: str) -> DataFrame:
-    word, bit = _slot(key, bits)
-    hit = F.coalesce(F.expr("(shiftright(_mask, _bit) & 1L) = 1L"), F.lit(False))
-    return (
-        rows.withColumns({"_word": word, "_bit": bit})
-        .join(F.broadcast(bitmap), "_word", "left")
-        .withColumn(name, hit)
-        .drop("_word", "_bit", "_mask")
-    )
+def _repeated(rows: DataFrame, key: str, bits: int) -> DataFrame:
+    """Bitmap of the keys that occur at least twice."""
+    return bitmap(rows.groupBy(key).count().where("count > 1"), key, bits)
 
 
 def exact_groups(
@@ -65,15 +38,13 @@ def exact_groups(
     """
     rows = docs.select(F.col(id_col).alias("_id"), normalised(F.col(text_col)).alias("_text"))
     length = F.length("_text")
-    by_length = _repeated(rows.select(length.alias("_len")), F.col("_len"), bitmap_bits)
-    sized = _marked(rows.withColumn("_len", length), F.col("_len"), by_length, bitmap_bits, "_same_len")
+    by_length = _repeated(rows.select(length.alias("_len")), "_len", bitmap_bits)
+    sized = marked(rows.withColumn("_len", length), F.col("_len"), by_length, "_same_len", bitmap_bits)
 
     prefix = F.xxhash64(F.substring("_text", 1, prefix_chars), "_len")
     keyed = sized.withColumn("_prefix", F.when(F.col("_same_len"), prefix))
-    by_prefix = _repeated(
-        keyed.where("_same_len").select("_prefix"), F.col("_prefix"), bitmap_bits
-    )
-    checked = _marked(keyed, F.col("_prefix"), by_prefix, bitmap_bits, "_same_prefix")
+    by_prefix = _repeated(keyed.where("_same_len").select("_prefix"), "_prefix", bitmap_bits)
+    checked = marked(keyed, F.col("_prefix"), by_prefix, "_same_prefix", bitmap_bits)
 
     digest = F.sha2(F.encode("_text", "UTF-8"), 256).alias("_sha")
     alone = checked.where("NOT _same_prefix").select(
