@@ -323,12 +323,13 @@ def encode_documents(
     path = path or vocabulary_path()
     ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
+    # as text, since pandas would make doubles of integers beside a null
     rows = docs.select(
-        F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")
+        F.col(id_col).cast("string").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")
     )
     shape = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     shape += ", ids array<int>, decoded string" if with_ids else ""
-    shape += f", _id {kind}"
+    shape += ", _id string"
     chars = F.char_length("_text")
     short = rows.where(chars <= segment).mapInPandas(_short(path, with_ids), shape)
 
@@ -345,10 +346,11 @@ def encode_documents(
     )
     width_now = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     leaves = long.repartition(width_now, "_id", "_key", "_seg").mapInPandas(
-        _leaves(path), f"_id {kind}, _key string, _seg int, _ids binary, _starts binary"
+        _leaves(path), "_id string, _key string, _seg int, _ids binary, _starts binary"
     )
     whole = leaves.groupBy("_id", "_key").applyInPandas(_joined(path, with_ids), shape)
-    return short.unionByName(whole).withColumnRenamed("_id", id_col)
+    both = short.unionByName(whole)
+    return both.select(F.col("_id").cast(kind).alias(id_col), *[c for c in both.columns if c != "_id"])
 
 
 def op4_bpe(spark, sf_dir: str) -> DataFrame:

@@ -356,7 +356,8 @@ def similar_documents(
     ship(spark)
     kind = docs.schema[id_col].dataType.simpleString()
     buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    # ids pass through tasks as text, since pandas would make doubles of integers beside a null
+    rows = docs.select(F.col(id_col).cast("string").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
 
     counted = rows.mapInPandas(_count_tokens(width, buckets), "bucket int, data binary")
     each = max(1, frequent // buckets)  # so at most ``frequent`` reach the driver
@@ -367,8 +368,8 @@ def similar_documents(
     known = spark.sparkContext.broadcast((tokens[by_hash], by_hash))
 
     told = settled(rows.mapInPandas(
-        _describe(width, percent, known), f"_id {kind}, n bigint, cls string, grp bigint"
-    ))
+        _describe(width, percent, known), "_id string, n bigint, cls string, grp bigint"
+    ).withColumn("_id", F.col("_id").cast(kind)))
     # a class is known by a number; its text is read from its first row
     classes = told.where("n > 0").groupBy("cls", "n", "grp").agg(F.min("_id").alias("rep"))
     classes = settled(settled(classes).withColumn("node", F.monotonically_increasing_id()))
@@ -444,9 +445,9 @@ def _verified(rows: DataFrame, classes: DataFrame, pairs: DataFrame, width: int,
     """
     needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     reps = settled(classes.join(needed, "node").select("node", "rep", "cls", "n"))
+    reps = reps.withColumn("rep", F.col("rep").cast("string"))
     few = marked(rows, F.col("_id"), bitmap(reps, "rep"), "_may").where("_may").select("_id", "_text")
-    id_type = rows.schema["_id"].dataType.simpleString()
-    made = few.mapInPandas(_whole_sets(width), f"_id {id_type}, key string, tokens binary")
+    made = few.mapInPandas(_whole_sets(width), "_id string, key string, tokens binary")
     sets = (
         made.join(reps, F.col("_id") == F.col("rep"))
         # rows may repeat an id: take the one whose set the class has

@@ -378,16 +378,17 @@ def main_text(
     ship(spark)
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^[A-Za-z][\w+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1))
     rows = pages.select(
-        F.col(id_col).alias("_id"), F.col(url_col).alias("_url"), host.alias("_host"),
+        # as text, since pandas would make doubles of integers beside a null
+        F.col(id_col).cast("string").alias("_id"), F.col(url_col).alias("_url"), host.alias("_host"),
         F.coalesce(F.col(html_col), F.lit("")).alias("_html"),
     )
     wrappers = settled(induce_wrappers(rows.select("_host", "_html")))
     size = wrappers.agg(F.sum(F.octet_length("_w") + F.octet_length("_host"))).first()[0] or 0
     side = F.broadcast(wrappers) if size <= BROADCAST_BYTES else wrappers
     kind = pages.schema[id_col].dataType.simpleString()
-    found = rows.join(side, "_host").mapInPandas(_extractor(), f"_id {kind}, _url string, _text string")
+    found = rows.join(side, "_host").mapInPandas(_extractor(), "_id string, _url string, _text string")
     return found.select(
-        F.col("_id").alias(id_col), F.col("_url").alias(url_col), F.col("_text").alias("text"),
+        F.col("_id").cast(kind).alias(id_col), F.col("_url").alias(url_col), F.col("_text").alias("text"),
         F.char_length("_text").cast("bigint").alias("n_chars"),
     )
 

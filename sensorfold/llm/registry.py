@@ -1,8 +1,8 @@
 """The subpackage's queries and their SQL, for the driver's entry module."""
 
-from . import op1_embedding_dedup, op2_chat_format, op3_mix_sources, op4_bpe, op5_quality, op6_warc, op7_ngram_join, op9_html_text, op10_exact_dedup
+from . import op1_embedding_dedup, op2_chat_format, op3_mix_sources, op4_bpe, op5_quality, op6_warc, op7_ngram_join, op8_repeats, op9_html_text, op10_exact_dedup
 
-MODULES = (op1_embedding_dedup, op2_chat_format, op3_mix_sources, op4_bpe, op5_quality, op6_warc, op7_ngram_join, op9_html_text, op10_exact_dedup)
+MODULES = (op1_embedding_dedup, op2_chat_format, op3_mix_sources, op4_bpe, op5_quality, op6_warc, op7_ngram_join, op8_repeats, op9_html_text, op10_exact_dedup)
 
 
 def queries() -> dict:
