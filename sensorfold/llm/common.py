@@ -73,24 +73,41 @@ def bitmap(keys: DataFrame, key: str, bits: int = BITMAP_BITS) -> DataFrame:
     """The keys as a bitmap of at most ``bits / 64`` rows, for :func:`marked`."""
     word, bit = _slot(F.col(key), bits)
     return settled(
-        keys.select(word.alias("_word"), bit.alias("_bit"))
-        .groupBy("_word")
-        .agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_mask"))
+        keys.select(word.alias("__word"), bit.alias("__bit"))
+        .groupBy("__word")
+        .agg(F.bit_or(F.expr("shiftleft(1L, __bit)")).alias("__mask"))
     )
 
 
 def marked(rows: DataFrame, key: Column, keys: DataFrame, name: str, bits: int = BITMAP_BITS) -> DataFrame:
     """``rows`` with a boolean: false means that ``key`` is certainly not among the keys."""
     word, bit = _slot(key, bits)
-    hit = F.coalesce(F.expr("(shiftright(_mask, _bit) & 1L) = 1L"), F.lit(False))
+    hit = F.coalesce(F.expr("(shiftright(__mask, __bit) & 1L) = 1L"), F.lit(False))
     return (
-        rows.withColumns({"_word": word, "_bit": bit})
-        .join(F.broadcast(keys), "_word", "left")
+        rows.withColumns({"__word": word, "__bit": bit})
+        .join(F.broadcast(keys), "__word", "left")
         .withColumn(name, hit)
-        .drop("_word", "_bit", "_mask")
+        .drop("__word", "__bit", "__mask")
     )
 
 
+def without(docs: DataFrame, dropped: DataFrame, id_col: str) -> DataFrame:
+    """``docs`` less the rows whose id is in ``dropped(id)``, with all their columns.
+
+    A bitmap of the dropped ids tells most rows apart where they are read; only the rows it
+    hits are shuffled, texts and all, and joined.
+    """
+    dropped = settled(dropped.select(F.col(dropped.columns[0]).alias("__dropped")).distinct())
+    near = marked(docs, F.col(id_col), bitmap(dropped, "__dropped"), "__may")
+    hit = near.where("__may").join(dropped, F.col(id_col).eqNullSafe(F.col("__dropped")), "left_anti")
+    return near.where("NOT __may").unionByName(hit).select(*docs.columns)
+
+
+def unkept(found: DataFrame, id_col: str) -> DataFrame:
+    """Ids of ``found(id, kept)`` of which no row is kept."""
+    return found.groupBy(id_col).agg(F.max("kept").alias("kept")).where("NOT kept").select(id_col)
+
+
 def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Smallest node id reachable from each node over undirected edges.
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BITMAP_BITS, SPACE, bitmap, marked, settled
+from .common import BITMAP_BITS, SPACE, bitmap, marked, settled, unkept, without
 
 def normalised(text: Column) -> Column:
     """Runs of ASCII white space as one space; null counts as empty."""
@@ -72,10 +72,11 @@ def exact_groups(
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of ``docs`` whose text no row with a smaller id has, with all their columns."""
-    kept = exact_groups(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("_kept_id"))
-    same = F.col(id_col).eqNullSafe(F.col("_kept_id"))
-    return docs.join(kept.distinct(), same, "left_semi")
+    """``docs`` without the rows whose text a row of smaller id has, with all their columns.
+
+    Rows that share an id stay or go together: they stay if one of them does.
+    """
+    return without(docs, unkept(exact_groups(docs, id_col, text_col), id_col), id_col)
 
 
 def op10_exact_dedup(spark, sf_dir: str) -> DataFrame:

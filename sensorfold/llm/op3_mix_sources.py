@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, settled
+from .common import SPACE, WORD, settled
 
 #: Weights by rank of the source, repeating.
 WEIGHTS = (3, 1, 2)
@@ -20,6 +20,8 @@ BUDGET, MAX_EPOCHS, SEED = 1.5, 2.0, "mix-1"
 #: The seeded order is cut into so many ranges per source; sums over ranges come first, so no
 #: task ever orders a whole source.
 RANGE_BITS = 12
+#: Sources of which the table of rounds and cuts is broadcast; more are joined.
+BROADCAST_SOURCES = 10_000
 
 
 def word_count(text: Column) -> Column:
@@ -88,7 +90,7 @@ def water_fill(sources: DataFrame, budget: float, max_epochs: float) -> DataFram
         state = settled(state.withColumn("clamped", F.col("clamped") | above))
 
 
-def mix(
+def _shares(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -98,12 +100,10 @@ def mix(
     max_epochs: float = MAX_EPOCHS,
     seed: str = SEED,
 ) -> DataFrame:
-    """One row per row of ``docs``: id, ``source``, ``size``, ``source_size``, ``target``, ``taken``.
+    """Per document the whole rounds of its source, and the words taken beyond them.
 
-    ``taken`` counts the words the mix takes of a document, repeats included. Documents of no
-    words (null, empty or blank text) have size 0 and give 0. A null source is a source of its
-    own, ranked last. Rows that repeat an id count as documents of their own and stand side by
-    side in the seeded order. An empty table gives an empty result.
+    ``budget`` is the share of all words the mix has; ``weights`` go to the sources by code
+    point of their names, null last, repeating; ``max_epochs`` caps a source.
     """
     rows = settled(
         docs.select(
@@ -133,13 +133,63 @@ def mix(
     extra = F.round("target").cast("bigint") - rounds * F.col("source_size")
     part = F.least(F.greatest(extra - (F.col("_start") + F.col("_inside")), F.lit(0)), F.col("size"))
     return placed.join(plan, match).select(
-        F.col("_id").alias(id_col),
-        "source",
-        "size",
-        "source_size",
-        "target",
-        (rounds * F.col("size") + part).cast("bigint").alias("taken"),
+        "_id", "source", "size", "source_size", "target", "_h",
+        rounds.cast("bigint").alias("_rounds"), part.cast("bigint").alias("_part"),
+    )
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """One row per row of ``docs``: id, ``source``, ``size``, ``source_size``, ``target``, ``taken``.
+
+    ``taken`` counts the words the mix takes of a document, repeats included. Documents of no
+    words (null, empty or blank text) have size 0 and give 0. A null source is a source of its
+    own, ranked last. Rows that repeat an id count as documents of their own and stand side by
+    side in the seeded order. An empty table gives an empty result. For the options see
+    :func:`_shares`.
+    """
+    return _shares(docs, id_col, **options).select(
+        F.col("_id").alias(id_col), "source", "size", "source_size", "target",
+        (F.col("_rounds") * F.col("size") + F.col("_part")).alias("taken"),
+    )
+
+
+def mixed_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+    chars_col: str = "n_chars", seed: str = SEED, **options,
+) -> DataFrame:
+    """The mix itself: rows of ``docs``, repeated or left out as :func:`mix` says.
+
+    The document at a source's cut gives a last row of as many first words as are wanted, joined by one
+    space, with its length in ``chars_col``. What a source takes is known by its rounds and the
+    place of its cut in the seeded order, so texts are not shuffled: that table has a row per
+    source, and is broadcast if they are few.
+    """
+    shares = settled(_shares(docs, id_col, text_col, source_col, seed=seed, **options))
+    place = F.struct("_h", F.col("_id").cast("string"), "size")
+    at = F.struct(place.alias("place"), F.col("_part").alias("part"))
+    cuts = settled(
+        shares.groupBy("source").agg(F.max("_rounds").alias("__rounds"), F.max(F.when(F.col("_part") > 0, at)).alias("__cut"))
+        .withColumnRenamed("source", "__source")
     )
+    few = cuts.count() <= BROADCAST_SOURCES
+    size = word_count(F.col(text_col))
+    here = F.struct(seeded_rank(seed, F.col(id_col)), F.col(id_col).cast("string"), size)
+    before, same = here < F.col("__cut.place"), here == F.col("__cut.place")
+    part = F.when(before, size).when(same, F.col("__cut.part")).otherwise(0)
+    joined = docs.join(F.broadcast(cuts) if few else cuts, F.col(source_col).eqNullSafe(F.col("__source")))
+    counted = joined.withColumn("__size", size).withColumn("__part", F.coalesce(part, F.lit(0)))
+    times = F.col("__rounds") + F.when((F.col("__part") > 0) & (F.col("__part") == F.col("__size")), 1).otherwise(0)
+    rest = F.when(F.col("__part") < F.col("__size"), F.col("__part")).otherwise(0)
+    # whole repetitions have rest 0; a fraction is one more row
+    rows = F.concat(F.array_repeat(F.lit(0).cast("bigint"), times.cast("int")), F.filter(F.array(rest.cast("bigint")), lambda n: n > 0))
+    taken = counted.where(F.col("__size") > 0).withColumn("__rest", F.explode(rows))
+    words = F.slice(F.split(F.trim(F.regexp_replace(text_col, SPACE, " ")), " "), F.lit(1), F.col("__rest").cast("int"))
+    text = F.when(F.col("__rest") == 0, F.col(text_col)).otherwise(F.array_join(words, " "))
+    out = taken.withColumn(text_col, text)
+    if chars_col in docs.columns:
+        kind = docs.schema[chars_col].dataType
+        out = out.withColumn(chars_col, F.when(F.col("__rest") == 0, F.col(chars_col)).otherwise(F.char_length(text_col)).cast(kind))
+    return out.select(*docs.columns)
 
 
 def op3_mix_sources(spark, sf_dir: str) -> DataFrame:

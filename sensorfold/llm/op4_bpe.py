@@ -249,21 +249,21 @@ def codec(path: str) -> Codec:
     return _CODECS[path]
 
 
-def _result(coder: Codec, ids: np.ndarray, with_ids: bool) -> dict:
+def _result(coder: Codec, ids: np.ndarray, more: tuple[str, ...]) -> dict:
     text = coder.decode(ids)
     row = {
         "n_tokens": len(ids),
         "ids_sha256": hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(),
         "decoded_sha256": hashlib.sha256(text.encode("utf-8")).hexdigest(),
     }
-    return row | ({"ids": ids.astype(np.int32), "decoded": text} if with_ids else {})
+    return row | {k: v for k, v in (("ids", ids.astype(np.int32)), ("decoded", text)) if k in more}
 
 
-def _short(path: str, with_ids: bool) -> Callable:
+def _short(path: str, more: tuple[str, ...]) -> Callable:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = codec(path)
         for batch in batches:
-            rows = [_result(coder, coder.encode(t), with_ids) for t in batch["_text"]]
+            rows = [_result(coder, coder.encode(t), more) for t in batch["_text"]]
             if rows:
                 yield pd.DataFrame(rows).assign(_id=batch["_id"].to_numpy())
 
@@ -283,7 +283,7 @@ def _leaves(path: str) -> Callable:
     return run
 
 
-def _joined(path: str, with_ids: bool) -> Callable:
+def _joined(path: str, more: tuple[str, ...]) -> Callable:
     def run(group: pd.DataFrame) -> pd.DataFrame:
         coder = codec(path)
         times = int((group["_seg"] == 0).sum())  # rows that repeat id and text
@@ -297,7 +297,7 @@ def _joined(path: str, with_ids: bool) -> Callable:
                 coder.join(*level[k : k + 2]) if k + 1 < len(level) else level[k]
                 for k in range(0, len(level), 2)
             ]
-        row = _result(coder, level[0][0], with_ids)
+        row = _result(coder, level[0][0], more)
         return pd.DataFrame([row | {"_id": one["_id"].iloc[0]}] * times)
 
     return run
@@ -308,11 +308,11 @@ def encode_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     path: str | None = None,
-    with_ids: bool = True,
+    more: tuple[str, ...] = ("ids", "decoded"),
     segment: int = SEGMENT,
 ) -> DataFrame:
-    """One row per row of ``docs``: id, ``n_tokens``, ``ids_sha256``, ``decoded_sha256``, and with
-    ``with_ids`` also ``ids`` and ``decoded``.
+    """One row per row of ``docs``: id, ``n_tokens``, ``ids_sha256``, ``decoded_sha256``, and
+    of ``ids`` and ``decoded`` those named in ``more``.
 
     The ids are those of the vocabulary's library for the whole text. Special tokens written
     out in a text count as such tokens, as they do there. A null text counts as empty and has
@@ -328,10 +328,10 @@ def encode_documents(
         F.col(id_col).cast("string").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")
     )
     shape = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    shape += ", ids array<int>, decoded string" if with_ids else ""
+    shape += ", ids array<int>" * ("ids" in more) + ", decoded string" * ("decoded" in more)
     shape += ", _id string"
     chars = F.char_length("_text")
-    short = rows.where(chars <= segment).mapInPandas(_short(path, with_ids), shape)
+    short = rows.where(chars <= segment).mapInPandas(_short(path, more), shape)
 
     # leaves of a balanced tree: equal parts, as many as a power of two needs
     parts = F.pow(F.lit(2), F.ceil(F.log2(chars / segment))).cast("int")
@@ -348,11 +348,11 @@ def encode_documents(
     leaves = long.repartition(width_now, "_id", "_key", "_seg").mapInPandas(
         _leaves(path), "_id string, _key string, _seg int, _ids binary, _starts binary"
     )
-    whole = leaves.groupBy("_id", "_key").applyInPandas(_joined(path, with_ids), shape)
+    whole = leaves.groupBy("_id", "_key").applyInPandas(_joined(path, more), shape)
     both = short.unionByName(whole)
     return both.select(F.col("_id").cast(kind).alias(id_col), *[c for c in both.columns if c != "_id"])
 
 
 def op4_bpe(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return encode_documents(docs, with_ids=False)
+    return encode_documents(docs, more=())

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import settled, ship
+from .common import settled, ship, unkept, without
 
 #: Labelled rows the document model is fitted on, the first by a seeded order: 13 doubles each.
 TRAIN_ROWS = 20_000
@@ -186,10 +186,12 @@ def classify(
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """Rows of ``docs`` that :func:`classify` keeps, with all their columns."""
+    """``docs`` without the rows that :func:`classify` turns down, with all their columns.
+
+    Rows that share an id stay or go together: they stay if one of them does.
+    """
     id_col = options.get("id_col", "doc_id")
-    kept = classify(docs, labels, **options).where("kept").select(F.col(id_col).alias("_kept_id")).distinct()
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("_kept_id")), "left_semi")
+    return without(docs, unkept(classify(docs, labels, **options), id_col), id_col)
 
 
 def op5_quality(spark, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap, components, marked, settled, ship
+from .common import bitmap, components, marked, settled, ship, unkept, without
 
 WIDTH, PERCENT = 4, 85
 #: The most frequent tokens, known to all tasks: 8 bytes each. Any number gives right results.
@@ -467,7 +467,10 @@ def op7_ngram_join(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """Rows of ``docs`` whose id is the smallest of their component, with all their columns."""
+    """``docs`` without the rows that have a smaller id in their component, with all their columns.
+
+    Rows that share an id stay or go together: they stay if one of them does.
+    """
     found = similar_documents(docs, id_col=id_col, **options)
-    kept = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_kept_id"))
-    return docs.join(kept.distinct(), F.col(id_col).eqNullSafe(F.col("_kept_id")), "left_semi")
+    kept = F.col(id_col).eqNullSafe(F.col("component_id")).alias("kept")
+    return without(docs, unkept(found.select(id_col, kept), id_col), id_col)

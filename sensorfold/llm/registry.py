@@ -1,13 +1,33 @@
 """The subpackage's queries and their SQL, for the driver's entry module."""
 
-from . import op1_embedding_dedup, op2_chat_format, op3_mix_sources, op4_bpe, op5_quality, op6_warc, op7_ngram_join, op8_repeats, op9_html_text, op10_exact_dedup
+import corpus_pipeline
 
-MODULES = (op1_embedding_dedup, op2_chat_format, op3_mix_sources, op4_bpe, op5_quality, op6_warc, op7_ngram_join, op8_repeats, op9_html_text, op10_exact_dedup)
+from . import (
+    op1_embedding_dedup,
+    op2_chat_format,
+    op3_mix_sources,
+    op4_bpe,
+    op5_quality,
+    op6_warc,
+    op7_ngram_join,
+    op8_repeats,
+    op9_html_text,
+    op10_exact_dedup,
+)
+
+MODULES = {
+    module.__name__.rpartition(".")[2]: module
+    for module in (
+        op1_embedding_dedup, op2_chat_format, op3_mix_sources, op4_bpe, op5_quality,
+        op6_warc, op7_ngram_join, op8_repeats, op9_html_text, op10_exact_dedup,
+    )
+}
 
 
 def queries() -> dict:
-    return {m.__name__.rpartition(".")[2]: getattr(m, m.__name__.rpartition(".")[2]) for m in MODULES}
+    return {name: getattr(module, name) for name, module in MODULES.items()} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {m.__name__.rpartition(".")[2]: m.SQL for m in MODULES if getattr(m, "SQL", None)}
+    found = {name: module.SQL for name, module in MODULES.items() if hasattr(module, "SQL")}
+    return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
