@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from sensorfold.operators import (  # noqa: E402
     agg_rows,
     assign_window,
-    co_group,
+    co_group_lists,
     co_group_only,
     comparison_from_readings,
     count_messages,
@@ -39,14 +39,14 @@ from sensorfold.operators import (  # noqa: E402
     unescape_payload,
     windowed_stats,
 )
+from sensorfold.functions import wire_quote  # noqa: E402
 from sensorfold.plans import compare_tables, reduce_tables, run_batch  # noqa: E402
 from sensorfold.schemas import AGG_SCHEMA, RAW_SCHEMA  # noqa: E402
-from sensorfold.session import configure_session, work_dir  # noqa: E402
+from sensorfold.session import configure_session, drop_work, work_dir  # noqa: E402
 from sensorfold.sources import (  # noqa: E402
-    deal_out,
     ensure_table,
     event_messages,
-    readings_from_raw,
+    stored_rows,
     text_messages,
 )
 from sensorfold.streaming import start_aggregate, start_raw, wait_all  # noqa: E402
@@ -60,6 +60,7 @@ except ModuleNotFoundError as missing:
     _llm = None
 
 HOUR = "1 hour"
+NOW = {"availableNow": True}
 
 
 # --- inputs -----------------------------------------------------------------------
@@ -71,7 +72,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_messages(deal_out(_table(spark, sf_dir, "events")))
+    return event_messages(_table(spark, sf_dir, "events"))
 
 
 def _mixed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,29 +80,28 @@ def _mixed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _messages(spark, sf_dir).unionByName(texts)
 
 
-def _streamed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _streamed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = _table(spark, sf_dir, "events").schema
-    events = (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-    )
-    return event_messages(events)
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    return reader.parquet(sf_dir)
+
+
+def _streamed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return event_messages(_streamed_events(spark, sf_dir))
 
 
 def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_readings(_messages(spark, sf_dir))
 
 
-def _stored_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings from a raw table, for queries that read them several times over: payloads are
-    parsed once, and each further pass scans a few narrow columns."""
-    messages = _messages(spark, sf_dir)
-    folder = work_dir(spark)
-    raw = f"stored_raw_{folder[-32:]}"
-    ensure_table(spark, raw, RAW_SCHEMA, f"{folder}/raw")
-    run_batch(messages, raw, None)
-    return readings_from_raw(spark, raw)
+def _kept(spark: SparkSession, result: DataFrame, folder: str, *tables: str) -> DataFrame:
+    """The result, settled in the shared checkpoint folder; the tables it came from go."""
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(work_dir(spark))
+    settled = result.checkpoint()
+    drop_work(spark, folder, tables)
+    return settled
 
 
 def _plain_start(windowed: DataFrame, *columns: str) -> DataFrame:
@@ -171,7 +171,7 @@ def q_count(spark, sf_dir):
 
 def q_cogroup_stats(spark, sf_dir):
     """Four separately aggregated inputs, co-grouped by window and measure."""
-    readings = _stored_readings(spark, sf_dir)
+    readings = _readings(spark, sf_dir)
     parts = {
         "max": max_per_measure(readings, HOUR),
         "min": min_per_measure(readings, HOUR),
@@ -186,25 +186,24 @@ def q_cogroup_stats(spark, sf_dir):
 
 def q_cogroup_lists(spark, sf_dir):
     """All readings of a measure beside all its hourly maxima, folded back to totals."""
-    readings = _stored_readings(spark, sf_dir)
+    readings = _readings(spark, sf_dir)
     hourly = max_per_measure(readings, HOUR).withColumnRenamed("max", "value")
-    grouped = co_group(
-        {"reading": readings, "hourly": hourly}, ["measure"], slice_size=500
-    )
+    grouped = co_group_lists({"reading": readings, "hourly": hourly}, ["measure"], slices=16)
 
     def fold(tag: str, pick: Callable) -> F.Column:
-        zero = F.lit(0).cast("bigint")
-        return F.aggregate(tag, zero, lambda total, item: total + pick(item))
+        zero = F.lit(0).cast("decimal(38,0)")
+        add = lambda total, item: (total + pick(item)).cast("decimal(38,0)")
+        return F.aggregate(tag, zero, add)
 
     slices = grouped.select(
         "measure",
         fold("reading", lambda i: i["n"]).alias("readings"),
-        fold("reading", lambda i: i["n"] * i["value"]).alias("reading_sum"),
+        fold("reading", lambda i: i["n"] * i["value"].cast("decimal(19,0)")).alias("reading_sum"),
         fold("hourly", lambda i: i["n"]).alias("hours"),
-        fold("hourly", lambda i: i["n"] * i["value"]).alias("hourly_sum"),
+        fold("hourly", lambda i: i["n"] * i["value"].cast("decimal(19,0)")).alias("hourly_sum"),
     )
     totals = ("readings", "reading_sum", "hours", "hourly_sum")
-    return slices.groupBy("measure").agg(*[F.sum(c).alias(c) for c in totals])
+    return slices.groupBy("measure").agg(*[F.sum(c).cast("bigint").alias(c) for c in totals])
 
 
 def q_agg_rows(spark, sf_dir):
@@ -235,48 +234,163 @@ def q_reduction_report(spark, sf_dir):
     return reduction_from_readings(_readings(spark, sf_dir), HOUR)
 
 
-def _run_batch_tables(spark, sf_dir) -> tuple[str, str]:
-    messages = _messages(spark, sf_dir)
+def _work_tables(spark: SparkSession, **schemas) -> tuple[str, list[str]]:
+    """A folder and tables in it, one per schema."""
     folder = work_dir(spark)
-    tag = folder[-32:]
-    raw, agg = f"batch_raw_{tag}", f"batch_agg_{tag}"
-    ensure_table(spark, raw, RAW_SCHEMA, f"{folder}/raw")
-    ensure_table(spark, agg, AGG_SCHEMA, f"{folder}/agg")
+    tables = [f"{kind}_{folder[-32:]}" for kind in schemas]
+    for kind, table in zip(schemas, tables, strict=True):
+        ensure_table(spark, table, schemas[kind], f"{folder}/{kind}")
+    return folder, tables
+
+
+def _batch_report(spark: SparkSession, sf_dir: str, report: Callable) -> DataFrame:
+    messages = _messages(spark, sf_dir)
+    folder, (raw, agg) = _work_tables(spark, raw=RAW_SCHEMA, agg=AGG_SCHEMA)
     run_batch(messages, raw, agg, HOUR)
-    return raw, agg
+    return _kept(spark, report(spark, raw, agg), folder, raw, agg)
 
 
 def q_stored_comparison(spark, sf_dir):
-    return compare_tables(spark, *_run_batch_tables(spark, sf_dir))
+    return _batch_report(spark, sf_dir, compare_tables)
 
 
 def q_stored_reduction(spark, sf_dir):
-    return reduce_tables(spark, *_run_batch_tables(spark, sf_dir))
+    return _batch_report(spark, sf_dir, reduce_tables)
+
+
+def q_stored_pair(spark, sf_dir):
+    """Both tables of one batch run: readings per measure and hour as each of them has it."""
+
+    def per_hour(spark, raw, agg):
+        hour = F.date_format(F.window("window_timestamp", HOUR)["end"] - F.expr("INTERVAL 1 MILLISECOND"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+        left = stored_rows(spark, raw).groupBy("measure", hour.alias("ts")).agg(
+            F.count(F.lit(1)).alias("raw_rows")
+        )
+        right = stored_rows(spark, agg).select("measure", "ts", F.col("cnt").alias("agg_cnt"))
+        return left.join(right, ["measure", "ts"], "full")
+
+    return _batch_report(spark, sf_dir, per_hour)
 
 
 def q_stream_raw_append(spark, sf_dir):
     messages = _streamed_messages(spark, sf_dir)
-    folder = work_dir(spark)
-    table = f"stream_raw_{folder[-32:]}"
-    ensure_table(spark, table, RAW_SCHEMA, f"{folder}/raw")
-    wait_all([start_raw(messages, table, f"{folder}/checkpoint", {"availableNow": True})])
-    return _plain_raw(spark.table(table))
+    folder, (table,) = _work_tables(spark, raw=RAW_SCHEMA)
+    wait_all([start_raw(messages, table, f"{folder}/checkpoint", NOW)])
+    return _kept(spark, _plain_raw(stored_rows(spark, table)), folder, table)
 
 
 def q_stream_agg_append(spark, sf_dir):
     readings = extract_readings(_streamed_messages(spark, sf_dir))
-    folder = work_dir(spark)
-    table = f"stream_agg_{folder[-32:]}"
-    ensure_table(spark, table, AGG_SCHEMA, f"{folder}/agg")
-    query = start_aggregate(
-        readings, table, f"{folder}/checkpoint", HOUR, trigger={"availableNow": True}
-    )
+    folder, (table,) = _work_tables(spark, agg=AGG_SCHEMA)
+    wait_all([start_aggregate(readings, table, f"{folder}/checkpoint", HOUR, trigger=NOW)])
+    return _kept(spark, stored_rows(spark, table), folder, table)
+
+
+def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Events of odd ids as a table, those of even ids as a stream."""
+    events = _table(spark, sf_dir, "events").where("event_id % 2 = 1")
+    streamed = _streamed_events(spark, sf_dir).where("event_id % 2 = 0")
+    return event_messages(events), event_messages(streamed)
+
+
+def q_append_two_writers(spark, sf_dir):
+    """A batch job and a stream append to one raw table."""
+    batch, streamed = _halves(spark, sf_dir)
+    folder, (table,) = _work_tables(spark, raw=RAW_SCHEMA)
+    run_batch(batch, table, None)
+    wait_all([start_raw(streamed, table, f"{folder}/checkpoint", NOW)])
+    return _kept(spark, _plain_raw(stored_rows(spark, table)), folder, table)
+
+
+def q_append_two_agg_writers(spark, sf_dir):
+    """A batch job and a stream append to one aggregate table; the stream's open window is out."""
+    batch, streamed = _halves(spark, sf_dir)
+    folder, (table,) = _work_tables(spark, agg=AGG_SCHEMA)
+    query = start_aggregate(extract_readings(streamed), table, f"{folder}/checkpoint", HOUR, trigger=NOW)
     wait_all([query])
-    return spark.table(table)
+    run_batch(batch, None, table, HOUR)
+    return _kept(spark, stored_rows(spark, table), folder, table)
+
+
+def _publish_late(spark: SparkSession, sf_dir: str, folder: str, run: Callable) -> None:
+    """Publishes events in three steps and calls ``run`` after each: the first half of the time
+    they span, the second half, and last some of the first half, which are late by then."""
+    events = _table(spark, sf_dir, "events")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(micros), F.max(micros)).first()
+    early, late = micros <= (low + high) // 2, F.col("event_id") % 10 == 3
+    for step in (early & ~late, ~early, early & late):
+        event_messages(events.where(step)).write.mode("append").parquet(f"{folder}/topic")
+        run(_topic(spark, f"{folder}/topic"))
+
+
+def _topic(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.readStream.schema(spark.read.parquet(folder).schema).parquet(folder)
+
+
+def q_stream_late_agg(spark, sf_dir):
+    """Late readings leave no trace in the aggregate table."""
+    folder, (table,) = _work_tables(spark, agg=AGG_SCHEMA)
+
+    def run(messages: DataFrame) -> None:
+        readings = extract_readings(messages)
+        wait_all([start_aggregate(readings, table, f"{folder}/checkpoint", HOUR, trigger=NOW)])
+
+    _publish_late(spark, sf_dir, folder, run)
+    return _kept(spark, stored_rows(spark, table), folder, table)
+
+
+def q_stream_late_raw(spark, sf_dir):
+    """Late readings stand in the raw table like all others."""
+    folder, (table,) = _work_tables(spark, raw=RAW_SCHEMA)
+    _publish_late(
+        spark, sf_dir, folder,
+        lambda messages: wait_all([start_raw(messages, table, f"{folder}/checkpoint", NOW)]),
+    )
+    return _kept(spark, _plain_raw(stored_rows(spark, table)), folder, table)
+
+
+# Body of a payload, by ``event_id % 20``: {m} the measure, {v} the value without its fraction,
+# {r} the event's id; and whether the parser takes these for a reading.
+PAYLOAD_KINDS: list[tuple[str, bool]] = [
+    ('[{"meaning":"{m}","value":{v},"received":{r}}]', True),
+    ('[{"meaning":"{m}","value":{v}.75,"received":{r}}]', True),
+    ('[{"meaning":"{m}","value":"{v}","received":"{r}"}]', True),
+    ('[{"meaning":"{m}","value":[{v}],"received":[{r}]}]', True),
+    ('[{"meaning":["{m}"],"value":{v},"received":{r}}]', True),
+    ('[{"meaning":"x","value":1,"meaning":"{m}","value":{v},"received":{r}}]', True),
+    ('[{"meaning":"{m}","value":{v},"received":{r}},{"meaning":"second"}]', True),
+    ('  [{"x":{"y":[1]},"received":{r},"value":{v},"meaning":"{m}"}] ', True),
+    ('[{"meaning":"{m}","value":{v},"received":{r}}] trailing', False),
+    ('[{"meaning":"{m}","value":{v},"received":{r}}', False),
+    ('{"meaning":"{m}","value":{v},"received":{r}}', False),
+    ('[{"meaning":"{m}","value":true,"received":{r}}]', False),
+    ('[{"meaning":"{m}","value":3000000000,"received":{r}}]', False),
+    ('[{"meaning":"{m}","value":"{v}.5","received":{r}}]', False),
+    ('[{"meaning":"{m}","received":{r}}]', False),
+    ('[{"value":{v},"received":{r}}]', False),
+    ('[{"meaning":null,"value":{v},"received":{r}}]', False),
+    ('[5,{"meaning":"{m}","value":{v},"received":{r}}]', False),
+    ('[{"meaning":{"a":"{m}"},"value":{v},"received":{r}}]', False),
+    ("{m} {v} {r}", False),
+]
+
+
+def q_parser_decisions(spark, sf_dir):
+    """One payload of twenty kinds per event, through the parser."""
+    kind = F.array(*[F.lit(body) for body, _ in PAYLOAD_KINDS])[(F.col("event_id") % 20).cast("int")]
+    fill = {"{m}": F.col("event_type"), "{v}": F.col("value").cast("int").cast("string"), "{r}": F.col("event_id").cast("string")}
+    for mark, text in fill.items():
+        kind = F.replace(kind, F.lit(mark), text)
+    messages = _table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("message_id"), wire_quote(kind).alias("payload"),
+        F.col("ts").cast("timestamp").alias("publish_ts"),
+    )
+    return extract_readings(messages).select(F.col("message_id").alias("event_id"), "measure", "value", "received")
 
 
 def q_tokenize_letters(spark, sf_dir):
-    return token_counts(deal_out(_table(spark, sf_dir, "documents")), "lang")
+    return token_counts(_table(spark, sf_dir, "documents"), "lang")
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -308,8 +422,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "reduction_report": q_reduction_report,
         "stored_comparison": q_stored_comparison,
         "stored_reduction": q_stored_reduction,
+        "stored_pair": q_stored_pair,
         "stream_raw_append": q_stream_raw_append,
         "stream_agg_append": q_stream_agg_append,
+        "append_two_writers": q_append_two_writers,
+        "append_two_agg_writers": q_append_two_agg_writers,
+        "stream_late_agg": q_stream_late_agg,
+        "stream_late_raw": q_stream_late_raw,
+        "parser_decisions": q_parser_decisions,
         "tokenize_letters": q_tokenize_letters,
         **(_llm.queries() if _llm else {}),
     }
@@ -359,6 +479,14 @@ _SUMMARY_AGG = """
   FROM agg"""
 
 
+def _decisions_sql() -> str:
+    taken = ", ".join(f"({kind})" for kind, (_, good) in enumerate(PAYLOAD_KINDS) if good)
+    return f"""
+  SELECT event_id, event_type AS measure, CAST(trunc(value) AS INTEGER) AS value,
+         event_id AS received
+  FROM events JOIN (VALUES {taken}) AS k(kind) ON event_id % 20 = kind"""
+
+
 def oracle_sql() -> dict[str, str]:
     mixed = r"""
   SELECT 'reading' AS origin, event_id AS message_id,
@@ -432,6 +560,24 @@ FROM raw""",
         "stream_agg_append": f"""WITH {_READINGS}, agg AS ({_agg("1 hour")})
 SELECT * FROM agg
 WHERE ts < (SELECT strftime(max(ts), '%Y-%m-%dT%H:%M:%S.%gZ') FROM readings)""",
+        "stored_pair": f"""WITH {_READINGS}, agg AS ({_agg("1 hour")})
+SELECT measure, ts, cnt AS raw_rows, cnt AS agg_cnt FROM agg""",
+        "append_two_writers": raw_rows_sql,
+        "append_two_agg_writers": f"""WITH {_READINGS.replace("FROM events", "FROM events WHERE event_id % 2 = 1")},
+a AS ({_agg("1 hour")}),
+b AS (WITH {_READINGS.replace("FROM events", "FROM events WHERE event_id % 2 = 0")},
+  agg AS ({_agg("1 hour")})
+  SELECT * FROM agg WHERE ts < (SELECT strftime(max(ts), '%Y-%m-%dT%H:%M:%S.%gZ') FROM readings))
+SELECT * FROM a UNION ALL SELECT * FROM b""",
+        # The late ones are out, and so is the window that the newest reading leaves open.
+        "stream_late_agg": f"""WITH mid AS (
+  SELECT (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 AS m FROM events),
+{_READINGS.replace("FROM events", "FROM events, mid WHERE NOT (event_id % 10 = 3 AND epoch_us(ts) <= m)")},
+agg AS ({_agg("1 hour")})
+SELECT * FROM agg
+WHERE ts < (SELECT strftime(max(ts), '%Y-%m-%dT%H:%M:%S.%gZ') FROM readings)""",
+        "stream_late_raw": raw_rows_sql,
+        "parser_decisions": _decisions_sql(),
         "tokenize_letters": r"""
   SELECT lang, count(*) AS n_tokens, count(DISTINCT token) AS n_distinct
   FROM (SELECT lang, unnest(string_split_regex(text, '[^\p{L}]+')) AS token FROM documents)

@@ -25,18 +25,29 @@ def parse_body(body: Column) -> Column:
     Alone, a JSON parser stops at the end of the first value and ignores what follows. The
     second element is a marker that no body can spell, since bodies have no backslashes. If
     the marker comes out right after the body's value, the body was that one value.
+
+    Only an array can be a reading, and its first character tells: other bodies are not parsed,
+    since a parser turns down junk by exceptions, which cost more than the parsing.
     """
-    return F.try_parse_json(F.concat(F.lit("["), body, F.lit(f",{json.dumps(MARKER)}]")))
+    whole = F.concat(F.lit("["), body, F.lit(f",{json.dumps(MARKER)}]"))
+    array = F.startswith(F.ltrim(body, F.lit(" \t\n\r")), F.lit("["))
+    return F.when(array, F.try_parse_json(whole))
 
 
 def reading_candidate(parsed: Column) -> Column:
     """The first array element's fields, as typed values and as text, and the marker.
 
-    Single fields cost less to extract than a struct of them.
+    Single fields cost less to extract than a struct of them. An array of one element counts
+    as that element; the text tells, so only then is the array taken apart.
     """
 
     def field(name: str, as_type: str) -> Column:
-        return F.try_variant_get(parsed, f"$[0][0].{name}", as_type)
+        path = f"$[0][0].{name}"
+        plain = F.try_variant_get(parsed, path, as_type)
+        held = F.try_variant_get(parsed, path, "array<variant>")
+        only = F.when(F.size(held) == 1, F.try_variant_get(held[0], "$", as_type))
+        text = F.try_variant_get(parsed, path, "string")
+        return F.when(F.startswith(text, F.lit("[")) & held.isNotNull(), only).otherwise(plain)
 
     return F.struct(
         field("meaning", "string").alias("measure"),
@@ -67,9 +78,9 @@ def is_reading(candidate: Column, parsed: Column) -> Column:
     numeric = _spelled_as_number(candidate["value_text"]) & _spelled_as_number(
         candidate["received_text"]
     )
+    kind = F.schema_of_variant(F.try_variant_get(parsed, "$[0][0].meaning", "variant"))
     scalar_name = F.when(
-        F.left(measure, F.lit(1)).isin("{", "["),
-        F.schema_of_variant(F.try_variant_get(parsed, "$[0][0].meaning", "variant")) == "STRING",
+        F.left(measure, F.lit(1)).isin("{", "["), kind.isin("STRING", "ARRAY<STRING>")
     ).otherwise(F.lit(True))
     return F.coalesce(complete & alone & numeric & scalar_name, F.lit(False))
 

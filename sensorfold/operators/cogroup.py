@@ -1,6 +1,6 @@
 """Co-grouping any number of keyed inputs.
 
-Both functions tag each input, stack them and group once. A key found in any input
+All functions tag each input, stack them and group once. A key found in any input
 appears in the result. For windowed inputs, name the window among the keys.
 """
 
@@ -14,7 +14,7 @@ def _stack(inputs: Mapping[str, DataFrame], keys: Sequence[str], value: str) ->
     """Keys, the tag, and one column per tag (its own type) that holds the tag's value."""
     if not inputs:
         raise ValueError("co-grouping needs at least one input")
-    clash = set(inputs) & ({*keys} | {"tag", "slice"})
+    clash = set(inputs) & ({*keys} | {"tag", "slice", "n"})
     if clash:
         raise ValueError(f"tags may not be named like keys or result columns: {sorted(clash)}")
     stacked = None
@@ -59,40 +59,37 @@ def co_group_only(
 
 
 def co_group(
+    inputs: Mapping[str, DataFrame], keys: Sequence[str], value: str = "value"
+) -> DataFrame:
+    """All values of each tag per key: one row per key, tag and distinct value.
+
+    Columns are the keys, ``tag``, one column per tag (its own type; the tag's value) and
+    ``n``, the repeats. Rows do not grow with the key, and repeats combine before the shuffle.
+    """
+    return (
+        _stack(inputs, keys, value)
+        .groupBy(*keys, "tag", *inputs)
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+def co_group_lists(
     inputs: Mapping[str, DataFrame],
     keys: Sequence[str],
     value: str = "value",
-    slice_size: int = 100_000,
+    slices: int = 1,
 ) -> DataFrame:
-    """All values of each tag per key, as arrays of ``(value, n)`` with ``n`` the repeats.
+    """The same as arrays of ``(value, n)``: the keys, ``slice``, and one array per tag.
 
-    Columns are the keys, ``slice``, and one array per tag. A key with up to
-    ``slice_size`` distinct (tag, value) pairs has one row, slice 0. A bigger key is dealt
-    by hash over as many slices as it needs; together they hold every value exactly once.
-    No array then grows with the key, and a hot key is many tasks' work.
+    Every key is dealt by hash over ``slices`` slices, whatever its size; slices without
+    values have no row. Together a key's slices hold each value exactly once. Choose as many
+    as the largest key needs for its arrays to fit a task.
     """
+    if slices < 1:
+        raise ValueError("slices must be at least 1")
     tags = list(inputs)
-    pairs = _stack(inputs, keys, value).groupBy(*keys, "tag", *tags).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    # Asking for both counts keeps ``n`` in this use of ``pairs`` too, which makes the two
-    # uses the same plan: the inputs are then scanned and shuffled once, not twice.
-    big = (
-        pairs.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("pairs"), F.sum("n").alias("values"))
-        .where((F.col("pairs") > slice_size) & (F.col("values") > slice_size))
-        .select(*keys, F.ceil(F.col("pairs") / slice_size).alias("slices"))
-    )
-    same_key = [F.col(f"p.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
-    dealt = (
-        pairs.alias("p")
-        .join(big.alias("b"), same_key, "left")
-        .select(
-            "p.*",
-            F.coalesce(
-                F.pmod(F.xxhash64("tag", *tags), F.col("b.slices")), F.lit(0)
-            ).alias("slice"),
-        )
+    dealt = co_group(inputs, keys, value).withColumn(
+        "slice", F.pmod(F.xxhash64("tag", *tags), F.lit(slices)).cast("int")
     )
     lists = [
         F.collect_list(

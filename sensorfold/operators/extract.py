@@ -10,6 +10,7 @@ from sensorfold.functions.payload import (
     slice_body,
     strip_backslashes,
 )
+from sensorfold.session import require_last_key
 
 
 def unescape_payload(messages: DataFrame) -> DataFrame:
@@ -27,6 +28,7 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     would be pushed below it, and the payload would be parsed again in every conjunct of the
     filter. A generator is a barrier, so one parse it is.
     """
+    require_last_key(messages.sparkSession)
     kept = messages.columns
     bodies = unescape_payload(messages.select("*", F.col("payload").alias("_payload")))
     candidates = (
@@ -44,8 +46,9 @@ def parse_messages(messages: DataFrame) -> DataFrame:
 def extract_readings(messages: DataFrame, observe_as: str | None = None) -> DataFrame:
     """Readings of the well-formed messages; the message's other columns ride along.
 
-    With ``observe_as`` the counts ``total`` and ``bad`` are published under that name,
-    in a streaming query's progress or to a ``pyspark.sql.Observation`` of a batch.
+    With ``observe_as`` the counts ``total``, ``bad`` and ``untimed`` (readings without a
+    publish time, which no window holds) are published under that name, in a streaming
+    query's progress or to a ``pyspark.sql.Observation`` of a batch.
     """
     parsed = parse_messages(messages)
     if observe_as is not None:
@@ -53,6 +56,7 @@ def extract_readings(messages: DataFrame, observe_as: str | None = None) -> Data
             observe_as,
             F.count(F.lit(1)).alias("total"),
             F.count_if(~F.col("valid")).alias("bad"),
+            F.count_if(F.col("valid") & F.col("publish_ts").isNull()).alias("untimed"),
         )
     carried = [c for c in messages.columns if c != "payload"]
     return parsed.where("valid").select("measure", "value", "received", *carried)

@@ -7,12 +7,6 @@ MESSAGE_SCHEMA = T.StructType([
     T.StructField("publish_ts", T.TimestampType()),
 ])
 
-READING_SCHEMA = T.StructType([
-    T.StructField("measure", T.StringType()),
-    T.StructField("value", T.IntegerType()),
-    T.StructField("received", T.LongType()),
-])
-
 RAW_SCHEMA = T.StructType([
     T.StructField("measure", T.StringType()),
     T.StructField("value", T.LongType()),
@@ -29,5 +23,14 @@ AGG_SCHEMA = T.StructType([
     T.StructField("ts", T.StringType()),
 ])
 
+# Which append a stored row came from; tables are partitioned by them.
+WRITER_COLUMNS = T.StructType([
+    T.StructField("_writer", T.StringType()),
+    T.StructField("_batch", T.LongType()),
+])
+
+# The tables' usual names.
+DEFAULT_RAW_TABLE = "telemetry.sensor_data"
+DEFAULT_AGG_TABLE = "telemetry.agg_sensor_data"
 DEFAULT_WINDOW = "1 minute"
 DEFAULT_LATENESS = "0 seconds"

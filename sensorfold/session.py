@@ -1,6 +1,5 @@
 """Session settings the library relies on, and the shared working folder."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -15,10 +14,12 @@ def configure_session(spark: SparkSession, rocksdb_state: bool = True) -> SparkS
 
     UTC is part of the output format (``ts`` is UTC text). The first shuffle
     width follows the cluster's cores, and AQE merges what turns out too small.
-    State lives in RocksDB so that many open windows do not have to fit the heap.
+    State lives in RocksDB so that many open windows do not have to fit the heap. Of a key
+    that a JSON object repeats the last one counts, as in the wire format.
     """
     conf = spark.conf
     conf.set("spark.sql.session.timeZone", "UTC")
+    conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     conf.set("spark.sql.adaptive.enabled", "true")
     conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     width = max(
@@ -43,12 +44,42 @@ def require_utc(spark: SparkSession) -> None:
         )
 
 
+def require_last_key(spark: SparkSession) -> None:
+    """The parser needs repeated keys allowed; else it would drop such messages unseen."""
+    if spark.conf.get("spark.sql.variant.allowDuplicateKeys") != "true":
+        raise ValueError(
+            "spark.sql.variant.allowDuplicateKeys must be true: call configure_session first"
+        )
+
+
+def require_stream_session(spark: SparkSession) -> None:
+    """What both streams rely on, checked before anything starts."""
+    require_utc(spark)
+    require_last_key(spark)
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass") != ROCKSDB_PROVIDER:
+        raise ValueError("streams keep their state in RocksDB: call configure_session first")
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """A path and its file system, whatever store it names."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def work_dir(spark: SparkSession) -> str:
     """A new folder path under the shared folder named by ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (local runs, tests) is a temporary folder used.
+    Unset, it is refused: any other folder might be one machine's own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="sensorfold-")
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return f"{base.rstrip('/')}/sensorfold-{uuid.uuid4().hex}"
+
+
+def drop_work(spark: SparkSession, folder: str, tables: tuple[str, ...] = ()) -> None:
+    """Drop tables kept under a folder of ``work_dir``, and the folder with their files."""
+    for table in tables:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    where, files = hadoop_path(spark, folder)
+    files.delete(where, True)

@@ -1,6 +1,6 @@
 from sensorfold.sources.messages import broker_records, deal_out, read_messages
 from sensorfold.sources.replay import event_messages, text_messages
-from sensorfold.sources.tables import append_rows, ensure_table, readings_from_raw
+from sensorfold.sources.tables import append_rows, ensure_table, readings_from_raw, stored_rows
 
 __all__ = [
     "append_rows",
@@ -10,5 +10,6 @@ __all__ = [
     "event_messages",
     "read_messages",
     "readings_from_raw",
+    "stored_rows",
     "text_messages",
 ]

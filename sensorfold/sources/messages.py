@@ -50,14 +50,10 @@ def read_messages(
     return rows.select("payload", F.col("publish_ts").cast("timestamp").alias("publish_ts"))
 
 
-def deal_out(rows: DataFrame) -> DataFrame:
-    """Spread an input that has fewer splits than the cluster has cores.
+def deal_out(rows: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Spread an input over so many partitions; None, the default, leaves it as it is.
 
-    Parsing is the costly step, and a file of one row group is one task however many cores
-    are idle. An input with a split per core, which any large one has, is left alone: no
-    shuffle is added. Streams are left alone too.
+    For inputs of a few large splits, such as files of one row group, where parsing costs more
+    than a shuffle. Nothing is looked at, so the plan is the one asked for at every size.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.isStreaming or rows.rdd.getNumPartitions() >= cores:
-        return rows
-    return rows.repartition(cores)
+    return rows if partitions is None else rows.repartition(partitions)

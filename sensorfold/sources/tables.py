@@ -1,9 +1,14 @@
 """Provisioning and appending to the output tables."""
 
+import uuid
+from itertools import zip_longest
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sensorfold.schemas import WRITER_COLUMNS
+
 
 def _quoted(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
@@ -18,45 +23,89 @@ def ensure_table(
     name: str | None,
     schema: T.StructType | None,
     location: str | None = None,
+    format: str = "parquet",
 ) -> bool:
     """Create the table, and its schema part, if absent; else check it. True if created.
 
-    Does nothing when name or schema is unset. An existing table must have the same column
-    names, types and order. Nullability does not count: stored columns read back nullable.
+    Does nothing when name or schema is unset. The table has the declared columns and, as
+    partitions, those that name the append (``WRITER_COLUMNS``). An existing table must have
+    the same column names, types and order. Nullability does not count: stored columns read
+    back nullable.
     """
     if name is None or schema is None:
         return False
+    full = T.StructType([*schema.fields, *WRITER_COLUMNS.fields])
     if spark.catalog.tableExists(name):
-        actual = spark.table(name).schema
-        if _shape(actual) != _shape(schema):
-            raise RuntimeError(
-                f"table {name} exists and schemas do not match, "
-                f"expected: {_shape(schema)}, actual: {_shape(actual)}"
-            )
+        found, wanted = _shape(spark.table(name).schema), _shape(full)
+        if found != wanted:
+            differ = [
+                f"column {i + 1} is {f}, wanted {w}"
+                for i, (f, w) in enumerate(zip_longest(found, wanted))
+                if f != w
+            ]
+            raise RuntimeError(f"cannot append to {name}: " + "; ".join(differ))
         return False
     if "." in name:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_quoted(name.rsplit('.', 1)[0])}")
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full)
+    parts = ", ".join(f"`{f.name}`" for f in WRITER_COLUMNS)
     where = "" if location is None else " LOCATION '" + location.replace("'", "\\'") + "'"
-    spark.sql(f"CREATE TABLE {_quoted(name)} ({columns}) USING parquet{where}")
+    spark.sql(f"CREATE TABLE {_quoted(name)} ({columns}) USING {format} PARTITIONED BY ({parts}){where}")
     return True
 
 
-def append_rows(rows: DataFrame, table: str) -> None:
-    """Append a static DataFrame, by column name."""
-    rows.write.mode("append").format("parquet").saveAsTable(table)
+def append_rows(rows: DataFrame, table: str, writer: str | None = None, batch: int = 0) -> str:
+    """Append a static DataFrame, by column name; returns the writer's id.
+
+    Every append has a partition of its own, ``(writer, batch)``. Appending the same one again
+    replaces it, so a repeated batch adds nothing, and writers never touch each other's
+    rows: any number of jobs may append to a table. Without a ``writer`` the append is a
+    new one.
+    """
+    writer = writer or uuid.uuid4().hex
+    spark = rows.sparkSession
+    declared = [c for c in spark.table(table).columns if c not in WRITER_COLUMNS.names]
+    columns = ", ".join(f"`{c}`" for c in declared)
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {_quoted(table)} "
+        f"PARTITION (_writer = :writer, _batch = {int(batch)}) SELECT {columns} FROM {{rows}}",
+        args={"writer": writer},
+        rows=rows,
+    )
+    return writer
 
 
-def readings_from_raw(spark: SparkSession, table: str, streaming: bool = False) -> DataFrame:
+def stored_rows(
+    spark: SparkSession,
+    table: str,
+    streaming: bool = False,
+    writer: str | None = None,
+    batch: int | None = None,
+) -> DataFrame:
+    """A table's declared columns, of all appends or those of one writer or batch."""
+    rows = (spark.readStream if streaming else spark.read).table(table)
+    if writer is not None:
+        rows = rows.where(F.col("_writer") == writer)
+    if batch is not None:
+        rows = rows.where(F.col("_batch") == batch)
+    return rows.drop(*WRITER_COLUMNS.names)
+
+
+def readings_from_raw(
+    spark: SparkSession,
+    table: str,
+    streaming: bool = False,
+    writer: str | None = None,
+    batch: int | None = None,
+) -> DataFrame:
     """Readings back from the raw table, so that payloads are parsed only once.
 
-    Windows end on whole milliseconds, so the stored publish time falls in the same window
-    as the original one.
+    Windows of whole milliseconds take the stored publish time as they take the original one.
+    A value that another program stored and that no reading can hold becomes NULL.
     """
-    rows = (spark.readStream if streaming else spark.read).table(table)
-    return rows.select(
+    return stored_rows(spark, table, streaming, writer, batch).select(
         "measure",
-        F.col("value").cast("int").alias("value"),
+        F.col("value").try_cast("int").alias("value"),
         "received",
         F.col("window_timestamp").alias("publish_ts"),
     )

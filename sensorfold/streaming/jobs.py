@@ -1,9 +1,11 @@
 """The two streaming queries: readings to the raw table, window summaries to the other.
 
 Each query has its own checkpoint and can be stopped, restarted and scaled alone. The
-checkpoint folder is required: it is what makes a restart exact.
+checkpoint folder is required: it is what makes a restart exact. Each micro-batch goes to a
+partition of its own in the table, so batch jobs and other streams may append to it too.
 """
 
+import uuid
 from collections.abc import Sequence
 from typing import Any
 
@@ -13,24 +15,55 @@ from pyspark.sql.streaming import StreamingQuery
 from sensorfold.operators.extract import extract_readings
 from sensorfold.operators.rows import agg_rows, raw_rows
 from sensorfold.operators.windows import windowed_stats
-from sensorfold.schemas import AGG_SCHEMA, DEFAULT_LATENESS, DEFAULT_WINDOW, RAW_SCHEMA
+from sensorfold.schemas import (
+    AGG_SCHEMA,
+    DEFAULT_AGG_TABLE,
+    DEFAULT_LATENESS,
+    DEFAULT_RAW_TABLE,
+    DEFAULT_WINDOW,
+    RAW_SCHEMA,
+)
+from sensorfold.session import hadoop_path, require_stream_session
 from sensorfold.sources.messages import read_messages
-from sensorfold.sources.tables import ensure_table, readings_from_raw
+from sensorfold.sources.tables import append_rows, ensure_table, readings_from_raw
 
 RAW_METRICS = "extract"
 AGG_METRICS = "extract_agg"
 
 
+def _writer_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id under which a query appends, kept in its checkpoint.
+
+    A restart goes on under the same id, so a batch it repeats replaces itself. A new checkpoint
+    has a new id, so what it appends stands beside all that is there.
+    """
+    where, files = hadoop_path(spark, f"{checkpoint}/writer")
+    if not files.exists(where):
+        out = files.create(where, False)
+        out.writeUTF(uuid.uuid4().hex)
+        out.close()
+    source = files.open(where)
+    try:
+        return source.readUTF()
+    finally:
+        source.close()
+
+
 def _start(rows: DataFrame, table: str, checkpoint: str, trigger: dict[str, Any] | None):
-    writer = (
+    writer = _writer_id(rows.sparkSession, checkpoint)
+
+    def append(batch: DataFrame, number: int) -> None:
+        append_rows(batch, table, writer, number)
+
+    stream = (
         rows.writeStream.outputMode("append")
-        .format("parquet")
+        .foreachBatch(append)
         .queryName(f"append {table}")
         .option("checkpointLocation", checkpoint)
     )
     if trigger:
-        writer = writer.trigger(**trigger)
-    return writer.toTable(table)
+        stream = stream.trigger(**trigger)
+    return stream.start()
 
 
 def start_raw(
@@ -55,36 +88,26 @@ def start_aggregate(
     duration: str = DEFAULT_WINDOW,
     lateness: str = DEFAULT_LATENESS,
     trigger: dict[str, Any] | None = None,
-    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Append one row per measure and closed window; readings later than that are dropped.
 
-    The number of state partitions is fixed by the first run and kept in the checkpoint. It
-    defaults to the cluster's cores.
+    The number of state partitions is the session's ``spark.sql.shuffle.partitions`` when the
+    query first starts; its checkpoint keeps it for good, so set it for the load to come.
     """
-    spark = readings.sparkSession
-    width = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(width)
-    spark.conf.set(width, str(state_partitions or spark.sparkContext.defaultParallelism))
-    try:
-        # The query copies the session's settings while it starts.
-        return _start(closed_windows(readings, duration, lateness), table, checkpoint, trigger)
-    finally:
-        spark.conf.set(width, before)
+    return _start(closed_windows(readings, duration, lateness), table, checkpoint, trigger)
 
 
 def start_pipeline(
     spark: SparkSession,
     source: str,
     checkpoint: str,
-    raw_table: str | None = "telemetry.sensor_data",
-    agg_table: str | None = "telemetry.agg_sensor_data",
+    raw_table: str | None = DEFAULT_RAW_TABLE,
+    agg_table: str | None = DEFAULT_AGG_TABLE,
     duration: str = DEFAULT_WINDOW,
     lateness: str = DEFAULT_LATENESS,
     format: str = "parquet",
     options: dict[str, str] | None = None,
     trigger: dict[str, Any] | None = None,
-    state_partitions: int | None = None,
     aggregate_raw_table: bool = False,
 ) -> list[StreamingQuery]:
     """Provision both tables and start both queries on the same source.
@@ -96,6 +119,7 @@ def start_pipeline(
     """
     if aggregate_raw_table and raw_table is None:
         raise ValueError("aggregate_raw_table needs a raw_table")
+    require_stream_session(spark)
     ensure_table(spark, raw_table, RAW_SCHEMA)
     ensure_table(spark, agg_table, AGG_SCHEMA)
     queries = []
@@ -116,7 +140,6 @@ def start_pipeline(
                 duration,
                 lateness,
                 trigger,
-                state_partitions,
             )
         )
     return queries

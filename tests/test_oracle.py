@@ -31,11 +31,15 @@ def duck():
     return db
 
 
+# The library's own queries; an optional subpackage tests its own.
+CORE = sorted(n for n, q in contract.queries().items() if q.__module__ == contract.__name__)
+
+
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(CORE) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", CORE)
 def test_matches_oracle(spark, duck, name):
     ours = contract.queries()[name](spark, SF)
     theirs = duck.execute(contract.oracle_sql()[name])
