@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
+import numpy as np
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,18 +17,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder under the cluster's ``spark.checkpoint.dir``.
-
-    A temporary folder serves only where the setting is absent and Spark runs in one local
-    process; a cluster without the setting is refused, as executors would write to their
-    own disks.
-    """
+    """A new folder under the cluster's ``spark.checkpoint.dir``; without that it is refused,
+    since executors might write to their own disks."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-        base = tempfile.gettempdir() + "/sensorfold-shared"
-        spark.conf.set("spark.checkpoint.dir", base)
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
@@ -43,7 +37,7 @@ def ship(spark: SparkSession) -> None:
     if context.applicationId in _SHIPPED:
         return
     package = Path(__file__).resolve().parents[1]
-    archive = Path(tempfile.mkdtemp(prefix="ship-")) / f"{package.name}.zip"
+    archive = Path(context._temp_dir) / f"{package.name}.zip"
     with zipfile.ZipFile(archive, "w") as out:
         for source in sorted(package.rglob("*.py")):
             out.write(source, source.relative_to(package.parent))
@@ -108,6 +102,21 @@ def unkept(found: DataFrame, id_col: str) -> DataFrame:
     return found.groupBy(id_col).agg(F.max("kept").alias("kept")).where("NOT kept").select(id_col)
 
 
+def forest(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Lowers ``labels`` (indices) until both ends of each edge agree."""
+    while len(a):
+        la, lb = labels[a], labels[b]
+        differ = la != lb
+        if not differ.any():
+            return
+        a, b, la, lb = a[differ], b[differ], la[differ], lb[differ]
+        low = np.minimum(la, lb)
+        np.minimum.at(labels, la, low)
+        np.minimum.at(labels, lb, low)
+        while not np.array_equal(labels, labels[labels]):
+            labels[:] = labels[labels]
+
+
 def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Smallest node id reachable from each node over undirected edges.
 

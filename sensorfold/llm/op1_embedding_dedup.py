@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, settled, ship
+from .common import components, forest, settled, ship
 
 #: Vectors per block; a tile holds two blocks.
 BLOCK = 8_192
@@ -54,21 +54,6 @@ def _valid(batch: pd.Series) -> pd.Series:
     return batch.map(packed)
 
 
-def _forest(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-    """Lowers ``labels`` (indices) until both ends of each edge agree."""
-    while len(a):
-        la, lb = labels[a], labels[b]
-        differ = la != lb
-        if not differ.any():
-            return
-        a, b, la, lb = a[differ], b[differ], la[differ], lb[differ]
-        low = np.minimum(la, lb)
-        np.minimum.at(labels, la, low)
-        np.minimum.at(labels, lb, low)
-        while not np.array_equal(labels, labels[labels]):
-            labels[:] = labels[labels]
-
-
 def _tile(threshold: float, strip: int, stats: bool = False) -> Callable:
     def run(tile: pd.DataFrame) -> pd.DataFrame:
         tile = tile.sort_values("_c", ignore_index=True)  # then labels by index are labels by id
@@ -105,7 +90,7 @@ def _tile(threshold: float, strip: int, stats: bool = False) -> Callable:
             a, b = a[sure], b[sure]
             links += np.bincount(a, times[b], len(tile)).astype(np.int64)
             links += np.bincount(b, times[a], len(tile)).astype(np.int64)
-            _forest(labels, a, b)
+            forest(labels, a, b)
         hit = np.flatnonzero(links)
         ids = tile["_c"].to_numpy()
         return pd.DataFrame({"_c": ids[hit], "links": links[hit], "root": ids[labels[hit]]})

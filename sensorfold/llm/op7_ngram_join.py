@@ -9,8 +9,8 @@ just this list. Pairs of groups are made from runs, and counted up against the o
 linked pair must have in its prefixes; classes of what is left are verified on whole sets.
 
 Components need no pair twice over: first each group is held against one partner, and then only
-pairs across the components found so far are made, so a large group of near copies gives about
-as many pairs as it has members.
+pairs across the components found so far are made. Runs of many classes make no pairs at all:
+their classes are compared in tiles, and a tile gives only what hangs together.
 """
 
 from __future__ import annotations
@@ -23,13 +23,16 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap, components, marked, settled, ship, unkept, without
+from .common import bitmap, components, forest, marked, settled, ship, unkept, without
 
 WIDTH, PERCENT = 4, 85
 #: The most frequent tokens, known to all tasks: 8 bytes each. Any number gives right results.
 FREQUENT = 1 << 17
 #: Tokens of fewer classes than this never count as frequent.
 LEAST_DF = 8
+#: Runs of up to so many classes give pairs; larger ones are compared in tiles of two blocks of
+#: about so many classes, so many tokens at once.
+FEW, BLOCK, STRIPE = 64, 1_024, 4_096
 #: Bytes of text hashed at once, tokens held before they are handed on.
 STRIP, HELD = 1 << 21, 1 << 22
 
@@ -397,32 +400,41 @@ def similar_documents(
     nodes = classes.select("node")
     so_far = settled(components(nodes, links))
 
-    # 2: pairs across components, counted over whole runs
-    at = classes.join(so_far, "node").groupBy("grp").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi")
-    )
+    # 2: across components, runs of few classes by pairs counted over whole runs, others by tiles
+    at = settled(classes.join(so_far, "node").groupBy("grp").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n_cls")
+    ))
     member = (
         found.where("kind = 1").groupBy(F.col("a").alias("run"), F.col("b").alias("grp"), "n")
         .agg(F.sum("times").alias("times")).join(at, "grp")
     )
-    open_runs = member.groupBy("run").agg(F.min("lo").alias("_lo"), F.max("hi").alias("_hi")).where("_lo <> _hi").select("run")
+    open_runs = (
+        member.groupBy("run").agg(F.min("lo").alias("_lo"), F.max("hi").alias("_hi"), F.sum("n_cls").alias("_m"))
+        .where("_lo <> _hi").select("run", "_m")
+    )
     member = settled(member.join(open_runs, "run"))
-    x = member.select("run", "times", F.col("grp").alias("a"), F.col("n").alias("a_n"), F.col("lo").alias("a_lo"), F.col("hi").alias("a_hi"))
-    y = member.select("run", F.col("grp").alias("b"), F.col("n").alias("b_n"), F.col("lo").alias("b_lo"), F.col("hi").alias("b_hi"))
+    few = member.where(F.col("_m") <= FEW)
+    x = few.select("run", "times", F.col("grp").alias("a"), F.col("n").alias("a_n"), F.col("lo").alias("a_lo"), F.col("hi").alias("a_hi"))
+    y = few.select("run", F.col("grp").alias("b"), F.col("n").alias("b_n"), F.col("lo").alias("b_lo"), F.col("hi").alias("b_hi"))
     apart = ~((F.col("a_lo") == F.col("a_hi")) & (F.col("b_lo") == F.col("b_hi")) & (F.col("a_lo") == F.col("b_lo")))
     across = (
         x.join(y, "run").where((F.col("a") < F.col("b")) & apart & _fits("a_n", "b_n", percent))
         .groupBy("a", "b", "a_n", "b_n").agg(F.sum("times").alias("times"))
         .where(_reaches("times", "a_n", "b_n", percent)).select("a", "b")
     )
-    mixed_groups = at.where("lo <> hi").select(F.col("grp").alias("a"), F.col("grp").alias("b"))
-    of = classes.join(so_far, "node").select("grp", "node", "component")
+    torn = at.where("lo <> hi")  # groups of classes that are not yet together
+    inner = torn.where(F.col("n_cls") <= FEW).select(F.col("grp").alias("a"), F.col("grp").alias("b"))
+    of = settled(classes.join(so_far, "node").select("grp", "node", "component"))
     of_a = of.select(F.col("grp").alias("a"), F.col("node").alias("a_node"), F.col("component").alias("a_of"))
     of_b = of.select(F.col("grp").alias("b"), F.col("node").alias("b_node"), F.col("component").alias("b_of"))
     more = (
-        across.unionByName(mixed_groups).join(of_a, "a").join(of_b, "b").where("a_of <> b_of")
+        across.unionByName(inner).join(of_a, "a").join(of_b, "b").where("a_of <> b_of")
         .where("a <> b OR a_node < b_node").select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
     )
+    many = member.where(F.col("_m") > FEW).select("run", "grp").unionByName(
+        torn.where(F.col("n_cls") > FEW).select(F.xxhash64("grp", F.lit(1)).alias("run"), "grp")
+    ).join(of, "grp").select("run", "node").distinct()
+    links = links.unionByName(_tiled(rows, classes, settled(many), width, percent))
     links = links.unionByName(_verified(rows, classes, settled(more), width, percent))
 
     final = components(nodes, links).withColumnRenamed("component", "_comp")
@@ -444,6 +456,17 @@ def _verified(rows: DataFrame, classes: DataFrame, pairs: DataFrame, width: int,
     classes move. The join keys are class numbers, so a class in many pairs is split by AQE.
     """
     needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = _sets_of(rows, classes, needed, width)
+    left = pairs.join(sets.select(F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("tokens").alias("a_set")), "a")
+    both = left.join(sets.select(F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("tokens").alias("b_set")), "b")
+    shared = F.pandas_udf(_overlap, "bigint")("a_set", "b_set")
+    scored = both.where(_fits("a_n", "b_n", percent)).select("a", "b", "a_n", "b_n", shared.alias("_s"))
+    linked = (100 + percent) * F.col("_s") >= F.lit(percent) * (F.col("a_n") + F.col("b_n"))
+    return settled(scored.where(linked).select("a", "b"))
+
+
+def _sets_of(rows: DataFrame, classes: DataFrame, needed: DataFrame, width: int) -> DataFrame:
+    """``node, n, tokens`` of the classes in ``needed(node)``."""
     reps = settled(classes.join(needed, "node").select("node", "rep", "cls", "n"))
     reps = reps.withColumn("rep", F.col("rep").cast("string"))
     few = marked(rows, F.col("_id"), bitmap(reps, "rep"), "_may").where("_may").select("_id", "_text")
@@ -453,13 +476,60 @@ def _verified(rows: DataFrame, classes: DataFrame, pairs: DataFrame, width: int,
         # rows may repeat an id: take the one whose set the class has
         .where("key = cls").dropDuplicates(["node"]).select("node", "n", "tokens")
     )
-    sets = settled(sets)
-    left = pairs.join(sets.select(F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("tokens").alias("a_set")), "a")
-    both = left.join(sets.select(F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("tokens").alias("b_set")), "b")
-    shared = F.pandas_udf(_overlap, "bigint")("a_set", "b_set")
-    scored = both.where(_fits("a_n", "b_n", percent)).select("a", "b", "a_n", "b_n", shared.alias("_s"))
-    linked = (100 + percent) * F.col("_s") >= F.lit(percent) * (F.col("a_n") + F.col("b_n"))
-    return settled(scored.where(linked).select("a", "b"))
+    return settled(sets)
+
+
+def _tile_links(percent: int) -> Callable:
+    """Links of a tile's classes, as each linked class with the smallest it hangs together with."""
+
+    def run(tile: pd.DataFrame) -> pd.DataFrame:
+        tile = tile.sort_values("node", ignore_index=True)
+        n, side, nodes = tile["n"].to_numpy(), tile["side"].to_numpy(), tile["node"].to_numpy()
+        owner = np.repeat(np.arange(len(tile)), n)
+        tokens = np.frombuffer(b"".join(tile["tokens"]), dtype=np.uint64)
+        order = np.argsort(tokens, kind="stable")
+        tokens, owner = tokens[order], owner[order]
+        first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+        count = np.diff(np.append(first, len(tokens)))
+        # only tokens of two classes or more add to an overlap
+        column = np.repeat(np.cumsum(count > 1) - 1, count)
+        kept = np.repeat(count > 1, count)
+        owner, column = owner[kept], column[kept]
+        shared = np.zeros((len(tile), len(tile)), dtype=np.float32)
+        cuts = np.searchsorted(column, np.arange(0, (column[-1] if len(column) else 0) + STRIPE + 1, STRIPE))
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            if a < b:
+                part = np.zeros((len(tile), STRIPE), dtype=np.float32)
+                part[owner[a:b], column[a:b] % STRIPE] = 1
+                shared += part @ part.T
+        linked = (100 + percent) * shared.astype(np.int64) >= percent * (n[:, None] + n[None, :])
+        if side.any():  # of two blocks only what lies between them
+            linked &= side[:, None] != side[None, :]
+        i, j = np.nonzero(np.triu(linked, 1))
+        labels = np.arange(len(tile))
+        forest(labels, i, j)
+        hit = np.flatnonzero(labels != np.arange(len(tile)))
+        return pd.DataFrame({"a": nodes[hit], "b": nodes[labels[hit]]})
+
+    return run
+
+
+def _tiled(rows: DataFrame, classes: DataFrame, many: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links within each run of ``many(run, node)``, by tiles of two blocks of its classes.
+
+    Pairs stay in their tile: it tells its overlaps by a matrix product and gives a forest.
+    """
+    sizes = many.groupBy("run").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    placed = (
+        many.join(sizes, "run").withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("run", "node", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                (F.col("own") > F.col("other")).cast("int").alias("side"))
+    )
+    sets = _sets_of(rows, classes, many.select("node").distinct(), width)
+    tiles = placed.join(sets, "node").groupBy("run", "i", "j")
+    return settled(tiles.applyInPandas(_tile_links(percent), "a bigint, b bigint"))
 
 
 def op7_ngram_join(spark, sf_dir: str) -> DataFrame:
