@@ -25,15 +25,19 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Sends this package's source to the executors, once per application.
 
-    Tasks import the package by name; nothing has to be installed where they run.
+    Tasks import the package by name; nothing has to be installed where they run. Rows hold
+    whole texts, so batches that go to Python get fewer rows than Spark's default.
     """
     context = spark.sparkContext
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, "1000")
     if context.applicationId in _SHIPPED:
         return
     package = Path(__file__).resolve().parents[1]

@@ -385,6 +385,9 @@ def repeated_spans(
         spans = spans.groupBy("cls").agg(F.sort_array(F.collect_set(F.struct("start", "length"))).alias("_s")).select(
             "cls", F.explode(_merged(F.col("_s"))).alias("_s")
         ).select("cls", "_s.start", "_s.length", F.lit("").alias("repeat"))
+    # settled, so that both sides of the join are shuffled for it and AQE can split a class of
+    # very many occurrences
+    spans = settled(spans)
     placed = found.join(classes.select(*key, "cls"), key).select("_id", "_th", "pos", "cls")
     out = placed.join(spans, "cls").select(
         "_id", "_th", (F.col("pos") + F.col("start")).alias("start"), "length", "repeat"
