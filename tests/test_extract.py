@@ -1,5 +1,7 @@
 """The parser's decision table, payload by payload."""
 
+import re
+
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
@@ -57,7 +59,16 @@ BODIES = [
     (one(value="true"), None),
     (one(value="false"), None),
     (one(value="null"), None),
-    (one(value="[66]"), None),
+    (one(value="[66]"), ("a", 66, 2)),
+    (one(value='["66"]'), ("a", 66, 2)),
+    (one(value="[66.7]"), ("a", 66, 2)),
+    (one(value="[66,67]"), None),
+    (one(value="[66,null]"), None),
+    (one(value="[]"), None),
+    (one(value="[null]"), None),
+    (one(value="[true]"), None),
+    (one(value='{"0":66}'), None),
+    (one(received="[2]"), ("a", 66, 2)),
     (one(value='{"x":66}'), None),
     (one(value="2147483647"), ("a", 2147483647, 2)),
     (one(value="-2147483648"), ("a", -2147483648, 2)),
@@ -73,7 +84,11 @@ BODIES = [
     (one(meaning='""'), ("", 66, 2)),
     (one(meaning="null"), None),
     (one(meaning='{"x":1}'), None),
-    (one(meaning='["z"]'), None),
+    (one(meaning='["z"]'), ("z", 66, 2)),
+    (one(meaning='["z","y"]'), None),
+    (one(meaning="[[1]]"), None),
+    (one(meaning='[{"x":1}]'), None),
+    (one(meaning="5.0"), ("5", 66, 2)),  # a numeric name is spelled anew, a stated divergence
     (one(meaning='"{x"'), ("{x", 66, 2)),
     (one(meaning='"[x"'), ("[x", 66, 2)),
     (one(meaning='"température"'), ("température", 66, 2)),
@@ -91,7 +106,8 @@ BODIES = [
     ("][", None),
     ("[{'meaning':'a','value':66,'received':2}]", None),
     ("[{meaning:a,value:66,received:2}]", None),
-    ('[{"meaning":"a","meaning":"b","value":66,"received":2}]', None),
+    ('[{"meaning":"a","meaning":"b","value":66,"received":2}]', ("b", 66, 2)),
+    ('[{"meaning":"a","x":1,"value":66,"x":2,"received":2}]', ("a", 66, 2)),
 ]
 
 # whole payloads, where the unescaping or the slice matters
@@ -173,6 +189,23 @@ def test_columns_and_types(spark):
     ]
 
 
+def test_only_arrays_reach_the_parser(spark):
+    df = spark.createDataFrame([("'" + OK + "'",)], "payload string")
+    text = extract_readings(df)._jdf.queryExecution().optimizedPlan().toString()
+    guarded = re.search(r"CASE WHEN StartsWith\(.*?\[\) THEN .*?parseJson", text, re.S)
+    assert guarded, text
+
+
+def test_parser_needs_a_configured_session(spark):
+    key = "spark.sql.variant.allowDuplicateKeys"
+    spark.conf.set(key, "false")
+    try:
+        with pytest.raises(ValueError, match=key):
+            extract_readings(spark.createDataFrame([("x",)], "payload string"))
+    finally:
+        spark.conf.set(key, "true")
+
+
 def test_payload_is_parsed_once(spark):
     df = spark.createDataFrame([("'" + OK + "'",)], "payload string")
     plan = extract_readings(df)._jdf.queryExecution().executedPlan().toString()

@@ -8,8 +8,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorfold.operators import agg_rows, extract_readings, raw_rows, windowed_stats
+from sensorfold.plans import run_batch
 from sensorfold.schemas import AGG_SCHEMA, RAW_SCHEMA
-from sensorfold.sources import ensure_table, event_messages, read_messages, readings_from_raw
+from sensorfold.sources import (
+    ensure_table,
+    event_messages,
+    read_messages,
+    readings_from_raw,
+    stored_rows,
+)
 from sensorfold.streaming import start_aggregate, start_pipeline, start_raw, wait_all
 
 SF = "/root/testdata/sf0.001"
@@ -69,16 +76,16 @@ def same(left, right):
 def run_raw(spark, messages, table, checkpoint):
     ensure_table(spark, table, RAW_SCHEMA)
     wait_all([start_raw(messages, table, checkpoint, NOW)])
-    return spark.table(table)
+    return stored_rows(spark, table)
 
 
 def run_agg(spark, messages, table, checkpoint, duration="1 minute", lateness="0 seconds"):
     ensure_table(spark, table, AGG_SCHEMA)
     query = start_aggregate(
-        extract_readings(messages), table, checkpoint, duration, lateness, NOW, state_partitions=4
+        extract_readings(messages), table, checkpoint, duration, lateness, NOW
     )
     wait_all([query])
-    return spark.table(table)
+    return stored_rows(spark, table)
 
 
 def test_batch_and_stream_agree_on_closed_windows(spark, topic, tmp_path):
@@ -133,10 +140,10 @@ def test_restart_resumes_without_repeating(spark, topic, tmp_path):
         topic.publish(quarter(spark, i))
     run()
     readings = extract_readings(topic.read(streaming=False))
-    same(spark.table(raw), raw_rows(readings))
+    same(stored_rows(spark, raw), raw_rows(readings))
     newest = readings.agg(F.max("publish_ts")).first()[0]
     stats = windowed_stats(readings, "1 hour").where(F.col("window.end") <= F.lit(newest))
-    same(spark.table(agg), agg_rows(stats))
+    same(stored_rows(spark, agg), agg_rows(stats))
 
 
 def test_progress_reports_bad_records(spark, topic, tmp_path):
@@ -156,15 +163,15 @@ def test_pipeline_fans_out_to_both_tables(spark, topic, tmp_path):
         topic.publish(quarter(spark, i))
     raw, agg = f"telemetry_stream.{fresh()}", f"telemetry_stream.{fresh()}"
     queries = start_pipeline(
-        spark, topic.path, f"{tmp_path}/c", raw, agg, "1 hour", trigger=NOW, state_partitions=4
+        spark, topic.path, f"{tmp_path}/c", raw, agg, "1 hour", trigger=NOW
     )
     assert len(queries) == 2
     wait_all(queries)
     readings = extract_readings(topic.read(streaming=False))
-    same(spark.table(raw), raw_rows(readings))
+    same(stored_rows(spark, raw), raw_rows(readings))
     newest = readings.agg(F.max("publish_ts")).first()[0]
     stats = windowed_stats(readings, "1 hour").where(F.col("window.end") <= F.lit(newest))
-    same(spark.table(agg), agg_rows(stats))
+    same(stored_rows(spark, agg), agg_rows(stats))
 
 
 def test_pipeline_leaves_out_unset_tables(spark, topic, tmp_path):
@@ -182,7 +189,7 @@ def test_pipeline_refuses_a_changed_table(spark, topic, tmp_path):
     topic.publish(quarter(spark, 0))
     raw = fresh()
     ensure_table(spark, raw, AGG_SCHEMA)
-    with pytest.raises(RuntimeError, match="schemas do not match"):
+    with pytest.raises(RuntimeError, match="cannot append to"):
         start_pipeline(spark, topic.path, f"{tmp_path}/c", raw, None, trigger=NOW)
 
 
@@ -195,15 +202,59 @@ def test_aggregate_can_follow_the_raw_table(spark, topic, tmp_path):
     ensure_table(spark, chained, AGG_SCHEMA)
     readings = readings_from_raw(spark, raw, streaming=True)
     wait_all([start_aggregate(readings, chained, f"{tmp_path}/chained", "1 hour", trigger=NOW)])
-    same(spark.table(chained), spark.table(direct))
+    same(stored_rows(spark, chained), stored_rows(spark, direct))
 
 
-def test_start_aggregate_leaves_the_session_as_it_was(spark, topic, tmp_path):
+def test_state_width_is_the_sessions(spark, topic, tmp_path):
     topic.publish(quarter(spark, 0))
-    before = spark.conf.get("spark.sql.shuffle.partitions")
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     run_agg(spark, topic.read(), fresh(), f"{tmp_path}/c", "1 hour")
-    assert spark.conf.get("spark.sql.shuffle.partitions") == before
-    assert len(os.listdir(f"{tmp_path}/c/state/0")) >= 4
+    parts = [d for d in os.listdir(f"{tmp_path}/c/state/0") if d.isdigit()]
+    assert len(parts) == width
+
+
+def test_pipeline_needs_a_configured_session(spark, topic, tmp_path):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.unset(key)
+    try:
+        with pytest.raises(ValueError, match="configure_session"):
+            start_pipeline(spark, topic.path, f"{tmp_path}/c", fresh(), fresh(), trigger=NOW)
+    finally:
+        spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("order", ["batch first", "stream first", "two streams"])
+def test_writers_share_a_table(spark, topic, tmp_path, order):
+    for i in range(2):
+        topic.publish(quarter(spark, i))
+    n = extract_readings(topic.read(streaming=False)).count()
+    raw = fresh()
+    stream = lambda c: run_raw(spark, topic.read(), raw, f"{tmp_path}/{c}")
+    batch = lambda: run_batch(topic.read(streaming=False), raw, None, writer="backfill")
+    ensure_table(spark, raw, RAW_SCHEMA)
+    first, second = {
+        "batch first": (batch, lambda: stream("a")),
+        "stream first": (lambda: stream("a"), batch),
+        "two streams": (lambda: stream("a"), lambda: stream("b")),
+    }[order]
+    first()
+    second()
+    assert stored_rows(spark, raw).count() == 2 * n
+    first()  # again: a restart and a repeated batch add nothing
+    second()
+    assert stored_rows(spark, raw).count() == 2 * n
+
+
+def test_writers_share_an_aggregate_table(spark, topic, tmp_path):
+    for i in range(2):
+        topic.publish(quarter(spark, i))
+    agg = fresh()
+    one = run_agg(spark, topic.read(), agg, f"{tmp_path}/a", "1 hour").count()
+    run_batch(topic.read(streaming=False), None, agg, "1 hour")
+    run_agg(spark, topic.read(), agg, f"{tmp_path}/b", "1 hour")
+    whole = windowed_stats(extract_readings(topic.read(streaming=False)), "1 hour").count()
+    assert stored_rows(spark, agg).count() == 2 * one + whole
 
 
 def test_wait_all_stops_the_others_and_raises(spark, topic, tmp_path):

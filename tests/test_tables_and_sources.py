@@ -1,17 +1,17 @@
 """Provisioning, appending, batch runs and message sources."""
 
 import datetime as dt
+import os
 import uuid
 
 import pytest
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorfold.operators import agg_rows, extract_readings, raw_rows, windowed_stats
 from sensorfold.plans import compare_tables, reduce_tables, run_batch
 from sensorfold.schemas import AGG_SCHEMA, MESSAGE_SCHEMA, RAW_SCHEMA
-from sensorfold.session import configure_session, work_dir
+from sensorfold.session import configure_session, drop_work, work_dir
 from sensorfold.sources import (
     append_rows,
     broker_records,
@@ -20,6 +20,7 @@ from sensorfold.sources import (
     event_messages,
     read_messages,
     readings_from_raw,
+    stored_rows,
     text_messages,
 )
 
@@ -42,13 +43,14 @@ def test_create_then_reopen(spark):
     name = f"telemetry_test.{fresh()}"
     assert ensure_table(spark, name, RAW_SCHEMA) is True
     assert ensure_table(spark, name, RAW_SCHEMA) is False
-    assert spark.table(name).dtypes == [(f.name, f.dataType.simpleString()) for f in RAW_SCHEMA]
+    assert stored_rows(spark, name).dtypes == [(f.name, f.dataType.simpleString()) for f in RAW_SCHEMA]
+    assert spark.table(name).columns[-2:] == ["_writer", "_batch"]
 
 
 def test_create_at_a_location(spark, tmp_path):
     name = fresh()
     ensure_table(spark, name, RAW_SCHEMA, f"{tmp_path}/it's here")
-    spark.sql(f"INSERT INTO {name} VALUES ('a', 1, 2, TIMESTAMP '2024-01-01')")
+    append_rows(spark.sql("SELECT 'a' measure, 1L value, 2L received, TIMESTAMP '2024-01-01' window_timestamp"), name)
     assert spark.read.parquet(f"{tmp_path}/it's here").count() == 1
 
 
@@ -64,7 +66,7 @@ def test_create_at_a_location(spark, tmp_path):
 def test_refuse_another_schema(spark, schema):
     name = fresh()
     ensure_table(spark, name, RAW_SCHEMA)
-    with pytest.raises(RuntimeError, match="expected: .* actual: .*"):
+    with pytest.raises(RuntimeError, match="cannot append to .*column [0-9] is .*, wanted"):
         ensure_table(spark, name, schema)
 
 
@@ -84,6 +86,11 @@ def test_append_is_by_name(spark):
     append_rows(row, name)
     append_rows(row, name)
     assert spark.table(name).count() == 2
+    writer = append_rows(row, name, batch=3)
+    assert append_rows(row, name, writer, 3) == writer  # the same batch again
+    assert spark.table(name).count() == 3
+    append_rows(row.where("false"), name, writer, 3)  # and now without its row
+    assert spark.table(name).count() == 2
     first = spark.table(name).first()
     assert (first["measure"], first["value"], first["received"]) == ("m", 3, 5)
 
@@ -91,13 +98,13 @@ def test_append_is_by_name(spark):
 # --- batch ----------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("keep", [None, StorageLevel.DISK_ONLY])
-def test_run_batch_fills_both_tables(spark, messages, keep):
+def test_run_batch_fills_both_tables(spark, messages):
     raw, agg = fresh(), fresh()
-    run_batch(messages, raw, agg, "1 hour", keep=keep)
+    writer = run_batch(messages, raw, agg, "1 hour")
+    assert run_batch(messages, raw, agg, "1 hour", writer=writer) == writer  # repeated: no more rows
     readings = extract_readings(messages)
     for table, rows in ((raw, raw_rows(readings)), (agg, agg_rows(windowed_stats(readings, "1 hour")))):
-        stored = spark.table(table)
+        stored = stored_rows(spark, table)
         assert stored.exceptAll(rows).isEmpty() and rows.exceptAll(stored).isEmpty()
     assert spark.table(agg).agg(F.sum("cnt")).first()[0] == spark.table(raw).count()
     assert compare_tables(spark, raw, agg).count() == 10
@@ -121,6 +128,34 @@ def test_raw_table_gives_the_same_windows(spark, messages):
     assert again.exceptAll(direct).isEmpty() and direct.exceptAll(again).isEmpty()
 
 
+def test_run_batch_parses_once_for_two_tables(spark, messages, tmp_path):
+    messages.select("payload", "publish_ts").write.parquet(f"{tmp_path}/m")
+    read = read_messages(spark, f"{tmp_path}/m")
+    # the raw table is written from the messages, the summaries from the raw table
+    run_batch(read, raw := fresh(), agg := fresh(), "1 hour")
+    again = windowed_stats(readings_from_raw(spark, raw), "1 hour")
+    text = again._jdf.queryExecution().executedPlan().toString()
+    assert "parseJson" not in text
+    stored = stored_rows(spark, agg)
+    assert stored.exceptAll(agg_rows(again)).isEmpty() and agg_rows(again).exceptAll(stored).isEmpty()
+
+
+def test_a_second_run_summarises_its_own_rows_alone(spark, messages):
+    raw, agg = fresh(), fresh()
+    run_batch(messages, raw, agg, "1 hour")
+    once = stored_rows(spark, agg).count()
+    run_batch(messages, raw, agg, "1 hour")
+    assert stored_rows(spark, agg).count() == 2 * once
+    assert stored_rows(spark, raw).count() == 2000
+
+
+def test_foreign_wide_values_do_not_stop_the_reader(spark):
+    raw = fresh()
+    ensure_table(spark, raw, RAW_SCHEMA)
+    append_rows(spark.sql("SELECT 'a' measure, 5000000000L value, 2L received, TIMESTAMP '2024-01-01' window_timestamp"), raw)
+    assert readings_from_raw(spark, raw).first()["value"] is None
+
+
 # --- sources --------------------------------------------------------------------------
 
 
@@ -187,9 +222,32 @@ def test_work_dir_is_under_the_shared_folder_and_new(spark):
     assert first.startswith(shared + "/") and second.startswith(shared + "/") and first != second
 
 
-def test_few_splits_are_dealt_out_and_many_are_left_alone(spark):
-    few, many = spark.range(0, 100, 1, 2), spark.range(0, 100, 1, 64)
-    dealt = deal_out(few)
-    assert dealt.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert dealt.exceptAll(few).isEmpty() and dealt.count() == 100
-    assert deal_out(many) is many
+def test_work_dir_is_refused_without_a_shared_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_dir(FakeSession())
+
+
+class FakeSession:
+    """A session that names no shared folder; the real one may inherit it from its context."""
+
+    class conf:
+        @staticmethod
+        def get(key, default):
+            return default
+
+
+def test_drop_work_removes_tables_and_files(spark):
+    folder, name = work_dir(spark), fresh()
+    ensure_table(spark, name, RAW_SCHEMA, f"{folder}/raw")
+    append_rows(spark.sql("SELECT 'a' measure, 1L value, 2L received, TIMESTAMP '2024-01-01' window_timestamp"), name)
+    drop_work(spark, folder, (name,))
+    assert not spark.catalog.tableExists(name)
+    assert not os.path.exists(folder.removeprefix("file:"))
+
+
+def test_deal_out_does_as_asked_and_nothing_else(spark):
+    rows = spark.range(0, 100, 1, 2)
+    assert deal_out(rows) is rows
+    dealt = deal_out(rows, 5)
+    assert "Exchange RoundRobinPartitioning(5)" in dealt._jdf.queryExecution().executedPlan().toString()
+    assert dealt.exceptAll(rows).isEmpty() and dealt.count() == 100

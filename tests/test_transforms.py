@@ -9,6 +9,7 @@ from sensorfold.operators import (
     agg_rows,
     assign_window,
     co_group,
+    co_group_lists,
     co_group_only,
     comparison_from_readings,
     count_per_measure,
@@ -212,43 +213,50 @@ def test_co_group_keeps_keys_of_any_input(spark):
     a = spark.createDataFrame([("x", 1), ("x", 1), ("x", 2), (None, 9)], "k string, value int")
     b = spark.createDataFrame([("y", "s")], "k string, value string")
     c = spark.createDataFrame([], "k string, value double")
-    out = co_group({"a": a, "b": b, "c": c}, ["k"]).collect()
-    got = {r["k"]: (r["slice"], sorted(map(tuple, r["a"])), [tuple(i) for i in r["b"]], r["c"]) for r in out}
-    assert got == {
+    out = co_group({"a": a, "b": b, "c": c}, ["k"])
+    assert out.columns == ["k", "tag", "a", "b", "c", "n"]
+    assert sorted(map(tuple, out.collect()), key=repr) == [
+        ("x", "a", 1, None, None, 2), ("x", "a", 2, None, None, 1),
+        ("y", "b", None, "s", None, 1), (None, "a", 9, None, None, 1),
+    ]
+    lists = {
+        r["k"]: (r["slice"], sorted(map(tuple, r["a"])), [tuple(i) for i in r["b"]], r["c"])
+        for r in co_group_lists({"a": a, "b": b, "c": c}, ["k"]).collect()
+    }
+    assert lists == {
         "x": (0, [(1, 2), (2, 1)], [], []),
         "y": (0, [], [("s", 1)], []),
         None: (0, [(9, 1)], [], []),
     }
 
 
-def test_co_group_lists_null_values(spark):
+def test_co_group_counts_null_values(spark):
     a = spark.createDataFrame([("x", None), ("x", None), ("x", 1)], "k string, value int")
-    row = co_group({"a": a}, ["k"]).first()
+    row = co_group_lists({"a": a}, ["k"]).first()
     assert sorted(map(tuple, row["a"]), key=repr) == [(1, 1), (None, 2)]
 
 
-@pytest.mark.parametrize("slice_size", [7, 100, 100_000])
-def test_slices_hold_every_value_once_and_stay_small(skewed, slice_size):
+@pytest.mark.parametrize("slices", [1, 7])
+def test_slices_hold_every_value_once_at_any_size(skewed, slices):
     maxima = max_per_measure(skewed).withColumnRenamed("max", "value")
-    grouped = co_group({"all": skewed, "maxima": maxima}, ["measure"], slice_size=slice_size)
+    inputs = {"all": skewed, "maxima": maxima}
+    grouped = co_group_lists(inputs, ["measure"], slices=slices)
     for tag, source in (("all", skewed), ("maxima", maxima)):
         unfolded = grouped.select("measure", F.explode(tag).alias("i")).select("measure", "i.value", "i.n")
         same(unfolded, source.groupBy("measure", "value").agg(F.count(F.lit(1)).alias("n")))
-    largest = grouped.agg(F.max(F.size("all") + F.size("maxima"))).first()[0]
-    assert largest <= max(3 * slice_size, slice_size + 40)
-    if slice_size == 7:
-        assert grouped.where("measure = 'hot'").count() > 50
-    if slice_size == 100_000:
-        assert grouped.where("slice <> 0").isEmpty()
+    assert grouped.groupBy("measure", "slice").count().where("count > 1").isEmpty()
+    assert grouped.where((F.col("slice") < 0) | (F.col("slice") >= slices)).isEmpty()
+    few = {tag: df.where("value % 50 = 0") for tag, df in inputs.items()}
+    assert co_group_lists(few, ["measure"], slices=slices).columns == grouped.columns
+    with pytest.raises(ValueError):
+        co_group_lists(inputs, ["measure"], slices=0)
 
 
-def test_co_group_scans_its_inputs_once(readings):
-    text = plan(co_group({"all": readings}, ["measure"]))
-    assert text.count("FileScan") == 2  # planned twice ...
-    done = co_group({"all": readings}, ["measure"], slice_size=5)
-    done.collect()
-    final = plan(done)
-    assert "ReusedExchange" in final or final.split("Initial Plan")[0].count("FileScan") == 1
+def test_co_group_scans_each_input_once_and_joins_nothing(readings):
+    for grouped in (co_group({"all": readings}, ["measure"]), co_group_lists({"all": readings}, ["measure"], slices=5)):
+        text = plan(grouped)
+        assert text.count("FileScan") == 1
+        assert "Join" not in text
 
 
 def test_co_group_refuses_bad_tags(spark, readings):
@@ -298,6 +306,27 @@ def test_one_pass_comparison_equals_the_two_table_one(skewed):
     assert "(Agg) hot" in labelled
 
 
+def test_one_pass_reports_count_readings_without_a_time(spark):
+    rows = [("a", 1, dt.datetime(2024, 1, 1)), ("a", 9, None), ("b", 5, None)]
+    readings = spark.createDataFrame(rows, "measure string, value int, publish_ts timestamp").withColumn(
+        "received", F.lit(0).cast("bigint")
+    )
+    raw, agg = raw_rows(readings), agg_rows(windowed_stats(readings))
+    same(comparison_from_readings(readings), summary_comparison(raw, agg))
+    assert ("a", 9, 1, 5.0, 2) in [tuple(r) for r in comparison_from_readings(readings).collect()]
+    assert tuple(reduction_from_readings(readings).first()) == tuple(reduction_report(raw, agg).first()) == (3, 1, 3.0)
+
+
+def test_sums_beyond_64_bits(spark):
+    big = 5 * 10**18
+    rows = [("a", big, dt.datetime(2024, 1, 1)), ("a", big, dt.datetime(2024, 1, 1))]
+    readings = spark.createDataFrame(rows, "measure string, value bigint, publish_ts timestamp").withColumn(
+        "received", F.lit(0).cast("bigint")
+    )
+    two = summary_comparison(raw_rows(readings), agg_rows(windowed_stats(readings)))
+    same(comparison_from_readings(readings), two)
+
+
 def test_reduction_report(spark, skewed):
     raw, agg = raw_rows(skewed), agg_rows(windowed_stats(skewed))
     want = (raw.count(), agg.count())
