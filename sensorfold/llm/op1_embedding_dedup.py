@@ -65,7 +65,7 @@ def _tile(threshold: float, strip: int, stats: bool = False) -> Callable:
         kind = np.float32 if 127 * 127 * dim < 1 << 24 else np.float64
         codes = codes.astype(kind)
         times, side = tile["_m"].to_numpy(), tile["_side"].to_numpy()
-        diagonal = not side.any()
+        diagonal = bool(tile["_i"].iloc[0] == tile["_j"].iloc[0])
         left = np.flatnonzero(side == 0)
         right = left if diagonal else np.flatnonzero(side == 1)
         links, labels = np.zeros(len(tile), dtype=np.int64), np.arange(len(tile))

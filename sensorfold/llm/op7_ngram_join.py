@@ -503,7 +503,7 @@ def _tile_links(percent: int) -> Callable:
                 part[owner[a:b], column[a:b] % STRIPE] = 1
                 shared += part @ part.T
         linked = (100 + percent) * shared.astype(np.int64) >= percent * (n[:, None] + n[None, :])
-        if side.any():  # of two blocks only what lies between them
+        if tile["i"].iloc[0] != tile["j"].iloc[0]:  # of two blocks only what lies between them
             linked &= side[:, None] != side[None, :]
         i, j = np.nonzero(np.triu(linked, 1))
         labels = np.arange(len(tile))
