@@ -132,7 +132,13 @@ def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 60) -> Data
     """
     edges = edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select("a", "b")
     both = settled(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-    labels = settled(both.select(F.col("a").alias("node")).distinct().withColumn("f", F.col("node")))
+    labels = settled(
+        both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("f"))
+        .select("node", F.least("f", "node").alias("f"))
+    )
+    # labels only ever fall, so equal sums mean that none did
+    total = F.sum(F.col("f").cast("decimal(38,0)"))
+    before = labels.agg(total).first()[0]
     for _ in range(max_rounds):
         parent = labels.select(F.col("node").alias("f"), F.col("f").alias("g"))
         known = settled(labels.join(parent, "f").select("node", "f", "g"))
@@ -141,17 +147,16 @@ def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 60) -> Data
             .groupBy(F.col("a").alias("node"))
             .agg(F.min("g").alias("low"))
         )
-        own = settled(known.join(lows, "node", "left"))
-        least = F.least("low", "g")
-        wishes = own.select("node", least.alias("w")).unionByName(
-            own.groupBy(F.col("f").alias("node")).agg(F.min(least).alias("w"))
+        least = F.least("low", "g").alias("w")
+        wish = F.array(F.struct("node", least), F.struct(F.col("f").alias("node"), least))
+        labels = settled(
+            known.join(lows, "node").select(F.explode(wish).alias("_w"))
+            .groupBy("_w.node").agg(F.min("_w.w").alias("f"))
         )
-        new = wishes.groupBy("node").agg(F.min("w").alias("f"))
-        old = labels
-        labels = settled(new)
-        moved = labels.join(old.withColumnRenamed("f", "was"), "node").where("f <> was")
-        if moved.isEmpty():
+        after = labels.agg(total).first()[0]
+        if after == before:
             break
+        before = after
     else:
         raise RuntimeError("component labels did not settle")
     found = labels.select("node", F.col("f").alias("component"))

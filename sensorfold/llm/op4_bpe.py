@@ -29,7 +29,7 @@ SEGMENT = 16_384
 #: Bytes from which a single word is halved.
 LONG_WORD = 2_048
 #: Words a worker remembers; the cache starts anew beyond it.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 
 #: The pattern of the byte-level vocabularies. Fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"

@@ -33,8 +33,11 @@ LEAST_DF = 8
 #: Runs of up to so many classes give pairs; larger ones are compared in tiles of two blocks of
 #: about so many classes, so many tokens at once.
 FEW, BLOCK, STRIPE = 64, 1_024, 4_096
+#: Leading bits of a token by which its frequency is counted. Tokens that share them count as one,
+#: which moves them in the order and changes no result.
+COUNTED_BITS = np.uint64(40)
 #: Bytes of text hashed at once, tokens held before they are handed on.
-STRIP, HELD = 1 << 21, 1 << 22
+STRIP, HELD = 1 << 19, 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _PLACE = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3,
@@ -134,8 +137,9 @@ def prefix_of(tokens: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], perce
     p = prefix_length(len(tokens), percent)
     keys, ranks = frequent
     if len(keys):
-        at = np.minimum(np.searchsorted(keys, tokens), len(keys) - 1)
-        often = keys[at] == tokens
+        short = tokens >> (np.uint64(64) - COUNTED_BITS)
+        at = np.minimum(np.searchsorted(keys, short), len(keys) - 1)
+        often = keys[at] == short
         rare = tokens[~often]
         if len(rare) >= p:
             first = rare[:p]
@@ -150,7 +154,7 @@ def prefix_of(tokens: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], perce
 
 
 def _packed(values: np.ndarray) -> bytes:
-    """Sorted numbers as differences, byte by byte."""
+    """Sorted numbers as differences, byte plane by byte plane, so that high zeros vanish."""
     steps = np.diff(values, prepend=np.uint64(0))
     return zstandard.compress(steps.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
 
@@ -173,6 +177,7 @@ def _count_tokens(width: int, buckets: int) -> Callable:
             tokens = np.sort(np.concatenate(held))
             cuts = np.searchsorted(_bucket(tokens, buckets), np.arange(buckets + 1))
             full = [k for k in range(buckets) if cuts[k] < cuts[k + 1]]
+            tokens >>= np.uint64(64) - COUNTED_BITS
             return pd.DataFrame({"bucket": full, "data": [_packed(tokens[cuts[k] : cuts[k + 1]]) for k in full]})
 
         for batch in batches:

@@ -34,13 +34,13 @@ LEAST = 400
 ANCHOR = 128
 #: Positions of a text looked at together.
 STRIP = 1 << 20
-HELD = 1 << 21
+HELD = 1 << 19
 #: Classes of one anchor that share a suffix array at most.
 MOST_CLASSES = 2_048
 #: Bits of the bitmaps that keep tasks from handing on what cannot match: 8 MB each.
 BITS = 1 << 26
 #: Bytes of classes per suffix array task, about.
-TASK_BYTES = 4 << 20
+TASK_BYTES = 1 << 20
 
 _LOW = np.uint64((1 << 24) - 1)
 
