@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,12 +52,17 @@ from sensorfold.sources import (  # noqa: E402
 )
 from sensorfold.streaming import start_aggregate, start_raw, wait_all  # noqa: E402
 
-try:
-    from sensorfold.llm import registry as _llm  # noqa: E402
-except ModuleNotFoundError as missing:
-    # Only the subpackage itself may be absent; a fault inside it must show.
-    if missing.name not in ("sensorfold.llm", "corpus_pipeline"):
-        raise
+def _present(module: str) -> bool:
+    try:
+        return find_spec(module) is not None
+    except ModuleNotFoundError:
+        return False
+
+
+# The training-data part is optional; where it is there, a fault inside it shows.
+if _present("sensorfold.llm.registry") and _present("corpus_pipeline"):
+    from sensorfold.llm import registry as _llm
+else:
     _llm = None
 
 HOUR = "1 hour"
