@@ -541,6 +541,33 @@ def op7_ngram_join(spark, sf_dir: str) -> DataFrame:
     return similar_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(
+           CASE WHEN len(w) >= 4
+                THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+                WHEN len(w) > 0 THEN [array_to_string(w, ' ')] END) AS g
+  FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+  WHERE 100 * c >= 85 * (p.n + q.n - c)),
+walk(doc_id, seen) AS (
+  SELECT doc_id, doc_id FROM d
+  UNION SELECT k.doc_id, l.b FROM walk k JOIN links l ON k.seen = l.a),
+c AS (SELECT doc_id, min(seen) AS component_id FROM walk GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+FROM d JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)"""
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """``docs`` without the rows that have a smaller id in their component, with all their columns.
 

@@ -465,3 +465,30 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def op8_repeats(spark, sf_dir: str) -> DataFrame:
     return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+b AS (SELECT doc_id, h, length(h) // 2 AS n FROM d),
+w AS (
+  SELECT doc_id, i, md5(substr(h, 2 * i + 1, 800)) AS k
+  FROM (SELECT doc_id, h, unnest(range(0, greatest(n - 399, 0))) AS i FROM b)),
+r AS (SELECT doc_id, i FROM w WHERE k IN (SELECT k FROM w GROUP BY k HAVING count(*) > 1)),
+e AS (
+  SELECT doc_id, i, lag(i) OVER o AS before, lead(i) OVER o AS after FROM r
+  WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+-- spans: a start that no earlier one reaches, up to the last start within reach
+s AS (
+  SELECT doc_id, i, after, before IS NULL OR i > before + 400 AS opens,
+         after IS NULL OR after > i + 400 AS closes FROM e),
+o AS (SELECT doc_id, i AS a, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM s WHERE opens),
+x AS (SELECT doc_id, i + 400 AS z, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM s WHERE closes),
+p AS (SELECT doc_id, k, a, z, lag(z, 1, 0) OVER (PARTITION BY doc_id ORDER BY k) AS z0 FROM o JOIN x USING (doc_id, k)),
+g AS (
+  SELECT doc_id, sum(z - a) AS removed, count(*) AS spans, max(z) AS last,
+         string_agg(substr(h, 2 * z0 + 1, 2 * (a - z0)), '' ORDER BY k) AS head
+  FROM p JOIN b USING (doc_id) GROUP BY doc_id)
+SELECT b.doc_id, b.n AS n_bytes, CAST(coalesce(g.removed, 0) AS BIGINT) AS n_removed,
+       coalesce(g.spans, 0) AS n_spans,
+       sha256(unhex(coalesce(g.head || substr(b.h, 2 * g.last + 1), b.h))) AS kept_sha256
+FROM b LEFT JOIN g USING (doc_id)"""
