@@ -100,19 +100,20 @@ def _sets(part: list[bytes], width: int) -> Iterator[np.ndarray]:
         words = mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
         bounds = np.cumsum([0, *(len(p) + 1 for p in part)])
         cuts = np.searchsorted(starts, bounds)
-        shingles = None
+        shingles, order = None, np.arange(width, dtype=np.uint64)
+        place = _PLACE[np.arange(width) % 8] * (order // np.uint64(8) * np.uint64(2) + np.uint64(1))
         if len(words) >= width:
             total = np.zeros(len(words) - width + 1, dtype=np.uint64)
             for k in range(width):
-                total += words[k : len(words) - width + 1 + k] * _PLACE[k % 8] * np.uint64(2 * (k // 8) + 1)
+                total += words[k : len(words) - width + 1 + k] * place[k]
             shingles = mixed(total)
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             if b - a >= width:
                 found = np.sort(shingles[a : b - width + 1])
                 yield found[np.concatenate([[True], found[1:] != found[:-1]])]
             elif b > a:
-                few = words[a:b] * _PLACE[: b - a] if b - a <= 8 else words[a:b]
-                yield mixed(np.array([few.sum(dtype=np.uint64) + np.uint64(b - a)], dtype=np.uint64))
+                few = (words[a:b] * place[: b - a]).sum(dtype=np.uint64)
+                yield mixed(np.array([few + np.uint64(b - a)], dtype=np.uint64))
             else:
                 yield np.empty(0, dtype=np.uint64)
 
