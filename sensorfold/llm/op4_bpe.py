@@ -14,22 +14,22 @@ stay as they were on both sides.
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import released, ship
 
 #: Characters per segment of a long text.
 SEGMENT = 16_384
 #: Bytes from which a single word is halved.
 LONG_WORD = 2_048
 #: Words a worker remembers; the cache starts anew beyond it.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 250_000
 
 #: The pattern of the byte-level vocabularies. Fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -59,6 +59,8 @@ class Codec:
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import Split
 
+        # Spark's tasks share the cores already
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.whole = Tokenizer.from_file(path)
         self.whole.no_truncation()
         self.whole.no_padding()
@@ -81,7 +83,8 @@ class Codec:
             bytes(back[c] for c in t) if all(c in back for c in t) else t.encode() for t in names
         ]
         self.length_of = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
-        self.cache: dict[str, tuple[int, ...]] = {}
+        # ids as bytes: a quarter of what tuples take, and joined at once
+        self.cache: dict[str, bytes] = {}
 
     # --- words ---------------------------------------------------------------------
 
@@ -105,8 +108,8 @@ class Codec:
             return self.find(text)
         return [text[a:b] for _, (a, b) in self.whole.pre_tokenizer.pre_tokenize_str(text)]
 
-    def word_ids(self, words: list[str]) -> Iterator[tuple[int, ...]]:
-        """Ids of each word."""
+    def word_ids(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of each word, as bytes of 32-bit numbers."""
         new = [w for w in set(words) if w not in self.cache]
         if new:
             if len(self.cache) + len(new) > CACHE_WORDS:
@@ -117,7 +120,8 @@ class Codec:
                 self._learn(short[k : k + WORDS_AT_ONCE])
             for w in set(new) - set(short):
                 i = self.special.get(w)
-                self.cache[w] = (i,) if i is not None else tuple(self.tree(w.encode()))
+                found = [i] if i is not None else self.tree(w.encode())
+                self.cache[w] = np.array(found, dtype=np.uint32).tobytes()
         return map(self.cache.__getitem__, words)
 
     def _learn(self, words: list[str]) -> None:
@@ -127,14 +131,13 @@ class Codec:
         ids = self.model.encode_batch_fast([line], add_special_tokens=False)[0].ids
         ends = np.cumsum(self.length_of[ids])
         cuts = np.searchsorted(ends, np.cumsum([len(d) for d in data]), side="left") + 1
-        at = 0
-        for word, cut in zip(words, cuts.tolist(), strict=True):
-            self.cache[word] = tuple(ids[at:cut])
+        raw, at = np.array(ids, dtype=np.uint32).tobytes(), 0
+        for word, cut in zip(words, (cuts * 4).tolist(), strict=True):
+            self.cache[word] = raw[at:cut]
             at = cut
 
     def encode(self, text: str) -> np.ndarray:
-        ids = chain.from_iterable(self.word_ids(self.words(text)))
-        return np.fromiter(ids, dtype=np.uint32)
+        return np.frombuffer(b"".join(self.word_ids(self.words(text))), dtype=np.uint32)
 
     def decode(self, ids: np.ndarray) -> str:
         joined = b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
@@ -174,8 +177,8 @@ class Codec:
     def segment(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a segment, and the index of each word's first token."""
         parts = list(self.word_ids(self.words(text)))
-        ids = np.fromiter(chain.from_iterable(parts), dtype=np.uint32)
-        sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
+        ids = np.frombuffer(b"".join(parts), dtype=np.uint32)
+        sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
         return ids, np.cumsum(sizes) - sizes
 
     def join(self, left: tuple, right: tuple) -> tuple:
@@ -218,8 +221,8 @@ class Codec:
         place = int(at[agreed])
         keep = int(rstarts[places[place]]) if agreed < len(words) else len(rids)
         mid = [self._across(w, int(a), tail, lids, lstarts, rids, rstarts) for w, a in zip(words[:agreed], at.tolist(), strict=False)]
-        sizes = np.array([len(m) for m in mid], dtype=np.int64)
-        mid_ids = np.fromiter(chain.from_iterable(mid), dtype=np.uint32)
+        sizes = np.array([len(m) // 4 for m in mid], dtype=np.int64)
+        mid_ids = np.frombuffer(b"".join(mid), dtype=np.uint32)
         ids = np.concatenate([lids[:first], mid_ids, rids[keep:]])
         starts = np.concatenate([
             lstarts[lstarts < first],
@@ -228,16 +231,16 @@ class Codec:
         ]).astype(np.int64)
         return ids, starts
 
-    def _across(self, word: str, at: int, tail: bytes, lids, lstarts, rids, rstarts) -> list[int]:
+    def _across(self, word: str, at: int, tail: bytes, lids, lstarts, rids, rstarts) -> bytes:
         """Ids of a word of a window; a long one across the cut from what both sides have."""
         size = len(word.encode())
         if size <= LONG_WORD or at >= 0 or at + size <= 0 or word in self.special:
-            return list(next(self.word_ids([word])))
+            return next(self.word_ids([word]))
         left, right = lids[lstarts[-1] :].tolist(), rids[: rstarts[1] if len(rstarts) > 1 else len(rids)].tolist()
         sizes = (int(self.length_of[left].sum()), int(self.length_of[right].sum()))
         if sizes == (-at, at + size):
-            return self.join_tokens(left, right)
-        return list(next(self.word_ids([word])))
+            return np.array(self.join_tokens(left, right), dtype=np.uint32).tobytes()
+        return next(self.word_ids([word]))
 
 
 _CODECS: dict[str, Codec] = {}
@@ -267,7 +270,7 @@ def _short(path: str, more: tuple[str, ...]) -> Callable:
             if rows:
                 yield pd.DataFrame(rows).assign(_id=batch["_id"].to_numpy())
 
-    return run
+    return released(run)
 
 
 def _leaves(path: str) -> Callable:
@@ -280,7 +283,7 @@ def _leaves(path: str) -> Callable:
                 _starts=[s.astype(np.uint32).tobytes() for _, s in done],
             )
 
-    return run
+    return released(run)
 
 
 def _joined(path: str, more: tuple[str, ...]) -> Callable:

@@ -21,7 +21,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settled, shared_dir, ship
+from .common import released, settled, shared_dir, ship
 
 #: Payloads of fewer bytes are never stored as revisits.
 REVISIT_BYTES = 1_000
@@ -107,7 +107,7 @@ def _writer(folder: str, chunk: int) -> Callable:
             out.close()
             yield pa.RecordBatch.from_pydict({"archive": [path], "records": [records]})
 
-    return run
+    return released(run)
 
 
 def write_archives(records: DataFrame, folder: str, chunk: int = CHUNK) -> DataFrame:
@@ -206,7 +206,7 @@ def _reader(folder: str, chunk: int, with_data: bool) -> Callable:
         frame = pd.DataFrame(rows, columns=names, dtype=object)
         return frame.astype({"page_id": "Int64", "refers_to": "Int64", "chunk_no": "int32", "offset": "int64", "bytes": "int32", "last": "bool"})
 
-    return run
+    return released(run)
 
 
 def read_chunks(manifest: DataFrame, folder: str, chunk: int = CHUNK, with_data: bool = True) -> DataFrame:

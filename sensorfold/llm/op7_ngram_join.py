@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap, components, forest, marked, settled, ship, unkept, without
+from .common import bitmap, components, forest, marked, released, settled, ship, unkept, without
 
 WIDTH, PERCENT = 4, 85
 #: The most frequent tokens, known to all tasks: 8 bytes each. Any number gives right results.
@@ -193,7 +193,7 @@ def _count_tokens(width: int, buckets: int) -> Callable:
         if size:
             yield out()
 
-    return run
+    return released(run)
 
 
 def _frequent(most: int, least: int) -> Callable:
@@ -221,7 +221,7 @@ def _describe(width: int, percent: int, frequent) -> Callable:
                 n, cls, group = zip(*rows, strict=True)
                 yield pd.DataFrame({"_id": batch["_id"].to_numpy(), "n": n, "cls": cls, "grp": group})
 
-    return run
+    return released(run)
 
 
 def _post(width: int, percent: int, frequent, buckets: int) -> Callable:
@@ -260,7 +260,7 @@ def _post(width: int, percent: int, frequent, buckets: int) -> Callable:
         if size:
             yield out()
 
-    return run
+    return released(run)
 
 
 RUN_SHAPE = "kind int, a bigint, b bigint, n int, times int"
@@ -316,7 +316,7 @@ def _whole_sets(width: int) -> Callable:
             if sets:
                 yield pd.DataFrame({"_id": batch["_id"].to_numpy(), "key": keys, "tokens": [s.tobytes() for s in sets]})
 
-    return run
+    return released(run)
 
 
 def _overlap(a: pd.Series, b: pd.Series) -> pd.Series:

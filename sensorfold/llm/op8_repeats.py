@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap, marked, settled, ship
+from .common import bitmap, marked, released, settled, ship
 from .op7_ngram_join import _bucket, _packed, _powers, _unpacked, mixed
 
 LEAST = 400
@@ -114,7 +114,7 @@ def _count_anchors(least: int, anchor: int, buckets: int) -> Callable:
         if size:
             yield out()
 
-    return run
+    return released(run)
 
 
 def _bits_of(values: np.ndarray, bits: int) -> np.ndarray:
@@ -174,7 +174,7 @@ def _occurrences(least: int, anchor: int, bits: int, known) -> Callable:
                     "pos": pos, "size": size, "h": h, "d1": d1, "d2": d2,
                 })
 
-    return run
+    return released(run)
 
 
 def _place_key(th: np.ndarray, pos: np.ndarray) -> np.ndarray:
@@ -188,7 +188,7 @@ def _place_words(bits: int) -> Callable:
             if len(batch):
                 yield _words(_bits_of(_place_key(batch["_th"].to_numpy(), batch["pos"].to_numpy()), bits))
 
-    return run
+    return released(run)
 
 
 def _contents(least: int, anchor: int, bits: int, wanted) -> Callable:
@@ -205,7 +205,7 @@ def _contents(least: int, anchor: int, bits: int, wanted) -> Callable:
                 pos, data = zip(*rows, strict=True)
                 yield pd.DataFrame({"_id": batch["_id"].to_numpy()[owner], "_th": th[owner], "pos": pos, "data": data})
 
-    return run
+    return released(run)
 
 
 # --- enhanced suffix array --------------------------------------------------------------------
@@ -301,7 +301,7 @@ def _window_rows(least: int) -> Callable:
                 ), dtype=np.int64).reshape(-1, 2)
                 yield pd.DataFrame({"h": h, "cls": cls, "occ": occ, "start": np.arange(n), "w1": digests[:, 0], "w2": digests[:, 1]})
 
-    return run
+    return released(run)
 
 
 # --- operator ---------------------------------------------------------------------------------

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settled, ship
+from .common import released, settled, ship
 
 #: Wrappers of all hosts up to this size are broadcast; beyond it pages and wrappers are joined.
 BROADCAST_BYTES = 8 << 20
@@ -362,7 +362,7 @@ def _extractor() -> Callable:
                 texts.append(extract(parse(page), known[host]))
             yield batch[["_id", "_url"]].assign(_text=texts)
 
-    return run
+    return released(run)
 
 
 def main_text(
