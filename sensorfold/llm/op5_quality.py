@@ -9,8 +9,6 @@ evidence, as far as its length allows, plus its path's posterior.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -161,7 +159,7 @@ def _scored(docs, labels, id_col, text_col, host, path, quality_col, train_rows,
         F.sum(weight * F.coalesce("_y", soft_p)).alias("_good"), F.sum(weight).alias("_n")
     ))
     sites, rate = site_posteriors(counts)
-    return told, model, sites, rate, extract
+    return told, model, sites, rate
 
 
 def classify(
@@ -184,7 +182,7 @@ def classify(
     own. Empty and null texts have no evidence, so their site alone decides. Rows that repeat an id each get a row.
     """
     host, path = F.col(host_col), F.col(path_col)
-    told, model, sites, rate, _ = _scored(docs, labels, id_col, text_col, host, path, quality_col, train_rows, soft)
+    told, model, sites, rate = _scored(docs, labels, id_col, text_col, host, path, quality_col, train_rows, soft)
     sites = sites.withColumnsRenamed({"_host": "_sh", "_path": "_sp"})
     at_site = F.col("_host").eqNullSafe(F.col("_sh")) & F.col("_path").eqNullSafe(F.col("_sp"))
     share = F.col("_words") / (F.col("_words") + HALF_WORDS)
