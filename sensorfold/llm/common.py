@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import functools
+import gc
 import uuid
 import zipfile
 from pathlib import Path
@@ -81,6 +82,16 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def forget(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of steps that are settled and no longer referred to.
+
+    Its cleaner learns that a shuffle is unreachable from the driver's garbage collection, which
+    a driver with room to spare may put off for long; a job of many steps asks for it.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 #: Bits of a bitmap of keys: 65,536 words of 64 bits, about 1 MB however many keys it takes.
 BITMAP_BITS = 1 << 22
 

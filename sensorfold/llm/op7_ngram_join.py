@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap, components, forest, marked, released, settled, ship, unkept, without
+from .common import bitmap, components, forest, forget, marked, released, settled, ship, unkept, without
 
 WIDTH, PERCENT = 4, 85
 #: The most frequent tokens, known to all tasks: 8 bytes each. Any number gives right results.
@@ -391,6 +391,7 @@ def similar_documents(
         F.min("node").alias("head"), F.max("node").alias("_last"), F.first("n").alias("gn")
     ))
 
+    forget(spark)
     # 1: every group against its best partner, every class against its group's head
     counts = found.where("kind = 0").groupBy("a", "b").agg(F.sum("times").alias("times"))
     ends = lambda side: groups.select(
@@ -405,6 +406,7 @@ def similar_documents(
     links = _verified(rows, classes, settled(first_pairs), width, percent)
     nodes = classes.select("node")
     so_far = settled(components(nodes, links))
+    forget(spark)
 
     # 2: across components, runs of few classes by pairs counted over whole runs, others by tiles
     at = settled(classes.join(so_far, "node").groupBy("grp").agg(
@@ -440,9 +442,11 @@ def similar_documents(
     many = member.where(F.col("_m") > FEW).select("run", "grp").unionByName(
         torn.where(F.col("n_cls") > FEW).select(F.xxhash64("grp", F.lit(1)).alias("run"), "grp")
     ).join(of, "grp").select("run", "node").distinct()
+    forget(spark)
     links = links.unionByName(_tiled(rows, classes, settled(many), width, percent))
     links = links.unionByName(_verified(rows, classes, settled(more), width, percent))
 
+    forget(spark)
     final = components(nodes, links).withColumnRenamed("component", "_comp")
     named = classes.join(final, "node")
     least = named.groupBy("_comp").agg(F.min("rep").alias("component_id"))
