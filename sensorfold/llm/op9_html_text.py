@@ -1,36 +1,42 @@
 """Main text of pages by wrapper induction.
 
-Pages of a host are folded into one wrapper by simple tree matching: nodes that align are
-counted, texts that stay the same make a constant node, texts that change make a slot, and runs
-of equal siblings fold into one repeated node. Wrappers fold like pages do, so tasks fold what
-they have and the partial wrappers of a host are merged in two steps, however hot the host. Each
-page is then aligned with its host's wrapper: the wrapper's content node (its article, or else
-the node that holds most of the changing text) gives the text, without boilerplate nodes, and
-outside an article without constant ones.
+Pages of a host are aligned by the path of their elements. Spark counts, per host, on how many
+different pages each path stands and on how many each block of text stands at its path, so
+nothing is capped and no order of pages or tasks matters. Blocks that stay the same on most pages
+are template, all other text is the varying mass of its path and of those above. The paths that
+enough pages share are the host's wrapper; its content node is the one of most varying mass, an
+article or main where that holds a fair part of it. The text of a page is what stands under the
+content node, without boilerplate elements and without template blocks.
+
+A page's own tree folds into a wrapper by simple tree matching (:func:`folded`, :func:`merged`).
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import released, settled, ship
+from .common import bitmap, marked, released, settled, ship
 
 #: Wrappers of all hosts up to this size are broadcast; beyond it pages and wrappers are joined.
 BROADCAST_BYTES = 8 << 20
-#: Bounds of a wrapper: children per node and depth. Nodes beyond take their parent's part.
-MOST_CHILDREN, MOST_DEPTH = 48, 24
-#: Pages that must agree before a constant text outside an article counts as template.
+#: Different pages that must agree before a block counts as template.
 LEAST_PAGES, LEAST_SHARE = 4, 0.8
-#: Hosts a task folds at once before it hands its wrappers on.
-MOST_HOSTS = 2_000
+#: Share of a host's pages on which a path of its wrapper stands.
+PATH_SHARE = 0.25
+#: An article or main is the content node if it has this part of the mass of the one found by mass.
+HINT_SHARE = 0.5
+#: Rows and hosts a task counts at once before it hands them on.
+MOST_ROWS, MOST_HOSTS = 100_000, 2_000
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp noembed noframes iframe".split())
@@ -137,14 +143,14 @@ def parse(page: str) -> Node:
 # --- wrappers: [tag, key, pages, text hash or None, length of changing text, children] ------
 
 
-def folded(node: Node, depth: int = 0) -> list:
+def folded(node: Node) -> list:
     """The tree of a page as a wrapper of one page."""
     own = node.text()
-    out = [node.tag, node.key, 1, zlib.crc32(own.encode("utf-8", "replace")), len(own), []]
-    if not node.drop and depth < MOST_DEPTH:
+    out = [node.tag, node.key, 1, zlib.crc32(own.encode("utf-8", "replace")), 0 if node.drop else len(own), []]
+    if not node.drop:
         for kid in node.kids:
             if isinstance(kid, Node):
-                _put(out[5], folded(kid, depth + 1))
+                _put(out[5], folded(kid))
     return out
 
 
@@ -154,7 +160,7 @@ def _put(run: list, kid: list) -> None:
         pages = run[-1][2]
         run[-1] = merged(run[-1], kid)
         run[-1][2] = pages
-    elif len(run) < MOST_CHILDREN:
+    else:
         run.append(kid)
 
 
@@ -204,162 +210,283 @@ def merged(a: list, b: list) -> list:
     for i, j in aligned(a[5], b[5], {}):
         if i is not None and j is not None:
             out[5].append(merged(a[5][i], b[5][j]))
-        elif len(out[5]) < MOST_CHILDREN:
+        else:
             out[5].append(a[5][i] if j is None else b[5][j])
     return out
 
 
 def content_node(wrapper: list) -> list:
-    """The wrapper's article or main; else the deepest node with most of the changing text."""
-
-    def mass(node: list) -> int:
-        return (node[4] if node[3] is None or node[2] < LEAST_PAGES else 0) + sum(map(mass, node[5]))
-
+    """The deepest node with most of the varying text, or an article or main with a fair part of it."""
+    masses: dict[int, int] = {}
     named: list = []
 
-    def look(node: list) -> None:
+    def mass(node: list) -> int:
         if node[0] in CONTENT_TAGS:
             named.append(node)
-        for kid in node[5]:
-            look(kid)
+        own = node[4] if node[3] is None or node[2] < LEAST_PAGES else 0
+        masses[id(node)] = own + sum(map(mass, node[5]))
+        return masses[id(node)]
 
-    look(wrapper)
-    # an article inside a main counts for itself
-    for tag in CONTENT_TAGS:
-        if best := [x for x in named if x[0] == tag]:
-            return max(best, key=lambda x: (x[2], mass(x)))
+    mass(wrapper)
     node = wrapper
     while node[5]:
-        heavy = max(node[5], key=mass)
-        if heavy[0] == "p" or mass(heavy) < 0.6 * max(1, mass(node)):
+        heavy = max(node[5], key=lambda x: masses[id(x)])
+        if heavy[0] == "p" or masses[id(heavy)] < 0.6 * max(1, masses[id(node)]):
             break
         node = heavy
+    # an article inside a main counts for itself
+    for tag in CONTENT_TAGS:
+        if best := [x for x in named if x[0] == tag]:
+            hint = max(best, key=lambda x: (masses[id(x)], x[2]))
+            if masses[id(hint)] >= HINT_SHARE * masses[id(node)]:
+                return hint
     return node
 
 
-def extract(page: Node, wrapper: list) -> str:
-    """The page's blocks under the wrapper's content node."""
-    target = content_node(wrapper)
-    explicit = target[0] in CONTENT_TAGS
-    blocks: list[str] = []
+# --- blocks ----------------------------------------------------------------------------------
+
+
+def _name(*parts) -> int:
+    data = "\0".join(map(str, parts)).encode("utf-8", "surrogatepass")
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
+
+
+class Places:
+    """Places of block elements: names of their paths by tag alone and by tag and key, tag, key and
+    the place above."""
+
+    def __init__(self):
+        self.root = (0, 0, "#", "", None)
+        self.known: dict[tuple, tuple] = {}
+
+    def under(self, place: tuple, node: Node) -> tuple:
+        at = (place[:2], node.tag, node.key)
+        found = self.known.get(at)
+        if found is None:
+            if len(self.known) > MOST_ROWS:
+                self.known.clear()
+            names = _name(place[0], node.tag), _name(place[1], node.tag, node.key)
+            found = self.known[at] = (*names, node.tag, node.key, place)
+        return found
+
+
+def flow(page: Node, places: Places, wrapper: list | None = None, target: list | None = None) -> list[tuple]:
+    """Blocks outside boilerplate elements: text, place, content tags around it, whether under the
+    content node, and whether in a header there."""
+    out: list[tuple] = []
     buffer: list[str] = []
+    kids_of: dict[int, dict] = {}
 
-    def flush() -> None:
+    def look(slot: list, node: Node) -> list | None:
+        if id(slot) not in kids_of:
+            kids_of[id(slot)] = {(k[0], k[1]): k for k in reversed(slot[5])}
+        return kids_of[id(slot)].get((node.tag, node.key))
+
+    def flush(place: tuple, around: frozenset, inside: bool, header: bool) -> None:
         text = SPACES.sub(" ", "".join(buffer)).strip()
         if text:
-            blocks.append(text)
+            out.append((text, place, around, inside, header))
         buffer.clear()
 
-    def emit(node: Node, slot: list | None) -> None:
-        """All text of a node inside the content; ``slot`` is its wrapper node, if any."""
-        block = node.tag in BLOCK
-        if block:
-            flush()
-        elif node.tag == "br":
-            buffer.append(" ")
-        constant = (
-            not explicit and slot is not None and slot[3] is not None and slot[2] >= LEAST_PAGES
-            and slot[2] >= LEAST_SHARE * wrapper[2]
-        )
-        # all of an article is content: only its boilerplate goes
-        for kid, under in paired(node, None if explicit else slot):
-            if isinstance(kid, str):
-                if not constant:
-                    buffer.append(kid)
-            elif not kid.drop and (explicit or kid.tag != "header"):
-                emit(kid, under)
-        if block:
-            flush()
-
-    def paired(node: Node, slot: list | None) -> list:
-        """A node's children with the wrapper nodes they align with."""
-        if slot is None or not slot[5]:
-            return [(k, None) for k in node.kids]
-        run: list = []
-        first: list[Node] = []
-        owner: list[int] = []
+    def visit(node: Node, slot: list | None, place: tuple, state: tuple) -> None:
         for kid in node.kids:
-            if isinstance(kid, Node):
-                label = [kid.tag, kid.key]
-                if not run or run[-1] != label:
-                    run.append(label)
-                    first.append(kid)
-                owner.append(len(run) - 1)
-        if run != [s[:2] for s in slot[5]]:  # else they align one to one
-            run = [folded(kid) for kid in first]
-        to = {i: slot[5][j] for i, j in aligned(run, slot[5], {}) if i is not None and j is not None}
-        owners = iter(owner)
-        return [(k, None) if isinstance(k, str) else (k, to.get(next(owners))) for k in node.kids]
-
-    def find(node: Node, slot: list | None) -> bool:
-        hit = False
-        for kid, under in paired(node, slot):
-            if isinstance(kid, str) or kid.drop:
+            if isinstance(kid, str):
+                buffer.append(kid)
                 continue
-            if under is target or (explicit and kid.tag == target[0]):
-                emit(kid, under)
-                flush()
-                hit = True
-            elif find(kid, under):
-                hit = True
-        return hit
-
-    if target is wrapper or not find(page, wrapper):
-        # the page lacks the content node: all that is not boilerplate or template
-        explicit = False
-        emit(page, wrapper)
-    flush()
-    return "\n\n".join(blocks)
+            if kid.drop:
+                continue
+            under = look(slot, kid) if slot is not None else None
+            opens = under is not None and under is target
+            if kid.tag in BLOCK or opens:
+                flush(place, *state)
+                around, inside, header = state
+                if kid.tag in CONTENT_TAGS:
+                    around |= {kid.tag}
+                inner = (around, inside or opens, not opens and (header or kid.tag == "header"))
+                below = places.under(place, kid)
+                visit(kid, under, below, inner)
+                flush(below, *inner)
+            else:
+                if kid.tag == "br":
+                    buffer.append(" ")
+                visit(kid, slot if under is None else under, place, state)
+
+    state = (frozenset(), wrapper is not None and target is wrapper, False)
+    visit(page, wrapper, places.root, state)
+    flush(places.root, *state)
+    return out
+
+
+def extract(
+    page: Node, wrapper: list, template: frozenset | set = frozenset(), target: list | None = None,
+    places: Places | None = None,
+) -> str:
+    """The page's blocks under the wrapper's content node, less those of ``template``.
+
+    A page without the content node, or whose own article or main has a fair part of its varying
+    text, gives that; else all that is not boilerplate or template. An article that is template
+    throughout is kept.
+    """
+    target = target or content_node(wrapper)
+    found = flow(page, places or Places(), wrapper, target)
+    fresh = [(b[1][0], _name(b[0])) not in template for b in found]
+
+    def mass(blocks: list[int]) -> int:
+        return sum(len(found[k][0]) for k in blocks if fresh[k])
+
+    chosen, explicit = [k for k, b in enumerate(found) if b[3]], target[0] in CONTENT_TAGS
+    if not chosen:
+        chosen, explicit = list(range(len(found))), False
+    if not explicit:
+        # its own article or main may stand where the wrapper has none, under a key of this page
+        for tag in CONTENT_TAGS:
+            named = [k for k, b in enumerate(found) if tag in b[2]]
+            if named and mass(named) >= HINT_SHARE * mass(chosen):
+                chosen, explicit = named, True
+                break
+    if not explicit:
+        chosen = [k for k in chosen if not found[k][4]]
+    varying = [k for k in chosen if fresh[k]]
+    return "\n\n".join(found[k][0] for k in (varying or (chosen if explicit else [])))
 
 
 # --- Spark ------------------------------------------------------------------------------------
 
+COUNTS = (
+    "_host string, _path bigint, _above array<bigint>, _tag string, _key string, "
+    "_place bigint, _block bigint, _pages bigint, _chars bigint"
+)
+
 
-def _fold_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    held: dict[str, list] = {}
+def _count_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of paths (``_block`` null) and of blocks at their place, with pages and characters."""
+    names = [part.split()[0] for part in COUNTS.split(", ")]
+    held: dict[tuple, list] = {}
+    places = Places()
 
     def out() -> pd.DataFrame:
-        return pd.DataFrame({"_host": list(held), "_w": [json.dumps(w) for w in held.values()]})
+        rows = [(*k[:2], *v[:3], *k[2:], *v[3:]) for k, v in held.items()]
+        frame = pd.DataFrame(rows, columns=names, dtype=object)
+        return frame.astype({"_path": "int64", "_place": "Int64", "_block": "Int64", "_pages": "int64", "_chars": "int64"})
+
+    def above(place: tuple) -> list[int]:
+        """Names of the path and those above it, the root first."""
+        names = []
+        while place:
+            names.append(place[1])
+            place = place[4]
+        return names[::-1]
 
     for batch in batches:
         for host, page in zip(batch["_host"], batch["_html"], strict=True):
-            tree = folded(parse(page))
-            held[host] = merged(held[host], tree) if host in held else tree
-        if len(held) > MOST_HOSTS:
-            yield out()
-            held = {}
+            paths, chars, seen = {0: places.root}, defaultdict(int), set()
+            for text, place, *_ in flow(parse(page), places):
+                block = (place[0], _name(text))
+                row = held.setdefault((host, place[1], *block), [None, None, None, 0, 0])
+                # a page counts once, under whichever keys the block stands there
+                row[3] += block not in seen
+                row[4] += len(text)
+                seen.add(block)
+                while place:
+                    paths[place[1]] = place
+                    chars[place[1]] += len(text)
+                    place = place[4]
+            for path, place in paths.items():
+                row = held.setdefault((host, path, None, None), [None, *place[2:4], 0, 0])
+                if row[0] is None:
+                    row[0] = above(place)
+                row[3] += 1
+                row[4] += chars[path]
+            if len(held) > MOST_ROWS:
+                yield out()
+                held = {}
     if held:
         yield out()
 
 
-def _merge_wrappers(group: pd.DataFrame) -> pd.DataFrame:
-    total = None
-    for text in sorted(group["_w"]):
-        wrapper = json.loads(text)
-        total = wrapper if total is None else merged(total, wrapper)
-    return pd.DataFrame({"_host": [group["_host"].iloc[0]], "_w": [json.dumps(total)]})
-
-
-def induce_wrappers(pages: DataFrame, salts: int = 32) -> DataFrame:
-    """``_host, _w``: a wrapper per host from all of its pages; needs ``_host, _html``."""
-    part = pages.mapInPandas(_fold_pages, "_host string, _w string").withColumn(
-        "_salt", F.pmod(F.xxhash64("_w"), F.lit(salts))
+def _wrapper_of(group: pd.DataFrame) -> pd.DataFrame:
+    """The wrapper of a host from its rows of paths and template blocks."""
+    template, nodes = [], {}
+    for row in group.sort_values(["_depth", "_path"]).itertuples(index=False):
+        place, path, above, tag, key, block, pages, chars = row[1:9]
+        if tag is None:
+            template.append([int(place), int(block)])
+            continue
+        nodes[path] = [tag, key, int(pages), None, int(chars), []]
+        if len(above) > 1:
+            parent = nodes[above[-2]]
+            parent[5].append(nodes[path])
+            parent[4] -= int(chars)  # what stands below is counted there
+    return pd.DataFrame({"_host": [group["_host"].iloc[0]], "_w": [json.dumps([nodes[0], template])]})
+
+
+def _different(pages: DataFrame) -> DataFrame:
+    """``_host, _html`` with one page of those of a host whose visible text is the same."""
+    shown = F.regexp_replace("_html", r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|\s+", "")
+    keyed = pages.withColumn("_same", F.xxhash64("_host", shown))
+    again = keyed.groupBy("_same").count().where("count > 1").select("_same")
+    near = marked(keyed, F.col("_same"), bitmap(again, "_same"), "_may")
+    once = near.where("_may").groupBy("_host", "_same").agg(F.min("_html").alias("_html"))
+    return near.where("NOT _may").select("_host", "_html").unionByName(once.select("_host", "_html"))
+
+
+def induce_wrappers(pages: DataFrame) -> DataFrame:
+    """``_host, _w``: wrapper and template blocks per host, from all of its pages; needs ``_host, _html``."""
+    counted = settled(_different(pages).mapInPandas(released(_count_pages), COUNTS))
+    paths = settled(
+        counted.where("_block IS NULL").groupBy("_host", "_path").agg(
+            F.first("_above").alias("_above"), F.first("_tag").alias("_tag"), F.first("_key").alias("_key"),
+            F.sum("_pages").alias("_pages"), F.sum("_chars").alias("_chars"),
+        )
+    )
+    hosts = paths.where("_path = 0").select("_host", F.col("_pages").alias("_n"))
+    blocks = counted.where("_block IS NOT NULL")
+    template = settled(
+        blocks.groupBy("_host", "_place", "_block").agg(F.sum("_pages").alias("_pages"))
+        .where(F.col("_pages") >= LEAST_PAGES).join(hosts, "_host")
+        .where(F.col("_pages") >= LEAST_SHARE * F.col("_n")).select("_host", "_place", "_block")
+    )
+    # template is no varying mass of its path nor of those above
+    key = ["_host", "_place", "_block"]
+    same = F.xxhash64(*key)
+    near = marked(blocks, same, bitmap(template.select(same.alias("_same")), "_same"), "_may").where("_may")
+    fixed = (
+        near.join(template, key).groupBy("_host", "_path").agg(F.sum("_chars").alias("_fixed"))
+        .join(paths.select("_host", "_path", "_above"), ["_host", "_path"])
+        .select("_host", F.explode("_above").alias("_path"), "_fixed")
+        .groupBy("_host", "_path").agg(F.sum("_fixed").alias("_fixed"))
+    )
+    # zeros, not nulls: pandas would make doubles of names beside a null
+    zero = F.lit(0).cast("bigint")
+    kept = (
+        paths.join(hosts, "_host").where(F.col("_pages") >= PATH_SHARE * F.col("_n"))
+        .join(fixed, ["_host", "_path"], "left")
+        .select(
+            "_host", zero.alias("_place"), "_path", "_above", "_tag", "_key", zero.alias("_block"), "_pages",
+            (F.col("_chars") - F.coalesce("_fixed", F.lit(0))).alias("_chars"), F.size("_above").alias("_depth"),
+        )
+    )
+    marks = template.select(
+        "_host", "_place", zero.alias("_path"), F.array().cast("array<bigint>").alias("_above"),
+        F.lit(None).cast("string").alias("_tag"), F.lit(None).cast("string").alias("_key"), "_block",
+        zero.alias("_pages"), zero.alias("_chars"), F.lit(0).alias("_depth"),
     )
-    once = part.groupBy("_host", "_salt").applyInPandas(_merge_wrappers, "_host string, _w string")
-    return once.groupBy("_host").applyInPandas(_merge_wrappers, "_host string, _w string")
+    return kept.unionByName(marks).groupBy("_host").applyInPandas(_wrapper_of, "_host string, _w string")
 
 
 def _extractor() -> Callable:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[str, list] = {}
+        known: dict[str, tuple] = {}
+        places = Places()
         for batch in batches:
             texts = []
             for host, page, text in zip(batch["_host"], batch["_html"], batch["_w"], strict=True):
                 if host not in known:
                     if len(known) >= MOST_HOSTS:
                         known.clear()
-                    known[host] = json.loads(text)
-                texts.append(extract(parse(page), known[host]))
+                    wrapper, template = json.loads(text)
+                    known[host] = (wrapper, {tuple(t) for t in template}, content_node(wrapper))
+                texts.append(extract(parse(page), *known[host], places))
             yield batch[["_id", "_url"]].assign(_text=texts)
 
     return released(run)

@@ -63,3 +63,16 @@ def test_tree_matching():
     assert [k[2] for k in both[5][0][5]] == [2, 1, 2, 2]
     page = parse("<article><p>t</p></article>")
     assert extract(page, folded(page)) == "t"
+
+
+def test_template_and_teasers_of_pages_with_an_article(spark):
+    def page(k):
+        return (f"<html><body><article class=teaser><p>Teaser {k}</p></article><article class=story><h1>Title {k}</h1>"
+                f"<div class=x>Read it in our app</div><p>{'words ' * (30 + k)}<b>Note:</b> own {k}</p></article></body></html>")
+
+    rows = [(k, f"http://h/{k}", page(k)) for k in range(2 * LEAST_PAGES)]
+    for k, (_, text, _) in texts(spark, rows).items():
+        assert text == f"Title {k}\n\n{'words ' * (30 + k)}Note: own {k}"
+    # equal copies are one page, also where scripts or attributes differ
+    few = [(k, f"http://h/{k}", f"<article id=a{k}><script>{k}</script><p>Read it in our app</p></article>") for k in range(10)]
+    assert {t for _, t, _ in texts(spark, few).values()} == {"Read it in our app"}
