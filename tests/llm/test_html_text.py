@@ -76,3 +76,24 @@ def test_template_and_teasers_of_pages_with_an_article(spark):
     # equal copies are one page, also where scripts or attributes differ
     few = [(k, f"http://h/{k}", f"<article id=a{k}><script>{k}</script><p>Read it in our app</p></article>") for k in range(10)]
     assert {t for _, t, _ in texts(spark, few).values()} == {"Read it in our app"}
+
+
+def test_more_kinds_of_siblings_and_levels_than_any_bound(spark):
+    def page(k):
+        own = "".join(f"<div id=post-{k}-{j}><p>Post {k} {j}</p><p>Thanks for reading</p></div>" for j in range(30))
+        return f"<html><body>{own}<div class=low>Terms of use</div></body></html>"
+
+    rows = [(k, f"http://h/{k}", page(k)) for k in range(2 * LEAST_PAGES)]
+    got = [texts(spark, r) for r in (rows, rows[::-1])]
+    assert got[0] == got[1]
+    for k, (_, text, _) in got[0].items():
+        assert text == "\n\n".join(f"Post {k} {j}" for j in range(30))
+
+    def deep(k):
+        kinds = "".join(f"<div class=k{j}></div>" for j in range(60))
+        return (f"<html><body><div class=by>By writer {k}</div>{kinds}" + "<div>" * 40
+                + f"<article id=slug{chr(97 + k)}><p>{'alpha ' * (k + 5)}</p></article>" + "</div>" * 40)
+
+    rows = [(k, f"http://i/{k}", deep(k)) for k in range(2 * LEAST_PAGES)]
+    for k, (_, text, _) in texts(spark, rows).items():
+        assert text == ("alpha " * (k + 5)).strip()
