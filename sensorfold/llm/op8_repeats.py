@@ -11,7 +11,9 @@ that can match lies in runs of equal anchors:
    lengths. A stack scan walks the tree of common-prefix intervals; an interval with diverse left
    extensions is a maximal repeat, with all members of the interval as its occurrences;
 4. an anchor with too many classes for one task is decided window by window instead, by counting
-   the windows of its classes, which splits over tasks however many there are.
+   the windows of its classes, which splits over tasks however many there are. Where groups are
+   asked for, the suffixes that begin with one window make a tree of their own: the intervals of
+   ``least`` bytes or more never reach over two windows.
 
 What is found per class goes back to all its occurrences, and the spans of a text are merged.
 """
@@ -272,6 +274,34 @@ def suffix_array(contents: list[bytes], groups: np.ndarray, least: int) -> tuple
     return [s[2] for s in suffixes], [s[3] for s in suffixes], shared, [s[4] for s in suffixes]
 
 
+def _named(data: bytes) -> str:
+    """The digest of a string, spelled as Spark spells the two halves of a class's digest."""
+    return "".join(f"{x:X}" for x in np.frombuffer(hashlib.blake2b(data, digest_size=16).digest(), dtype=np.uint64).tolist())
+
+
+SPAN = "cls bigint, start bigint, length bigint, repeat string"
+
+
+def _spans(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["cls", "start", "length", "repeat"]).astype({"cls": "int64", "start": "int64", "length": "int64"})
+
+
+def _window_task(least: int) -> Callable:
+    """Maximal repeats that begin with one window, from all suffixes that do."""
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(["data", "cls", "start"], ignore_index=True)
+        suffixes, ids, starts = part["data"].tolist(), part["cls"].tolist(), part["start"].tolist()
+        shared = [0] + [common_prefix(a, b) for a, b in zip(suffixes, suffixes[1:], strict=False)]
+        rows = []
+        for length, a, b in interval_tree(shared, part["before"].tolist(), least):
+            name = _named(suffixes[a][:length])
+            rows += [(ids[k], starts[k], length, name) for k in range(a, b + 1)]
+        return _spans(rows)
+
+    return run
+
+
 def _array_task(least: int, groups_out: bool) -> Callable:
     def run(part: pd.DataFrame) -> pd.DataFrame:
         contents = part["data"].tolist()
@@ -282,11 +312,11 @@ def _array_task(least: int, groups_out: bool) -> Callable:
             for k in range(a, b + 1):
                 longest[k] = max(longest[k], length)
             if groups_out:
-                name = hashlib.blake2b(contents[owner[a]][offset[a] : offset[a] + length], digest_size=16).hexdigest()
+                name = _named(contents[owner[a]][offset[a] : offset[a] + length])
                 rows += [(ids[owner[k]], offset[k], length, name) for k in range(a, b + 1)]
         if not groups_out:
             rows = [(ids[owner[k]], offset[k], n, "") for k, n in enumerate(longest) if n]
-        return pd.DataFrame(rows, columns=["cls", "start", "length", "repeat"]).astype({"cls": "int64", "start": "int64", "length": "int64"})
+        return _spans(rows)
 
     return run
 
@@ -326,8 +356,8 @@ def repeated_spans(
     """Repeated strings per occurrence: ``_id, _th, start, length`` in bytes, not yet merged.
 
     With ``groups`` also ``repeat``, the digest of a maximal repeat's bytes as seen within runs, so that
-    rows of equal ``repeat`` are all its occurrences; texts that repeat as a whole run have the
-    digest of the run.
+    rows of equal ``repeat`` are all its occurrences, whatever ``most_classes`` and however often the
+    texts around it are copied; texts that repeat as a whole run have the digest of the run.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -346,13 +376,14 @@ def repeated_spans(
     anchors = classes.groupBy("h").agg(
         F.count(F.lit(1)).alias("n_cls"), F.min("occ").alias("least_occ")
     )
-    # classes that occur twice are repeated whole; suffix arrays serve the others
+    # classes that occur twice are repeated whole; suffix arrays serve the others, and for groups
+    # those too, since what they share with other classes occurs more often than they do
     whole = classes.where("occ > 1").select(
         "cls", F.lit(0).cast("bigint").alias("start"), F.col("size").cast("bigint").alias("length"),
         F.concat(F.hex("d1"), F.hex("d2")).alias("repeat"),
     )
     open_ = settled(
-        classes.join(anchors.where("n_cls > 1 AND least_occ = 1"), "h")
+        classes.join(anchors.where("n_cls > 1" if groups else "n_cls > 1 AND least_occ = 1"), "h")
         .select("h", "cls", "occ", "n_cls", "size", "at._id", "at._th", "at.pos")
     )
     wanted = _gathered(spark, open_.select("_th", "pos").mapInPandas(_place_words(bits), "word bigint, mask bigint"), bits)
@@ -369,18 +400,36 @@ def repeated_spans(
     arrays = (
         read.where(F.col("n_cls") <= most_classes)
         .groupBy(F.pmod(F.xxhash64("h"), F.lit(tasks)).alias("_task"))
-        .applyInPandas(_array_task(least, groups), "cls bigint, start bigint, length bigint, repeat string")
+        .applyInPandas(_array_task(least, groups), SPAN)
     )
     windows = read.where(F.col("n_cls") > most_classes).mapInPandas(
         _window_rows(least), "h bigint, cls bigint, occ bigint, start bigint, w1 bigint, w2 bigint"
     )
     windows = settled(windows)
-    twice = windows.groupBy("h", "w1", "w2").agg(F.sum("occ").alias("_n")).where("_n > 1")
-    split = windows.join(twice, ["h", "w1", "w2"]).select(
-        "cls", "start", F.lit(least).cast("bigint").alias("length"), F.concat(F.hex("w1"), F.hex("w2")).alias("repeat")
-    )
+    if groups:
+        # only windows behind different bytes may begin a maximal repeat
+        before = F.when(
+            F.col("start") > 0, F.conv(F.hex(F.expr("substring(data, int(start), 1)")), 16, 10).cast("bigint")
+        ).otherwise(F.col("cls") + 256)
+        sides = windows.select("h", "cls", "start", "w1", "w2").join(read.select("cls", "data"), "cls").select(
+            "h", "w1", "w2", "cls", "start", before.alias("before")
+        )
+        sides = settled(sides)
+        diverse = sides.groupBy("h", "w1", "w2").agg(F.min("before").alias("_a"), F.max("before").alias("_b")).where("_a <> _b")
+        split = (
+            sides.join(diverse, ["h", "w1", "w2"]).join(read.select("cls", "data"), "cls")
+            .select("h", "w1", "w2", "cls", "start", "before", F.expr("substring(data, int(start) + 1)").alias("data"))
+            .groupBy("h", "w1", "w2").applyInPandas(_window_task(least), SPAN)
+        )
+    else:
+        twice = windows.groupBy("h", "w1", "w2").agg(F.sum("occ").alias("_n")).where("_n > 1")
+        split = windows.join(twice, ["h", "w1", "w2"]).select(
+            "cls", "start", F.lit(least).cast("bigint").alias("length"), F.lit("").alias("repeat")
+        )
     spans = whole.unionByName(arrays).unionByName(split)
-    if not groups:
+    if groups:  # a whole run that others hold is found twice
+        spans = spans.distinct()
+    else:
         # one row per class: its merged spans
         spans = spans.groupBy("cls").agg(F.sort_array(F.collect_set(F.struct("start", "length"))).alias("_s")).select(
             "cls", F.explode(_merged(F.col("_s"))).alias("_s")

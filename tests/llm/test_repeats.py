@@ -84,3 +84,29 @@ def test_interval_tree_against_all_pairs():
                 if n and (j == 0 or text[i - 1] != text[j - 1]):  # maximal on both sides
                     want.add((n, frozenset(k for k in range(len(text)) if text[k : k + n] == text[i : i + n])))
         assert got == want
+
+
+def test_groups_of_copied_texts_and_of_many_classes(spark):
+    r = random.Random(8)
+    rand = lambda k: "".join(r.choice("abcdefgh") for _ in range(k))
+    x = rand(50)
+    a, b = (rand(30) + x + rand(30) for _ in range(2))
+    y = rand(60)
+    rows = [(0, a), (1, a), (2, b), (3, b)]
+    rows += [(10 + k, rand(20) + y[: 45 + 3 * (k % 3)] + rand(20)) for k in range(7)]
+    text = {i: t.encode() for i, t in rows}
+    found = []
+    for most in (2_048, 1):
+        spans = repeated_spans(spark.createDataFrame(rows, SHAPE), least=40, anchor=12, bits=1 << 16, groups=True, most_classes=most)
+        groups = defaultdict(list)
+        for g in spans.collect():
+            groups[g["repeat"]].append((int(g["_id"]), g["start"], g["length"]))
+        for members in groups.values():  # each group has all occurrences of its string, once
+            i, start, n = members[0]
+            part = text[i][start : start + n]
+            want = {(j, at, n) for j, t in text.items() for at in range(len(t)) if t.startswith(part, at)}
+            assert len(members) == len(want) and set(members) == want
+        found.append({frozenset(m) for m in groups.values()})
+    assert found[0] == found[1]
+    assert any({i for i, *_ in m} == {0, 1, 2, 3} for m in found[0])
+    assert any(n > 40 for m in found[1] for *_, n in m)
