@@ -478,13 +478,15 @@ def _verified(rows: DataFrame, classes: DataFrame, pairs: DataFrame, width: int,
 def _sets_of(rows: DataFrame, classes: DataFrame, needed: DataFrame, width: int) -> DataFrame:
     """``node, n, tokens`` of the classes in ``needed(node)``."""
     reps = settled(classes.join(needed, "node").select("node", "rep", "cls", "n"))
-    reps = reps.withColumn("rep", F.col("rep").cast("string"))
+    # a class of null ids alone is read by its key among the rows of null id
+    reps = reps.withColumn("rep", F.coalesce(F.col("rep").cast("string"), F.lit("")))
+    rows = rows.select(F.coalesce("_id", F.lit("")).alias("_id"), "_text")
     few = marked(rows, F.col("_id"), bitmap(reps, "rep"), "_may").where("_may").select("_id", "_text")
     made = few.mapInPandas(_whole_sets(width), "_id string, key string, tokens binary")
     sets = (
-        made.join(reps, F.col("_id") == F.col("rep"))
         # rows may repeat an id: take the one whose set the class has
-        .where("key = cls").dropDuplicates(["node"]).select("node", "n", "tokens")
+        made.join(reps, (F.col("_id") == F.col("rep")) & (F.col("key") == F.col("cls")))
+        .dropDuplicates(["node"]).select("node", "n", "tokens")
     )
     return settled(sets)
 

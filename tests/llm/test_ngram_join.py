@@ -90,3 +90,13 @@ def test_keep_one(spark, crowded):
     want = sorted(i for i, _, c in brute(rows) if i == c)
     out = keep_one(df)
     assert out.columns == df.columns and sorted(r["doc_id"] for r in out.collect()) == want
+
+
+def test_near_copies_of_null_ids(spark):
+    words = [f"w{k}" for k in range(60)]
+    alike = lambda k: " ".join(words[:k] + ["other"] + words[k + 1 :])
+    # 9 and 8 differ too much to link but for the row of null id between them
+    rows = [(None, alike(59)), (9, " ".join(words)), (8, alike(59) + " a b c d e"), (None, "only here now once"), (None, "x y z u v " * 2)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert brute(rows, 4, 90) == sorted(map(tuple, similar_documents(df, percent=90).collect()), key=repr)
+    assert sorted(c for i, _, c in brute(rows, 4, 90) if i is not None) == [8, 8]
