@@ -4,7 +4,8 @@ A logistic model on the shape of the text (cases, marks, digits, repetition) giv
 document's evidence. Labels of all labelled documents are summed by path and by host; the
 strength of the prior that pulls a host to the global rate, and a path to its host, comes from
 the spread of the rates themselves, so sparse sites are shrunk most. A document's log odds are its
-evidence, as far as its length allows, plus its path's posterior.
+evidence, as far as its length allows, plus its path's posterior. The given documents have no URL:
+by default their source stands in for the host and their language for the path.
 """
 
 from __future__ import annotations
