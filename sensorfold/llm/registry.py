@@ -13,6 +13,8 @@ from . import (
     op8_repeats,
     op9_html_text,
     op10_exact_dedup,
+    op11_private_data,
+    op12_spelling,
     op13_source_audit,
 )
 
@@ -20,7 +22,8 @@ MODULES = {
     module.__name__.rpartition(".")[2]: module
     for module in (
         op1_embedding_dedup, op2_chat_format, op3_mix_sources, op4_bpe, op5_quality,
-        op6_warc, op7_ngram_join, op8_repeats, op9_html_text, op10_exact_dedup, op13_source_audit,
+        op6_warc, op7_ngram_join, op8_repeats, op9_html_text, op10_exact_dedup,
+        op11_private_data, op12_spelling, op13_source_audit,
     )
 }
 
