@@ -41,7 +41,7 @@ from sensorfold.operators import (  # noqa: E402
     windowed_stats,
 )
 from sensorfold.functions import wire_quote  # noqa: E402
-from sensorfold.plans import compare_tables, reduce_tables, run_batch  # noqa: E402
+from sensorfold.plans import compare_tables, ledger, open_windows, reduce_tables, run_batch  # noqa: E402
 from sensorfold.schemas import AGG_SCHEMA, RAW_SCHEMA  # noqa: E402
 from sensorfold.session import configure_session, drop_work, work_dir  # noqa: E402
 from sensorfold.sources import (  # noqa: E402
@@ -50,7 +50,16 @@ from sensorfold.sources import (  # noqa: E402
     stored_rows,
     text_messages,
 )
-from sensorfold.streaming import start_aggregate, start_raw, wait_all  # noqa: E402
+from sensorfold.streaming import (  # noqa: E402
+    closed_co_group,
+    start_aggregate,
+    start_pair,
+    start_raw,
+    start_rows,
+    wait_all,
+    watched,
+    with_heartbeats,
+)
 
 def _present(module: str) -> bool:
     try:
@@ -264,18 +273,19 @@ def q_stored_reduction(spark, sf_dir):
     return _batch_report(spark, sf_dir, reduce_tables)
 
 
-def q_stored_pair(spark, sf_dir):
-    """Both tables of one batch run: readings per measure and hour as each of them has it."""
+def _per_hour(spark: SparkSession, raw: str, agg: str) -> DataFrame:
+    """Readings per measure and hour as each of the two tables has it."""
+    hour = F.date_format(F.window("window_timestamp", HOUR)["end"] - F.expr("INTERVAL 1 MILLISECOND"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    left = stored_rows(spark, raw).groupBy("measure", hour.alias("ts")).agg(
+        F.count(F.lit(1)).alias("raw_rows")
+    )
+    right = stored_rows(spark, agg).select("measure", "ts", F.col("cnt").alias("agg_cnt"))
+    return left.join(right, ["measure", "ts"], "full")
 
-    def per_hour(spark, raw, agg):
-        hour = F.date_format(F.window("window_timestamp", HOUR)["end"] - F.expr("INTERVAL 1 MILLISECOND"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
-        left = stored_rows(spark, raw).groupBy("measure", hour.alias("ts")).agg(
-            F.count(F.lit(1)).alias("raw_rows")
-        )
-        right = stored_rows(spark, agg).select("measure", "ts", F.col("cnt").alias("agg_cnt"))
-        return left.join(right, ["measure", "ts"], "full")
 
-    return _batch_report(spark, sf_dir, per_hour)
+def q_stored_pair(spark, sf_dir):
+    """Both tables of one batch run."""
+    return _batch_report(spark, sf_dir, _per_hour)
 
 
 def q_stream_raw_append(spark, sf_dir):
@@ -356,6 +366,74 @@ def q_stream_late_raw(spark, sf_dir):
     return _kept(spark, _plain_raw(stored_rows(spark, table)), folder, table)
 
 
+def q_stream_cogroup(spark, sf_dir):
+    """Four streams aggregated by themselves, co-grouped by window and measure when it closes."""
+    aggregates = {
+        "max": max_per_measure,
+        "min": min_per_measure,
+        "mean": mean_per_measure,
+        "cnt": count_per_measure,
+    }
+    inputs = {}
+    for tag, aggregate in aggregates.items():
+        readings = watched(extract_readings(_streamed_messages(spark, sf_dir)))
+        inputs[tag] = aggregate(readings, HOUR).withColumnRenamed(tag, "value")
+    grouped = closed_co_group(inputs, HOUR).select(
+        F.struct(F.col("window.start"), F.col("window.end")).alias("window"), "measure", "max", "min", F.col("mean").alias("avg"), "cnt"
+    )
+    folder, (table,) = _work_tables(spark, agg=AGG_SCHEMA)
+    wait_all([start_rows(agg_rows(grouped), table, f"{folder}/checkpoint", NOW)])
+    return _kept(spark, stored_rows(spark, table), folder, table)
+
+
+def q_stream_idle_close(spark, sf_dir):
+    """A second stream tells the time after the last reading: every window is closed."""
+    folder, (table,) = _work_tables(spark, agg=AGG_SCHEMA)
+    last = _table(spark, sf_dir, "events").agg(F.max("ts").cast("timestamp").alias("publish_ts"))
+    last.select((F.col("publish_ts") + F.expr("INTERVAL 3 HOURS")).alias("publish_ts")).write.parquet(f"{folder}/clock")
+    readings = extract_readings(_streamed_messages(spark, sf_dir))
+    timed = with_heartbeats(readings, _topic(spark, f"{folder}/clock"), behind="1 hour")
+    wait_all([start_aggregate(timed, table, f"{folder}/checkpoint", HOUR, trigger=NOW)])
+    return _kept(spark, stored_rows(spark, table), folder, table)
+
+
+def q_stream_open_windows(spark, sf_dir):
+    """Per measure: readings in closed windows, in those that the state holds, and in all."""
+    readings = extract_readings(_streamed_messages(spark, sf_dir))
+    folder, (table,) = _work_tables(spark, agg=AGG_SCHEMA)
+    wait_all([start_aggregate(readings, table, f"{folder}/checkpoint", HOUR, trigger=NOW)])
+    parts = {
+        "closed": stored_rows(spark, table).select("measure", F.col("cnt").alias("closed")),
+        "open": open_windows(spark, f"{folder}/checkpoint").select("measure", F.col("cnt").alias("open")),
+        "timed": _readings(spark, sf_dir).where("publish_ts IS NOT NULL").groupBy("measure").agg(F.count(F.lit(1)).alias("timed")),
+    }
+    stacked = None
+    for part in parts.values():
+        stacked = part if stacked is None else stacked.unionByName(part, allowMissingColumns=True)
+    sums = [F.coalesce(F.sum(name), F.lit(0)).cast("bigint").alias(name) for name in parts]
+    return _kept(spark, stacked.groupBy("measure").agg(*sums), folder, table)
+
+
+def q_stream_ledger(spark, sf_dir):
+    """Per measure: readings that the summaries hold, that wait, and that came too late."""
+    folder, (raw, agg) = _work_tables(spark, raw=RAW_SCHEMA, agg=AGG_SCHEMA)
+    _publish_late(
+        spark, sf_dir, folder,
+        lambda messages: wait_all(start_pair(messages, raw, agg, f"{folder}/checkpoint", HOUR, trigger=NOW)),
+    )
+    told = ledger(spark, raw, agg, f"{folder}/checkpoint", HOUR)
+    sums = [F.sum(name).alias(name) for name in ("counted", "open", "late", "stored")]
+    return _kept(spark, told.groupBy("measure").agg(*sums, F.bool_and("balanced").alias("balanced")), folder, raw, agg)
+
+
+def q_stream_pair(spark, sf_dir):
+    """Both tables of two streams that parse once: readings per measure and hour in each."""
+    messages = _streamed_messages(spark, sf_dir)
+    folder, (raw, agg) = _work_tables(spark, raw=RAW_SCHEMA, agg=AGG_SCHEMA)
+    wait_all(start_pair(messages, raw, agg, f"{folder}/checkpoint", HOUR, trigger=NOW))
+    return _kept(spark, _per_hour(spark, raw, agg), folder, raw, agg)
+
+
 # Body of a payload, by ``event_id % 20``: {m} the measure, {v} the value without its fraction,
 # {r} the event's id; and whether the parser takes these for a reading.
 PAYLOAD_KINDS: list[tuple[str, bool]] = [
@@ -435,6 +513,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "append_two_agg_writers": q_append_two_agg_writers,
         "stream_late_agg": q_stream_late_agg,
         "stream_late_raw": q_stream_late_raw,
+        "stream_cogroup": q_stream_cogroup,
+        "stream_idle_close": q_stream_idle_close,
+        "stream_open_windows": q_stream_open_windows,
+        "stream_ledger": q_stream_ledger,
+        "stream_pair": q_stream_pair,
         "parser_decisions": q_parser_decisions,
         "tokenize_letters": q_tokenize_letters,
         **(_llm.queries() if _llm else {}),
@@ -511,6 +594,9 @@ UNION ALL {_SUMMARY_RAW}"""
 SELECT r.n AS raw_rows, a.n AS agg_rows, CAST(r.n AS DOUBLE) / a.n AS ratio
 FROM (SELECT count(*) AS n FROM readings) r, (SELECT count(*) AS n FROM agg) a"""
     raw_rows_sql = f"WITH {_READINGS} {_RAW}"
+    closed = f"""WITH {_READINGS}, agg AS ({_agg("1 hour")})
+SELECT * FROM agg
+WHERE ts < (SELECT strftime(max(ts), '%Y-%m-%dT%H:%M:%S.%gZ') FROM readings)"""
     return {
         "unescape_payload": mixed,
         "extract_readings": f"WITH {_READINGS} "
@@ -563,9 +649,31 @@ FROM raw""",
         "stored_reduction": reduction,
         "stream_raw_append": raw_rows_sql,
         # A window is out once the newest reading has passed its end.
-        "stream_agg_append": f"""WITH {_READINGS}, agg AS ({_agg("1 hour")})
-SELECT * FROM agg
-WHERE ts < (SELECT strftime(max(ts), '%Y-%m-%dT%H:%M:%S.%gZ') FROM readings)""",
+        "stream_agg_append": closed,
+        "stream_cogroup": closed,
+        # A clock that runs on closes the last window too.
+        "stream_idle_close": f"WITH {_READINGS} {_agg('1 hour')}",
+        "stream_open_windows": f"""WITH {_READINGS}, agg AS ({_agg("1 hour")}),
+w AS (SELECT *, ts < (SELECT strftime(max(ts), '%Y-%m-%dT%H:%M:%S.%gZ') FROM readings) AS done FROM agg)
+SELECT measure, CAST(coalesce(sum(cnt) FILTER (done), 0) AS BIGINT) AS closed,
+       CAST(coalesce(sum(cnt) FILTER (NOT done), 0) AS BIGINT) AS open, CAST(sum(cnt) AS BIGINT) AS timed
+FROM w GROUP BY measure""",
+        # What is published late stands in the first half of the time, which is closed by then.
+        "stream_ledger": f"""WITH mid AS (
+  SELECT (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 AS m, max(ts) AS newest FROM events),
+{_READINGS},
+told AS (
+  SELECT measure, event_id % 10 = 3 AND epoch_us(ts) <= m
+           AND time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' <= date_trunc('millisecond', newest) AS late,
+         time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' <= date_trunc('millisecond', newest) AS done
+  FROM readings, mid)
+SELECT measure, count(*) FILTER (done AND NOT late) AS counted, count(*) FILTER (NOT done AND NOT late) AS open,
+       count(*) FILTER (late) AS late, count(*) FILTER (done AND NOT late) AS stored, true AS balanced
+FROM told GROUP BY measure""",
+        "stream_pair": f"""WITH {_READINGS}, agg AS ({_agg("1 hour")})
+SELECT measure, ts, cnt AS raw_rows,
+       CASE WHEN ts < (SELECT strftime(max(ts), '%Y-%m-%dT%H:%M:%S.%gZ') FROM readings) THEN cnt END AS agg_cnt
+FROM agg""",
         "stored_pair": f"""WITH {_READINGS}, agg AS ({_agg("1 hour")})
 SELECT measure, ts, cnt AS raw_rows, cnt AS agg_cnt FROM agg""",
         "append_two_writers": raw_rows_sql,

@@ -23,8 +23,10 @@ AGG_SCHEMA = T.StructType([
     T.StructField("ts", T.StringType()),
 ])
 
-# Which append a stored row came from; tables are partitioned by them.
+# Which append a stored row came from, and up to when (epoch milliseconds) its stream's windows
+# had been closed by then; tables are partitioned by them.
 WRITER_COLUMNS = T.StructType([
+    T.StructField("_watermark", T.LongType()),
     T.StructField("_writer", T.StringType()),
     T.StructField("_batch", T.LongType()),
 ])

@@ -1,10 +1,11 @@
 from sensorfold.sources.messages import broker_records, deal_out, read_messages
 from sensorfold.sources.replay import event_messages, text_messages
-from sensorfold.sources.tables import append_rows, ensure_table, readings_from_raw, stored_rows
+from sensorfold.sources.tables import append_rows, commit_rows, ensure_table, readings_from_raw, stored_rows
 
 __all__ = [
     "append_rows",
     "broker_records",
+    "commit_rows",
     "deal_out",
     "ensure_table",
     "event_messages",

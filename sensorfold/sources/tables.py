@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorfold.schemas import WRITER_COLUMNS
+from sensorfold.session import hadoop_path
 
 
 def _quoted(name: str) -> str:
@@ -68,13 +69,45 @@ def append_rows(rows: DataFrame, table: str, writer: str | None = None, batch: i
     columns = ", ".join(f"`{c}`" for c in declared)
     spark.sql(
         f"INSERT OVERWRITE TABLE {_quoted(table)} "
-        f"PARTITION (_writer = :writer, _batch = {int(batch)}) SELECT {columns} FROM {{rows}}",
+        f"PARTITION (_watermark = 0L, _writer = :writer, _batch = {int(batch)}) SELECT {columns} FROM {{rows}}",
         args={"writer": writer},
         rows=rows,
     )
     return writer
 
 
+def commit_rows(rows: DataFrame, table: str, writer: str, batch: int, watermark: int = 0) -> bool:
+    """Append a batch in one step, once: False if it is already there.
+
+    The rows are written beside the table and moved into it as a whole folder, so a stream that
+    follows the table sees all of a batch or nothing, and a repeated batch leaves the files alone
+    that were read meanwhile. The file system has to rename a folder in one step, as HDFS and
+    local disks do. The last writer's part of a batch that broke off is never read.
+    """
+    spark = rows.sparkSession
+    where = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(table)}").where("col_name IN ('Location', 'Provider')")
+    found = {r["col_name"]: r["data_type"] for r in where.collect()}
+    names = dict(zip(WRITER_COLUMNS.names, (watermark, writer, batch), strict=True))
+    final, files = hadoop_path(spark, "/".join([found["Location"], *(f"{k}={v}" for k, v in names.items())]))
+    declared = [c for c in spark.table(table).columns if c not in names]
+    new = not files.exists(final)
+    if new:
+        staging, _ = hadoop_path(spark, f"{found['Location']}/_staging/{uuid.uuid4().hex}")
+        rows.select(*declared).write.format(found["Provider"]).save(staging.toString())
+        files.mkdirs(final.getParent())
+        if not files.rename(staging, final):
+            raise RuntimeError(f"batch {batch} of {writer} could not be moved into {table}")
+    values = f"_watermark = {int(watermark)}L, _writer = :writer, _batch = {int(batch)}L"
+    spark.sql(f"ALTER TABLE {_quoted(table)} ADD IF NOT EXISTS PARTITION ({values})", args={"writer": writer})
+    return new
+
+
+def _appended(rows: DataFrame, writer: str | None, batch: int | None) -> DataFrame:
+    if writer is not None:
+        rows = rows.where(F.col("_writer") == writer)
+    return rows if batch is None else rows.where(F.col("_batch") == batch)
+
+
 def stored_rows(
     spark: SparkSession,
     table: str,
@@ -84,11 +117,7 @@ def stored_rows(
 ) -> DataFrame:
     """A table's declared columns, of all appends or those of one writer or batch."""
     rows = (spark.readStream if streaming else spark.read).table(table)
-    if writer is not None:
-        rows = rows.where(F.col("_writer") == writer)
-    if batch is not None:
-        rows = rows.where(F.col("_batch") == batch)
-    return rows.drop(*WRITER_COLUMNS.names)
+    return _appended(rows, writer, batch).drop(*WRITER_COLUMNS.names)
 
 
 def readings_from_raw(
@@ -97,15 +126,19 @@ def readings_from_raw(
     streaming: bool = False,
     writer: str | None = None,
     batch: int | None = None,
+    watermark: bool = False,
 ) -> DataFrame:
     """Readings back from the raw table, so that payloads are parsed only once.
 
     Windows of whole milliseconds take the stored publish time as they take the original one.
-    A value that another program stored and that no reading can hold becomes NULL.
+    A value that another program stored and that no reading can hold becomes NULL. With
+    ``watermark`` each reading has the time up to which windows were closed when it came.
     """
-    return stored_rows(spark, table, streaming, writer, batch).select(
+    rows = (spark.readStream if streaming else spark.read).table(table)
+    return _appended(rows, writer, batch).select(
         "measure",
         F.col("value").try_cast("int").alias("value"),
         "received",
         F.col("window_timestamp").alias("publish_ts"),
+        *([F.timestamp_millis("_watermark").alias("watermark")] if watermark else []),
     )

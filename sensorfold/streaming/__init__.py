@@ -1,9 +1,33 @@
 from sensorfold.streaming.jobs import (
+    clock_heartbeats,
+    closed_co_group,
+    closed_until,
     closed_windows,
+    in_time,
     start_aggregate,
+    start_pair,
     start_pipeline,
     start_raw,
+    start_rows,
     wait_all,
+    watched,
+    with_heartbeats,
+    writer_id,
 )
 
-__all__ = ["closed_windows", "start_aggregate", "start_pipeline", "start_raw", "wait_all"]
+__all__ = [
+    "clock_heartbeats",
+    "closed_co_group",
+    "closed_until",
+    "closed_windows",
+    "in_time",
+    "start_aggregate",
+    "start_pair",
+    "start_pipeline",
+    "start_raw",
+    "start_rows",
+    "wait_all",
+    "watched",
+    "with_heartbeats",
+    "writer_id",
+]

@@ -1,0 +1,246 @@
+"""Streams that work together: chained co-groups, clocks, open windows, ledgers, one parse."""
+
+import datetime as dt
+import os
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from sensorfold.operators import agg_rows, count_per_measure, extract_readings, max_per_measure, raw_rows, windowed_stats
+from sensorfold.plans import ledger, open_windows, told_readings
+from sensorfold.schemas import AGG_SCHEMA, RAW_SCHEMA
+from sensorfold.sources import commit_rows, ensure_table, stored_rows
+from sensorfold.streaming import (
+    clock_heartbeats,
+    closed_co_group,
+    closed_until,
+    start_aggregate,
+    start_pair,
+    start_pipeline,
+    start_rows,
+    wait_all,
+    watched,
+    with_heartbeats,
+    writer_id,
+)
+from test_streaming import NOW, ONE_FILE, Topic, fresh, quarter, same, wire
+
+
+@pytest.fixture
+def topic(spark, tmp_path):
+    return Topic(spark, f"{tmp_path}/topic")
+
+
+def tables(spark):
+    raw, agg = fresh(), fresh()
+    ensure_table(spark, raw, RAW_SCHEMA)
+    ensure_table(spark, agg, AGG_SCHEMA)
+    return raw, agg
+
+
+def clock(spark, folder, *times):
+    """A stream of heartbeats, a file each."""
+    for t in times:
+        row = spark.createDataFrame([(f"2024-01-01 {t}",)], "t string")
+        row.select(F.to_timestamp("t").alias("publish_ts")).coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema("publish_ts timestamp").parquet(folder)
+
+
+# --- chained co-group -----------------------------------------------------------------
+
+
+def co_grouped(read):
+    inputs = {}
+    for tag, f, name in (("max", max_per_measure, "max"), ("cnt", count_per_measure, "cnt")):
+        inputs[tag] = f(watched(extract_readings(read())), "1 hour").withColumnRenamed(name, "value")
+    return closed_co_group(inputs, "1 hour")
+
+
+def test_co_group_of_streams_goes_on_after_a_restart(spark, topic, tmp_path):
+    out = fresh()
+    spark.sql(f"CREATE TABLE {out} (start TIMESTAMP, measure STRING, max INT, cnt BIGINT, _watermark BIGINT, _writer STRING, _batch BIGINT) "
+              "USING parquet PARTITIONED BY (_watermark, _writer, _batch)")
+    for i in range(4):
+        topic.publish(quarter(spark, i))
+        rows = co_grouped(topic.read).select("window.start", "measure", "max", "cnt")
+        wait_all([start_rows(rows, out, f"{tmp_path}/c", NOW)])
+    readings = extract_readings(topic.read(streaming=False))
+    newest = readings.agg(F.max("publish_ts")).first()[0]
+    want = windowed_stats(readings, "1 hour").where(F.col("window.end") <= F.lit(newest))
+    same(stored_rows(spark, out), want.select("window.start", "measure", "max", "cnt"))
+
+
+def test_co_group_of_streams_wants_every_tag(spark, topic, tmp_path):
+    topic.publish(wire(spark, ("a", 1, "10:00:10"), ("b", 1, "10:00:20"), ("c", 1, "10:09:00")))
+    some = watched(extract_readings(topic.read())).where("measure <> 'b'")
+    inputs = {
+        "max": max_per_measure(some).withColumnRenamed("max", "value"),
+        "cnt": count_per_measure(watched(extract_readings(topic.read()))).withColumnRenamed("cnt", "value"),
+    }
+    rows = closed_co_group(inputs).select("window.start", "measure", "max", "cnt")
+    query = rows.writeStream.foreachBatch(lambda b, n: b.collect()).option("checkpointLocation", f"{tmp_path}/c").trigger(**NOW).start()
+    with pytest.raises(Exception, match="expected exactly one value"):
+        wait_all([query])
+
+
+# --- heartbeats -----------------------------------------------------------------------
+
+
+def idle(spark, topic, tmp_path, table, behind="0 seconds", **options):
+    beats = spark.readStream.schema("publish_ts timestamp").parquet(f"{tmp_path}/clock")
+    readings = with_heartbeats(extract_readings(topic.read(**options)), beats, behind)
+    wait_all([start_aggregate(readings, table, f"{tmp_path}/agg", trigger=NOW)])
+    return sorted((r["measure"], r["ts"][11:19], r["cnt"]) for r in stored_rows(spark, table).collect())
+
+
+def test_clock_closes_the_last_window(spark, topic, tmp_path):
+    _, agg = tables(spark)
+    topic.publish(wire(spark, ("a", 1, "10:00:10"), ("a", 3, "10:01:50")))
+    clock(spark, f"{tmp_path}/clock", "10:01:30")  # before the reading: moves nothing
+    assert idle(spark, topic, tmp_path, agg) == [("a", "10:00:59", 1)]
+    clock(spark, f"{tmp_path}/clock", "10:02:00")
+    assert idle(spark, topic, tmp_path, agg) == [("a", "10:00:59", 1), ("a", "10:01:59", 1)]
+    assert {r["measure"] for r in stored_rows(spark, agg).collect()} == {"a"}  # no heartbeat among them
+    assert open_windows(spark, f"{tmp_path}/agg").count() == 0
+
+
+def test_clock_leaves_readings_time_to_arrive(spark, topic, tmp_path):
+    _, agg = tables(spark)
+    topic.publish(wire(spark, ("a", 1, "10:00:10")))
+    clock(spark, f"{tmp_path}/clock", "10:05:00")
+    assert idle(spark, topic, tmp_path, agg, "10 minutes") == []
+    topic.publish(wire(spark, ("a", 1, "10:00:40")))  # late by the clock, but not by ten minutes
+    clock(spark, f"{tmp_path}/clock", "10:11:00")
+    assert idle(spark, topic, tmp_path, agg, "10 minutes") == [("a", "10:00:59", 2)]
+
+
+def test_rate_source_is_a_clock(spark):
+    beats = clock_heartbeats(spark)
+    assert beats.isStreaming and beats.columns == ["publish_ts"]
+
+
+def test_pipeline_takes_heartbeats(spark, topic, tmp_path):
+    topic.publish(wire(spark, ("a", 1, "10:00:10"), ("a", 3, "10:01:50")))
+    beats = clock(spark, f"{tmp_path}/clock", "10:30:00")
+    raw, agg = fresh(), fresh()
+    queries = start_pipeline(spark, topic.path, f"{tmp_path}/c", raw, agg, trigger=NOW, heartbeats=beats)
+    wait_all(queries)
+    assert stored_rows(spark, raw).count() == 2 and stored_rows(spark, agg).count() == 2
+    with pytest.raises(ValueError, match="heartbeats"):
+        start_pipeline(spark, topic.path, f"{tmp_path}/d", raw, agg, aggregate_raw_table=True, heartbeats=beats)
+
+
+# --- state ----------------------------------------------------------------------------
+
+
+def test_open_windows_are_what_a_batch_would_say(spark, topic, tmp_path):
+    _, agg = tables(spark)
+    topic.publish(wire(spark, ("a", 1, "10:00:10"), ("a", 4, "10:03:50"), ("a", 9, "10:03:51"), ("b", 7, "10:03:59")))
+    wait_all([start_aggregate(extract_readings(topic.read()), agg, f"{tmp_path}/agg", trigger=NOW)])
+    stats = agg_rows(windowed_stats(extract_readings(topic.read(streaming=False))))
+    held = open_windows(spark, f"{tmp_path}/agg")
+    assert held.dtypes == stats.dtypes
+    same(held.unionByName(stored_rows(spark, agg)), stats)
+    assert held.count() == 2
+
+
+# --- ledger ---------------------------------------------------------------------------
+
+
+def test_every_reading_is_told(spark, topic, tmp_path):
+    raw, agg = tables(spark)
+    run = lambda: wait_all(start_pair(topic.read(), raw, agg, f"{tmp_path}/c", trigger=NOW))
+    topic.publish(wire(spark, ("a", 1, "10:00:10"), ("a", 2, "10:02:10")))
+    run()
+    topic.publish(wire(spark, ("a", 3, "10:00:20"), ("a", 4, "10:02:20"), ("a", 5, "10:04:00"), ("b", 6, "10:04:10")))
+    run()
+    untimed = wire(spark, ("a", 7, "10:00:00")).withColumn("publish_ts", F.lit(None).cast("timestamp"))
+    topic.publish(wire(spark, ("a", 8, "10:02:30"), ("a", 9, "10:04:30")).unionByName(untimed))
+    run()
+    told = {r["value"]: r["state"] for r in told_readings(spark, raw, f"{tmp_path}/c").collect()}
+    # 8: its window was closed by reading 6 of the batch before, 3 by reading 2
+    assert told == {1: "counted", 2: "counted", 3: "late", 4: "counted", 5: "open", 6: "open", 7: "untimed", 8: "late", 9: "open"}
+    rows = ledger(spark, raw, agg, f"{tmp_path}/c").collect()
+    assert all(r["balanced"] for r in rows)
+    assert sum(r["counted"] + r["open"] + r["late"] + r["untimed"] for r in rows) == 9
+    assert sum(r["stored"] for r in rows) == 3
+
+
+def test_ledger_of_a_follower_that_lags(spark, topic, tmp_path):
+    """Lateness is settled by the raw batch, however many of them the follower takes at once."""
+    raw, agg = tables(spark)
+    topic.publish(wire(spark, ("a", 1, "10:00:10")))
+    topic.publish(wire(spark, ("a", 2, "10:05:00")))
+    topic.publish(wire(spark, ("a", 3, "10:00:20"), ("a", 4, "10:06:30")))
+    topic.publish(wire(spark, ("a", 5, "10:05:20"), ("a", 6, "10:09:00")))
+    wait_all(start_pair(topic.read(**ONE_FILE), raw, agg, f"{tmp_path}/c", trigger=NOW))
+    assert spark.table(raw).select("_batch").distinct().count() == 4
+    told = {r["value"]: r["state"] for r in told_readings(spark, raw, f"{tmp_path}/c").collect()}
+    assert told == {1: "counted", 2: "counted", 3: "late", 4: "counted", 5: "late", 6: "open"}
+    assert all(r["balanced"] for r in ledger(spark, raw, agg, f"{tmp_path}/c").collect())
+    assert sorted((r["ts"][11:19], r["max"], r["cnt"]) for r in stored_rows(spark, agg).collect()) == [
+        ("10:00:59", 1, 1), ("10:05:59", 2, 1), ("10:06:59", 4, 1),
+    ]
+
+
+def test_ledger_before_anything_ran(spark, tmp_path):
+    raw, agg = tables(spark)
+    assert closed_until(spark, f"{tmp_path}/c/agg") == 0
+    assert ledger(spark, raw, agg, f"{tmp_path}/c").count() == 0
+
+
+# --- one parse ------------------------------------------------------------------------
+
+
+def test_pair_parses_each_message_once(spark, topic, tmp_path):
+    for i in range(3):
+        topic.publish(quarter(spark, i))
+    raw, agg = fresh(), fresh()
+    queries = start_pipeline(spark, topic.path, f"{tmp_path}/c", raw, agg, "1 hour", trigger=NOW)
+    wait_all(queries)
+    first, second = queries
+    parsed = [p.observedMetrics["extract"].total for p in first.recentProgress if p.observedMetrics]
+    assert sum(parsed) == topic.read(streaming=False).count()
+    assert not any(p.observedMetrics for p in second.recentProgress)
+    assert "parse_json" not in second._jsq.explainInternal(True).lower()
+    # and again with more, from the same checkpoint
+    topic.publish(quarter(spark, 3))
+    wait_all(start_pipeline(spark, topic.path, f"{tmp_path}/c", raw, agg, "1 hour", trigger=NOW))
+    readings = extract_readings(topic.read(streaming=False))
+    same(stored_rows(spark, raw), raw_rows(readings))
+    newest = readings.agg(F.max("publish_ts")).first()[0]
+    stats = windowed_stats(readings, "1 hour").where(F.col("window.end") <= F.lit(newest))
+    same(stored_rows(spark, agg), agg_rows(stats))
+
+
+def test_a_batch_is_committed_once(spark, tmp_path):
+    raw, _ = tables(spark)
+    row = spark.sql("SELECT 'a' measure, 1L value, 2L received, TIMESTAMP '2024-01-01' window_timestamp")
+    assert commit_rows(row, raw, "w", 3, 5_000) is True
+    files = set(spark.table(raw).inputFiles())
+    assert commit_rows(row, raw, "w", 3, 5_000) is False  # a repeated batch leaves the files alone
+    assert set(spark.table(raw).inputFiles()) == files and spark.table(raw).count() == 1
+    assert spark.table(raw).select("_watermark", "_writer", "_batch").first() == (5_000, "w", 3)
+    assert commit_rows(row, raw, "w", 4, 6_000) is True
+    assert stored_rows(spark, raw, writer="w").count() == 2
+
+
+def test_rows_of_a_broken_batch_are_not_seen(spark, tmp_path):
+    raw, _ = tables(spark)
+    broken = spark.range(3).select(
+        F.lit("a").alias("measure"), F.when(F.col("id") == 2, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).cast("bigint").alias("value"),
+        F.lit(1).cast("bigint").alias("received"), F.lit(dt.datetime(2024, 1, 1)).alias("window_timestamp"),
+    )
+    with pytest.raises(Exception, match="lost"):
+        commit_rows(broken, raw, "w", 0)
+    assert spark.table(raw).count() == 0
+    assert spark.readStream.table(raw).isStreaming
+    commit_rows(broken.where("id < 2"), raw, "w", 0)
+    assert spark.table(raw).count() == 2
+
+
+def test_writer_ids_stay_with_their_checkpoint(spark, tmp_path):
+    one = writer_id(spark, f"{tmp_path}/one")
+    assert writer_id(spark, f"{tmp_path}/one") == one != writer_id(spark, f"{tmp_path}/two")
+    assert os.path.exists(f"{tmp_path}/one/writer") and uuid.UUID(one)
