@@ -31,6 +31,7 @@ from sensorfold.operators import (  # noqa: E402
     max_per_measure,
     mean_per_measure,
     min_per_measure,
+    parse_messages,
     raw_rows,
     reduction_from_readings,
     rejected_messages,
@@ -42,7 +43,7 @@ from sensorfold.operators import (  # noqa: E402
 )
 from sensorfold.functions import wire_quote  # noqa: E402
 from sensorfold.plans import compare_tables, ledger, open_windows, reduce_tables, run_batch  # noqa: E402
-from sensorfold.schemas import AGG_SCHEMA, RAW_SCHEMA  # noqa: E402
+from sensorfold.schemas import AGG_SCHEMA, QUARANTINE_SCHEMA, RAW_SCHEMA  # noqa: E402
 from sensorfold.session import configure_session, drop_work, work_dir  # noqa: E402
 from sensorfold.sources import (  # noqa: E402
     ensure_table,
@@ -460,17 +461,83 @@ PAYLOAD_KINDS: list[tuple[str, bool]] = [
 ]
 
 
-def q_parser_decisions(spark, sf_dir):
-    """One payload of twenty kinds per event, through the parser."""
-    kind = F.array(*[F.lit(body) for body, _ in PAYLOAD_KINDS])[(F.col("event_id") % 20).cast("int")]
+# What is wrong with the kinds that the parser turns down.
+PAYLOAD_REASONS = {
+    8: "malformed", 9: "malformed", 10: "not an array", 11: "value is not a number", 12: "value is out of range",
+    13: "value is not a number", 14: "no value", 15: "no name", 16: "no name", 17: "first element is not an object",
+    18: "name is not a scalar", 19: "not an array",
+}
+
+# The same by ``event_id % 12`` in lenient spellings; and whether the lenient parser takes them.
+LENIENT_KINDS: list[tuple[str, bool]] = [
+    ('[{"meaning":"{m}","value":{v},"received":{r}}]', True),
+    ("[{'meaning':'{m}','value':{v},'received':{r}}]", True),
+    ("[{meaning:{m},value:{v},received:{r}}]", True),
+    ("[{meaning={m};value=>{v};received={r}}]", True),
+    ("[{/* unit */meaning:'{m}',value:'{v}',received:\"{r}\"}]", True),
+    ("[{meaning:{m},value:{v},received:{r}},]", True),
+    ("[{'x':{y:[1,,2]},meaning:{m},value:{v}.75,received:{r}},{second}]", False),
+    ("[,{meaning:{m},value:{v},received:{r}}]", False),
+    ("[{meaning:{m} {m},value:{v},received:{r}}]", False),
+    ("[{meaning:NULL,value:{v},received:{r}}]", False),
+    ("[{meaning:{m},value:{m},received:{r}}]", False),
+    ("[{'meaning':'{m},value:{v},received:{r}}]", False),
+]
+
+
+def _spelled(events: DataFrame, kinds: list[str]) -> DataFrame:
+    """One message per event, of the kind that its id names."""
+    kind = F.array(*[F.lit(body) for body in kinds])[(F.col("event_id") % len(kinds)).cast("int")]
     fill = {"{m}": F.col("event_type"), "{v}": F.col("value").cast("int").cast("string"), "{r}": F.col("event_id").cast("string")}
     for mark, text in fill.items():
         kind = F.replace(kind, F.lit(mark), text)
-    messages = _table(spark, sf_dir, "events").select(
+    return events.select(
         F.col("event_id").alias("message_id"), wire_quote(kind).alias("payload"),
         F.col("ts").cast("timestamp").alias("publish_ts"),
     )
-    return extract_readings(messages).select(F.col("message_id").alias("event_id"), "measure", "value", "received")
+
+
+def _event_readings(readings: DataFrame) -> DataFrame:
+    return readings.select(F.col("message_id").alias("event_id"), "measure", "value", "received")
+
+
+def q_parser_decisions(spark, sf_dir):
+    """One payload of twenty kinds per event, through the parser."""
+    messages = _spelled(_table(spark, sf_dir, "events"), [body for body, _ in PAYLOAD_KINDS])
+    return _event_readings(extract_readings(messages))
+
+
+def q_lenient_readings(spark, sf_dir):
+    """One payload of twelve spellings per event, through the lenient parser."""
+    messages = _spelled(_table(spark, sf_dir, "events"), [body for body, _ in LENIENT_KINDS])
+    return _event_readings(extract_readings(messages, lenient=True))
+
+
+def q_spelled_names(spark, sf_dir):
+    """Names that are numbers, spelled in four ways."""
+    names = ["{r}.0", "{r}e2", "0.{r}0", "-{r}.00"]
+    messages = _spelled(_table(spark, sf_dir, "events"), [f'[{{"meaning":{n},"value":{{v}},"received":{{r}}}}]' for n in names])
+    return _event_readings(extract_readings(messages))
+
+
+def q_reject_reasons(spark, sf_dir):
+    """Why the parser turns messages down, and how many of each: of the twenty kinds, of status
+    objects and of whole texts."""
+    kinds = _spelled(_table(spark, sf_dir, "events"), [body for body, _ in PAYLOAD_KINDS])
+    messages = kinds.withColumn("origin", F.lit("kind")).unionByName(_mixed_messages(spark, sf_dir))
+    told = parse_messages(messages, reasons=True)
+    return told.groupBy("origin", F.coalesce("reason", F.lit("reading")).alias("reason")).agg(F.count(F.lit(1)).alias("messages"))
+
+
+def q_stream_quarantine(spark, sf_dir):
+    """A stream of the twenty kinds into two tables: readings, and the rest with its reasons."""
+    messages = _spelled(_streamed_events(spark, sf_dir), [body for body, _ in PAYLOAD_KINDS])
+    folder, (raw, bad) = _work_tables(spark, raw=RAW_SCHEMA, bad=QUARANTINE_SCHEMA)
+    wait_all([start_raw(messages, raw, f"{folder}/checkpoint", NOW, quarantine_table=bad)])
+    good = stored_rows(spark, raw).select(F.lit("reading").alias("reason"), F.col("window_timestamp").alias("publish_ts"))
+    rows = good.unionByName(stored_rows(spark, bad).select("reason", "publish_ts"))
+    day = F.to_date("publish_ts").alias("day")
+    return _kept(spark, rows.groupBy(day, "reason").agg(F.count(F.lit(1)).alias("messages")), folder, raw, bad)
 
 
 def q_tokenize_letters(spark, sf_dir):
@@ -519,6 +586,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_ledger": q_stream_ledger,
         "stream_pair": q_stream_pair,
         "parser_decisions": q_parser_decisions,
+        "lenient_readings": q_lenient_readings,
+        "spelled_names": q_spelled_names,
+        "reject_reasons": q_reject_reasons,
+        "stream_quarantine": q_stream_quarantine,
         "tokenize_letters": q_tokenize_letters,
         **(_llm.queries() if _llm else {}),
     }
@@ -568,12 +639,19 @@ _SUMMARY_AGG = """
   FROM agg"""
 
 
-def _decisions_sql() -> str:
-    taken = ", ".join(f"({kind})" for kind, (_, good) in enumerate(PAYLOAD_KINDS) if good)
+def _decisions_sql(kinds: list[tuple[str, bool]]) -> str:
+    taken = ", ".join(f"({kind})" for kind, (_, good) in enumerate(kinds) if good)
     return f"""
   SELECT event_id, event_type AS measure, CAST(trunc(value) AS INTEGER) AS value,
          event_id AS received
-  FROM events JOIN (VALUES {taken}) AS k(kind) ON event_id % 20 = kind"""
+  FROM events JOIN (VALUES {taken}) AS k(kind) ON event_id % {len(kinds)} = kind"""
+
+
+def _reasons_sql() -> str:
+    wrong = ", ".join(f"({kind}, '{reason}')" for kind, reason in PAYLOAD_REASONS.items())
+    return f"""WITH told AS (
+  SELECT ts, coalesce(k.reason, 'reading') AS reason
+  FROM events LEFT JOIN (VALUES {wrong}) AS k(kind, reason) ON event_id % {len(PAYLOAD_KINDS)} = kind)"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -691,7 +769,21 @@ agg AS ({_agg("1 hour")})
 SELECT * FROM agg
 WHERE ts < (SELECT strftime(max(ts), '%Y-%m-%dT%H:%M:%S.%gZ') FROM readings)""",
         "stream_late_raw": raw_rows_sql,
-        "parser_decisions": _decisions_sql(),
+        "parser_decisions": _decisions_sql(PAYLOAD_KINDS),
+        "lenient_readings": _decisions_sql(LENIENT_KINDS),
+        "spelled_names": """
+  SELECT event_id, CASE event_id % 4 WHEN 0 THEN event_id || '.0' WHEN 1 THEN event_id || 'e2'
+           WHEN 2 THEN '0.' || event_id || '0' ELSE '-' || event_id || '.00' END AS measure,
+         CAST(trunc(value) AS INTEGER) AS value, event_id AS received
+  FROM events""",
+        "reject_reasons": f"""{_reasons_sql()}
+SELECT 'kind' AS origin, reason, count(*) AS messages FROM told GROUP BY reason
+UNION ALL SELECT 'reading', 'reading', count(*) FROM events
+UNION ALL SELECT 'status', 'not an array', count(*) FROM events
+UNION ALL SELECT 'document', CASE WHEN length(t) < 2 THEN 'no body' ELSE 'not an array' END, count(*)
+FROM (SELECT replace(text, chr(92), '') AS t FROM documents) GROUP BY ALL""",
+        "stream_quarantine": f"""{_reasons_sql()}
+SELECT CAST(ts AS DATE) AS day, reason, count(*) AS messages FROM told GROUP BY ALL""",
         "tokenize_letters": r"""
   SELECT lang, count(*) AS n_tokens, count(DISTINCT token) AS n_distinct
   FROM (SELECT lang, unnest(string_split_regex(text, '[^\p{L}]+')) AS token FROM documents)

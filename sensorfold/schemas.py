@@ -23,6 +23,12 @@ AGG_SCHEMA = T.StructType([
     T.StructField("ts", T.StringType()),
 ])
 
+QUARANTINE_SCHEMA = T.StructType([
+    T.StructField("payload", T.StringType()),
+    T.StructField("publish_ts", T.TimestampType()),
+    T.StructField("reason", T.StringType()),
+])
+
 # Which append a stored row came from, and up to when (epoch milliseconds) its stream's windows
 # had been closed by then; tables are partitioned by them.
 WRITER_COLUMNS = T.StructType([

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sensorfold.operators.cogroup import co_group_only
-from sensorfold.operators.extract import extract_readings
+from sensorfold.operators.extract import extract_readings, observed, parse_messages
 from sensorfold.operators.rows import agg_rows, raw_rows
 from sensorfold.operators.windows import windowed_stats
 from sensorfold.schemas import (
@@ -25,6 +25,7 @@ from sensorfold.schemas import (
     DEFAULT_LATENESS,
     DEFAULT_RAW_TABLE,
     DEFAULT_WINDOW,
+    QUARANTINE_SCHEMA,
     RAW_SCHEMA,
 )
 from sensorfold.session import hadoop_path, require_stream_session
@@ -164,14 +165,27 @@ def start_raw(
     checkpoint: str,
     trigger: dict[str, Any] | None = None,
     lateness: str = DEFAULT_LATENESS,
+    quarantine_table: str | None = None,
+    lenient: bool = False,
 ) -> StreamingQuery:
     """Append every well-formed reading. No state, and late rows are kept.
 
     The watermark drops nothing here. It is noted with each batch, so that whoever follows the
-    table knows which of its readings came after their window had closed.
+    table knows which of its readings came after their window had closed. With a
+    ``quarantine_table`` each message that is no reading is appended there with its reason, from
+    the same parse: a batch is kept while both tables take their part of it.
     """
-    readings = extract_readings(messages, observe_as=RAW_METRICS).withWatermark("publish_ts", lateness)
-    return start_rows(raw_rows(readings), table, checkpoint, trigger)
+    if quarantine_table is None:
+        readings = extract_readings(messages, RAW_METRICS, lenient).withWatermark("publish_ts", lateness)
+        return start_rows(raw_rows(readings), table, checkpoint, trigger)
+    parsed = observed(parse_messages(messages, lenient, reasons=True), RAW_METRICS)
+    # only readings make time pass
+    timed = parsed.withColumn("_read", F.when(F.col("valid"), F.col("publish_ts"))).withWatermark("_read", lateness)
+
+    def parts(batch: DataFrame) -> dict[str, DataFrame]:
+        return {table: raw_rows(batch.where("valid")), quarantine_table: batch.where("NOT valid")}
+
+    return start_rows(timed, table, checkpoint, trigger, parts)
 
 
 def closed_windows(
@@ -221,6 +235,8 @@ def start_pair(
     duration: str = DEFAULT_WINDOW,
     lateness: str = DEFAULT_LATENESS,
     trigger: dict[str, Any] | None = None,
+    quarantine_table: str | None = None,
+    lenient: bool = False,
 ) -> list[StreamingQuery]:
     """Both queries with one parse: the second follows what the first appends to the raw table.
 
@@ -229,7 +245,7 @@ def start_pair(
     trigger that ends (``availableNow``) the first query ends before the second starts.
     """
     spark = messages.sparkSession
-    raw = start_raw(messages, raw_table, f"{checkpoint}/raw", trigger, lateness)
+    raw = start_raw(messages, raw_table, f"{checkpoint}/raw", trigger, lateness, quarantine_table, lenient)
     if trigger and (trigger.get("availableNow") or trigger.get("once")):
         raw.awaitTermination()
     writer = writer_id(spark, f"{checkpoint}/raw")
@@ -252,13 +268,16 @@ def start_pipeline(
     aggregate_raw_table: bool | None = None,
     heartbeats: DataFrame | None = None,
     behind: str = "0 seconds",
+    quarantine_table: str | None = None,
+    lenient: bool = False,
 ) -> list[StreamingQuery]:
     """Provision both tables and start both queries on the same source.
 
     A table given as None is left out. With both, the second query follows the raw table
     (``start_pair``), so each payload is read and parsed once; ``aggregate_raw_table=False``
     makes the two independent. ``heartbeats`` close the windows of a silent source; they move
-    the aggregate's time alone, so that query then reads the source itself.
+    the aggregate's time alone, so that query then reads the source itself. The raw query fills
+    the ``quarantine_table``; ``lenient`` takes single quotes, bare words and the like.
     """
     follow = aggregate_raw_table
     if follow is None:
@@ -267,17 +286,20 @@ def start_pipeline(
         raise ValueError("aggregate_raw_table needs a raw_table")
     if follow and heartbeats is not None:
         raise ValueError("heartbeats need aggregate_raw_table=False")
+    if quarantine_table is not None and raw_table is None:
+        raise ValueError("quarantine_table needs a raw_table")
     require_stream_session(spark)
     ensure_table(spark, raw_table, RAW_SCHEMA)
     ensure_table(spark, agg_table, AGG_SCHEMA)
+    ensure_table(spark, quarantine_table, QUARANTINE_SCHEMA)
     messages = read_messages(spark, source, True, format, options)
     if follow and agg_table is not None:
-        return start_pair(messages, raw_table, agg_table, checkpoint, duration, lateness, trigger)
+        return start_pair(messages, raw_table, agg_table, checkpoint, duration, lateness, trigger, quarantine_table, lenient)
     queries = []
     if raw_table is not None:
-        queries.append(start_raw(messages, raw_table, f"{checkpoint}/raw", trigger, lateness))
+        queries.append(start_raw(messages, raw_table, f"{checkpoint}/raw", trigger, lateness, quarantine_table, lenient))
     if agg_table is not None:
-        readings = extract_readings(messages, observe_as=AGG_METRICS)
+        readings = extract_readings(messages, AGG_METRICS, lenient)
         if heartbeats is not None:
             readings = with_heartbeats(readings, heartbeats, behind)
         queries.append(start_aggregate(readings, agg_table, f"{checkpoint}/agg", duration, lateness, trigger))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from sensorfold.functions import wire_quote
+from sensorfold.functions import REASONS, wire_quote
 from sensorfold.operators import (
     count_messages,
     extract_readings,
@@ -88,7 +88,17 @@ BODIES = [
     (one(meaning='["z","y"]'), None),
     (one(meaning="[[1]]"), None),
     (one(meaning='[{"x":1}]'), None),
-    (one(meaning="5.0"), ("5", 66, 2)),  # a numeric name is spelled anew, a stated divergence
+    (one(meaning="5.0"), ("5.0", 66, 2)),  # a numeric name keeps its spelling
+    (one(meaning="1e2"), ("1e2", 66, 2)),
+    (one(meaning="0.10"), ("0.10", 66, 2)),
+    (one(meaning="-0"), ("-0", 66, 2)),
+    (one(meaning="12345678901234567890123"), ("12345678901234567890123", 66, 2)),
+    (one(meaning=" 7.50 "), ("7.50", 66, 2)),
+    (one(meaning="[5.0]"), ("5.0", 66, 2)),
+    (one(meaning="[ 1E2 ]"), ("1E2", 66, 2)),
+    ('[{"meaning":1.0,"x":{"meaning":3.0},"meaning":2.00,"value":66,"received":2},{"meaning":9.0}]', ("2.00", 66, 2)),
+    (one(meaning='"5.0"'), ("5.0", 66, 2)),
+    (one(meaning='"-x"'), ("-x", 66, 2)),
     (one(meaning='"{x"'), ("{x", 66, 2)),
     (one(meaning='"[x"'), ("[x", 66, 2)),
     (one(meaning='"température"'), ("température", 66, 2)),
@@ -211,3 +221,94 @@ def test_payload_is_parsed_once(spark):
     plan = extract_readings(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("parseJson") == 1
     assert "Python" not in plan
+
+
+# --- lenient spelling -----------------------------------------------------------------
+
+LENIENT = [
+    ("[{'meaning':'a','value':66,'received':2}]", ("a", 66, 2)),
+    ("[{meaning:a,value:66,received:2}]", ("a", 66, 2)),
+    ("[{meaning=a;value=66;received=>2}]", ("a", 66, 2)),
+    ("[{'meaning':\"it's\",value:'66',received:\"2\"}]", ("it's", 66, 2)),
+    ("[{/* one */meaning:a,value:66, // two\nreceived:2} # three\n]", ("a", 66, 2)),
+    ("[{meaning:a,value:66,received:2},]", ("a", 66, 2)),
+    ("[{meaning:a,value:66,received:2},,{x:y}]", ("a", 66, 2)),
+    ("[{meaning:a,value:66.7,received:2}]", ("a", 66, 2)),
+    ("[{meaning:a,value:007,received:+2}]", ("a", 7, 2)),
+    ("[{meaning:TRUE,value:66,received:2}]", ("true", 66, 2)),
+    ("[{meaning:5.0,value:66,received:2}]", ("5.0", 66, 2)),
+    ("[{meaning:a b,value:66,received:2}]", None),
+    ("[,{meaning:a,value:66,received:2}]", None),
+    ("[{meaning:NULL,value:66,received:2}]", None),
+    ("[{meaning:a,value:x,received:2}]", None),
+    ("[{meaning:a,value:66,received:2}", None),
+    ("[{meaning:a,value:66,received:2}] x", None),
+    ("[{meaning:a,value:66,received:2,}]", None),
+    ("[{'meaning':'a,value:66,received:2}]", None),
+    ("{meaning:a,value:66,received:2}", None),
+    ("['a']", None),
+    ("[" * 50_000, None),
+    ("[" + "," * 50_000 + "]", None),
+    ("['" + "x" * 50_000 + "']", None),
+    ("[" + "/*" * 20_000, None),
+    ("", None),
+    (OK, ("a", 66, 2)),
+    (OK[:-1], None),
+]
+
+
+def test_lenient_spellings(spark):
+    rows = [(i, "'" + body + "'") for i, (body, _) in enumerate(LENIENT)] + [(-1, None), (-2, "")]
+    df = spark.createDataFrame(rows, "i int, payload string")
+    got = {r["i"]: (r["measure"], r["value"], r["received"]) for r in extract_readings(df, lenient=True).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(LENIENT) if want is not None}
+    strict = {r["i"] for r in extract_readings(df).collect()}
+    assert strict == {len(LENIENT) - 2}
+    left = {r["i"] for r in rejected_messages(df, lenient=True).collect()}
+    assert left == {r[0] for r in rows} - set(got)
+
+
+def test_lenient_takes_what_strict_takes(spark):
+    rows = [(i, payload) for i, (payload, want) in enumerate(CASES) if want is not None]
+    df = spark.createDataFrame(rows, "i int, payload string")
+    same = lambda x: sorted((r["i"], r["measure"], r["value"], r["received"]) for r in x.collect())
+    assert same(extract_readings(df, lenient=True)) == same(extract_readings(df))
+
+
+def test_good_bodies_are_not_parsed_again(spark):
+    """The second parse is asked for where the first found no reading, and nowhere else."""
+    df = spark.createDataFrame([("'" + OK + "'",)], "payload string")
+    plan = extract_readings(df, lenient=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("parseJson") == 2 and "Python" not in plan
+    assert re.search(r"CASE WHEN \(?isnull\(_strict|_strict#\d+\)? THEN|isnull\(_strict", plan)
+
+
+# --- reasons --------------------------------------------------------------------------
+
+WHY = [
+    (OK, None), ("", "not an array"), ("{}", "not an array"), ("junk", "not an array"), (OK[:-1], "malformed"), (OK + " zzz", "malformed"),
+    (f"{OK},{OK}", "more than one value"), ("[]", "first element is not an object"), ("[5]", "first element is not an object"), ("[null]", "first element is not an object"),
+    (f"[{OK}]", "first element is not an object"), ('[{"value":66,"received":2}]', "no name"), (one(meaning="null"), "no name"),
+    (one(meaning='{"x":1}'), "name is not a scalar"), (one(meaning='["z","y"]'), "name is not a scalar"), ('[{"meaning":"a","received":2}]', "no value"),
+    (one(value="true"), "value is not a number"), (one(value='"x"'), "value is not a number"), (one(value='"66.7"'), "value is not a number"),
+    (one(value="3000000000"), "value is out of range"), (one(value='"3000000000"'), "value is out of range"), (one(value="[1,2]"), "value is not a number"),
+    ('[{"meaning":"a","value":66}]', "no time"), (one(received="false"), "time is not a number"), (one(received="99999999999999999999"), "time is out of range"),
+]
+
+
+def test_reasons(spark):
+    rows = [(i, "'" + body + "'") for i, (body, _) in enumerate(WHY)] + [(-1, None), (-2, "x")]
+    df = spark.createDataFrame(rows, "i int, payload string")
+    got = {r["i"]: r["reason"] for r in parse_messages(df, reasons=True).collect()}
+    assert {i: got[i] for i in range(len(WHY))} == dict(enumerate(w for _, w in WHY))
+    assert got[-1] == got[-2] == "no body"
+    assert set(got.values()) - {None} <= set(REASONS)
+
+
+def test_every_rejected_message_has_a_reason(spark):
+    rows = [(i, payload) for i, (payload, _) in enumerate(CASES)]
+    df = spark.createDataFrame(rows, "i int, payload string")
+    for lenient in (False, True):
+        told = parse_messages(df, lenient=lenient, reasons=True).collect()
+        assert all((r["reason"] is None) == r["valid"] for r in told)
+    assert rejected_messages(df, reasons=True).columns == ["i", "payload", "reason"]

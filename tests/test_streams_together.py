@@ -7,9 +7,9 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from sensorfold.operators import agg_rows, count_per_measure, extract_readings, max_per_measure, raw_rows, windowed_stats
+from sensorfold.operators import agg_rows, count_per_measure, extract_readings, max_per_measure, raw_rows, rejected_messages, windowed_stats
 from sensorfold.plans import ledger, open_windows, told_readings
-from sensorfold.schemas import AGG_SCHEMA, RAW_SCHEMA
+from sensorfold.schemas import AGG_SCHEMA, QUARANTINE_SCHEMA, RAW_SCHEMA
 from sensorfold.sources import commit_rows, ensure_table, stored_rows
 from sensorfold.streaming import (
     clock_heartbeats,
@@ -244,3 +244,47 @@ def test_writer_ids_stay_with_their_checkpoint(spark, tmp_path):
     one = writer_id(spark, f"{tmp_path}/one")
     assert writer_id(spark, f"{tmp_path}/one") == one != writer_id(spark, f"{tmp_path}/two")
     assert os.path.exists(f"{tmp_path}/one/writer") and uuid.UUID(one)
+
+
+# --- quarantine -----------------------------------------------------------------------
+
+
+def test_messages_are_readings_or_quarantined(spark, topic, tmp_path):
+    topic.publish(quarter(spark, 0))
+    raw, agg, bad = fresh(), fresh(), fresh()
+
+    def run():
+        wait_all(start_pipeline(spark, topic.path, f"{tmp_path}/c", raw, agg, "1 hour", trigger=NOW, quarantine_table=bad))
+        messages = topic.read(streaming=False)
+        same(stored_rows(spark, raw), raw_rows(extract_readings(messages)))
+        same(stored_rows(spark, bad), rejected_messages(messages, reasons=True).select(*QUARANTINE_SCHEMA.names))
+        assert stored_rows(spark, raw).count() + stored_rows(spark, bad).count() == messages.count()
+
+    run()
+    run()  # nothing twice
+    late = wire(spark, ("a", 1, "10:00:10")).unionByName(spark.createDataFrame([("junk", None)], "payload string, publish_ts timestamp"))
+    topic.publish(late)
+    run()
+    assert {r["reason"] for r in stored_rows(spark, bad).select("reason").distinct().collect()} == {"not an array"}
+    assert all(r["balanced"] for r in ledger(spark, raw, agg, f"{tmp_path}/c", "1 hour").collect())
+
+
+def test_junk_does_not_make_time_pass(spark, topic, tmp_path):
+    raw, agg, bad = fresh(), fresh(), fresh()
+    run = lambda: wait_all(start_pipeline(spark, topic.path, f"{tmp_path}/c", raw, agg, trigger=NOW, quarantine_table=bad))
+    junk = wire(spark, ("a", 1, "23:00:00")).withColumn("payload", F.lit("junk"))
+    topic.publish(wire(spark, ("a", 1, "10:00:10")).unionByName(junk))
+    run()
+    topic.publish(wire(spark, ("a", 2, "10:00:20"), ("a", 3, "10:05:00")))
+    run()
+    assert [(r["cnt"], r["max"]) for r in stored_rows(spark, agg).collect()] == [(2, 2)]
+
+
+def test_lenient_pipeline(spark, topic, tmp_path):
+    lenient = wire(spark, ("a", 1, "10:00:10")).withColumn("payload", F.lit("'[{meaning:a,value:5,received:1}]'"))
+    topic.publish(lenient)
+    raw, bad = fresh(), fresh()
+    wait_all(start_pipeline(spark, topic.path, f"{tmp_path}/c", raw, None, trigger=NOW, quarantine_table=bad, lenient=True))
+    assert [r["value"] for r in stored_rows(spark, raw).collect()] == [5] and stored_rows(spark, bad).count() == 0
+    with pytest.raises(ValueError, match="quarantine_table"):
+        start_pipeline(spark, topic.path, f"{tmp_path}/d", None, fresh(), trigger=NOW, quarantine_table=bad)
