@@ -54,21 +54,26 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
-def released(task):
-    """A task over batches that gives freed memory back to the machine at its end.
+def give_back() -> None:
+    """Gives freed memory back to the machine.
 
     Workers are reused, and both Arrow's pool and the C library keep what was freed; beside an
     executor's heap that adds up.
     """
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries lack it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def released(task):
+    """A task over batches that gives freed memory back to the machine at its end."""
 
     @functools.wraps(task)
     def run(batches):
         try:
             yield from task(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):  # other C libraries lack it
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            give_back()
 
     return run
 

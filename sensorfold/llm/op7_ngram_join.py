@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap, components, forest, forget, marked, released, settled, ship, unkept, without
+from .common import bitmap, components, forest, forget, give_back, marked, released, settled, ship, unkept, without
 
 WIDTH, PERCENT = 4, 85
 #: The most frequent tokens, known to all tasks: 8 bytes each. Any number gives right results.
@@ -31,8 +31,8 @@ FREQUENT = 1 << 17
 #: Tokens of fewer classes than this never count as frequent.
 LEAST_DF = 8
 #: Runs of up to so many classes give pairs; larger ones are compared in tiles of two blocks of
-#: about so many classes, so many tokens at once.
-FEW, BLOCK, STRIPE = 64, 1_024, 4_096
+#: about so many classes and tokens at most, so many different tokens and classes at once.
+FEW, BLOCK, BLOCK_TOKENS, STRIPE, ROWS = 64, 512, 1 << 19, 2_048, 128
 #: Leading bits of a token by which its frequency is counted. Tokens that share them count as one,
 #: which moves them in the order and changes no result.
 COUNTED_BITS = np.uint64(40)
@@ -514,14 +514,20 @@ def _tile_links(percent: int) -> Callable:
                 part = np.zeros((len(tile), STRIPE), dtype=np.float32)
                 part[owner[a:b], column[a:b] % STRIPE] = 1
                 shared += part @ part.T
-        linked = (100 + percent) * shared.astype(np.int64) >= percent * (n[:, None] + n[None, :])
-        if tile["i"].iloc[0] != tile["j"].iloc[0]:  # of two blocks only what lies between them
-            linked &= side[:, None] != side[None, :]
-        i, j = np.nonzero(np.triu(linked, 1))
         labels = np.arange(len(tile))
-        forest(labels, i, j)
+        crossing = tile["i"].iloc[0] != tile["j"].iloc[0]  # of two blocks only what lies between them
+        for low in range(0, len(tile), ROWS):
+            high = min(low + ROWS, len(tile))
+            linked = (100 + percent) * shared[low:high].astype(np.int64) >= percent * (n[low:high, None] + n[None, :])
+            if crossing:
+                linked &= side[low:high, None] != side[None, :]
+            i, j = np.nonzero(np.triu(linked, low + 1))
+            forest(labels, i + low, j)
         hit = np.flatnonzero(labels != np.arange(len(tile)))
-        return pd.DataFrame({"a": nodes[hit], "b": nodes[labels[hit]]})
+        found = pd.DataFrame({"a": nodes[hit], "b": nodes[labels[hit]]})
+        del shared, tokens, owner, column, order, count, kept
+        give_back()
+        return found
 
     return run
 
@@ -531,7 +537,8 @@ def _tiled(rows: DataFrame, classes: DataFrame, many: DataFrame, width: int, per
 
     Pairs stay in their tile: it tells its overlaps by a matrix product and gives a forest.
     """
-    sizes = many.groupBy("run").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_TOKENS))
+    sizes = many.join(classes.select("node", "n"), "node").groupBy("run").agg(blocks.cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     placed = (
         many.join(sizes, "run").withColumn("own", own)
