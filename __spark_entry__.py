@@ -46,6 +46,9 @@ from sensorfold.plans import compare_tables, ledger, open_windows, reduce_tables
 from sensorfold.schemas import AGG_SCHEMA, QUARANTINE_SCHEMA, RAW_SCHEMA  # noqa: E402
 from sensorfold.session import configure_session, drop_work, work_dir  # noqa: E402
 from sensorfold.sources import (  # noqa: E402
+    append_rows,
+    commit_rows,
+    compact,
     ensure_table,
     event_messages,
     stored_rows,
@@ -529,6 +532,36 @@ def q_reject_reasons(spark, sf_dir):
     return told.groupBy("origin", F.coalesce("reason", F.lit("reading")).alias("reason")).agg(F.count(F.lit(1)).alias("messages"))
 
 
+def q_stream_redelivered(spark, sf_dir):
+    """Every tenth message comes twice, in one batch and over two."""
+    folder, (table,) = _work_tables(spark, raw=RAW_SCHEMA)
+    messages = _messages(spark, sf_dir)
+    again = messages.where("message_id % 10 = 7")
+    for step in (messages.unionByName(again.where("message_id % 20 = 7")), again):
+        step.write.mode("append").parquet(f"{folder}/topic")
+        query = start_raw(_topic(spark, f"{folder}/topic"), table, f"{folder}/checkpoint", NOW, once=["origin", "message_id"])
+        wait_all([query])
+    return _kept(spark, _plain_raw(stored_rows(spark, table)), folder, table)
+
+
+def q_compacted_table(spark, sf_dir):
+    """A raw table of several writers and batches, made few twice, with a batch repeated after it."""
+    messages = _messages(spark, sf_dir)
+    folder, (table,) = _work_tables(spark, raw=RAW_SCHEMA)
+    parts = extract_readings(messages.withColumn("part", F.col("message_id") % 6))
+    batch = lambda k: raw_rows(parts.where(F.col("part") == k))
+    for k in range(3):
+        commit_rows(batch(k), table, "stream", k, 1000 * k)
+    append_rows(batch(3), table, "backfill", 0)
+    compact(spark, table, {"stream": 1, "backfill": 0}, "window_timestamp", HOUR)
+    commit_rows(batch(1), table, "stream", 1, 1000)
+    append_rows(batch(3), table, "backfill", 0)
+    commit_rows(batch(4), table, "stream", 3, 3000)
+    compact(spark, table, {"stream": 2}, "window_timestamp", HOUR)
+    commit_rows(batch(5), table, "stream", 4, 4000)
+    return _kept(spark, _plain_raw(stored_rows(spark, table)), folder, table)
+
+
 def q_stream_quarantine(spark, sf_dir):
     """A stream of the twenty kinds into two tables: readings, and the rest with its reasons."""
     messages = _spelled(_streamed_events(spark, sf_dir), [body for body, _ in PAYLOAD_KINDS])
@@ -590,6 +623,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "spelled_names": q_spelled_names,
         "reject_reasons": q_reject_reasons,
         "stream_quarantine": q_stream_quarantine,
+        "stream_redelivered": q_stream_redelivered,
+        "compacted_table": q_compacted_table,
         "tokenize_letters": q_tokenize_letters,
         **(_llm.queries() if _llm else {}),
     }
@@ -755,6 +790,8 @@ FROM agg""",
         "stored_pair": f"""WITH {_READINGS}, agg AS ({_agg("1 hour")})
 SELECT measure, ts, cnt AS raw_rows, cnt AS agg_cnt FROM agg""",
         "append_two_writers": raw_rows_sql,
+        "stream_redelivered": raw_rows_sql,
+        "compacted_table": raw_rows_sql,
         "append_two_agg_writers": f"""WITH {_READINGS.replace("FROM events", "FROM events WHERE event_id % 2 = 1")},
 a AS ({_agg("1 hour")}),
 b AS (WITH {_READINGS.replace("FROM events", "FROM events WHERE event_id % 2 = 0")},

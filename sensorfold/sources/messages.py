@@ -1,6 +1,6 @@
 """Reading messages: ``payload STRING, publish_ts TIMESTAMP`` from several formats."""
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,3 +57,14 @@ def deal_out(rows: DataFrame, partitions: int | None = None) -> DataFrame:
     than a shuffle. Nothing is looked at, so the plan is the one asked for at every size.
     """
     return rows if partitions is None else rows.repartition(partitions)
+
+
+def once_only(messages: DataFrame, keys: Sequence[str], horizon: str = "1 hour") -> DataFrame:
+    """A stream without the messages that a broker delivers again within ``horizon``.
+
+    ``keys`` name a message. They are kept as state for ``horizon`` after they came, by the clock
+    of arrival: publish times have no part in it, so no late message is lost. A batch that is
+    repeated has the same clock as the first time.
+    """
+    came = messages.withColumn("arrived", F.current_timestamp()).withWatermark("arrived", horizon)
+    return came.dropDuplicatesWithinWatermark([*keys]).drop("arrived")

@@ -9,10 +9,7 @@ from pyspark.sql import types as T
 
 from sensorfold.schemas import WRITER_COLUMNS
 from sensorfold.session import hadoop_path
-
-
-def _quoted(name: str) -> str:
-    return ".".join(f"`{part}`" for part in name.split("."))
+from sensorfold.sources.compaction import covers, quoted, read_manifest, table_files, valid
 
 
 def _shape(schema: T.StructType) -> list[tuple[str, str]]:
@@ -47,11 +44,11 @@ def ensure_table(
             raise RuntimeError(f"cannot append to {name}: " + "; ".join(differ))
         return False
     if "." in name:
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_quoted(name.rsplit('.', 1)[0])}")
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted(name.rsplit('.', 1)[0])}")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full)
     parts = ", ".join(f"`{f.name}`" for f in WRITER_COLUMNS)
     where = "" if location is None else " LOCATION '" + location.replace("'", "\\'") + "'"
-    spark.sql(f"CREATE TABLE {_quoted(name)} ({columns}) USING {format} PARTITIONED BY ({parts}){where}")
+    spark.sql(f"CREATE TABLE {quoted(name)} ({columns}) USING {format} PARTITIONED BY ({parts}){where}")
     return True
 
 
@@ -61,14 +58,16 @@ def append_rows(rows: DataFrame, table: str, writer: str | None = None, batch: i
     Every append has a partition of its own, ``(writer, batch)``. Appending the same one again
     replaces it, so a repeated batch adds nothing, and writers never touch each other's
     rows: any number of jobs may append to a table. Without a ``writer`` the append is a
-    new one.
+    new one. A batch that has been compacted stays as it is.
     """
     writer = writer or uuid.uuid4().hex
     spark = rows.sparkSession
+    if covers(read_manifest(spark, table_files(spark, table)[0]), writer, batch):
+        return writer
     declared = [c for c in spark.table(table).columns if c not in WRITER_COLUMNS.names]
     columns = ", ".join(f"`{c}`" for c in declared)
     spark.sql(
-        f"INSERT OVERWRITE TABLE {_quoted(table)} "
+        f"INSERT OVERWRITE TABLE {quoted(table)} "
         f"PARTITION (_watermark = 0L, _writer = :writer, _batch = {int(batch)}) SELECT {columns} FROM {{rows}}",
         args={"writer": writer},
         rows=rows,
@@ -85,24 +84,30 @@ def commit_rows(rows: DataFrame, table: str, writer: str, batch: int, watermark:
     local disks do. The last writer's part of a batch that broke off is never read.
     """
     spark = rows.sparkSession
-    where = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(table)}").where("col_name IN ('Location', 'Provider')")
-    found = {r["col_name"]: r["data_type"] for r in where.collect()}
+    location, provider = table_files(spark, table)
+    if covers(read_manifest(spark, location), writer, batch):
+        return False
     names = dict(zip(WRITER_COLUMNS.names, (watermark, writer, batch), strict=True))
-    final, files = hadoop_path(spark, "/".join([found["Location"], *(f"{k}={v}" for k, v in names.items())]))
+    final, files = hadoop_path(spark, "/".join([location, *(f"{k}={v}" for k, v in names.items())]))
     declared = [c for c in spark.table(table).columns if c not in names]
     new = not files.exists(final)
     if new:
-        staging, _ = hadoop_path(spark, f"{found['Location']}/_staging/{uuid.uuid4().hex}")
-        rows.select(*declared).write.format(found["Provider"]).save(staging.toString())
+        staging, _ = hadoop_path(spark, f"{location}/_staging/{uuid.uuid4().hex}")
+        rows.select(*declared).write.format(provider).save(staging.toString())
         files.mkdirs(final.getParent())
         if not files.rename(staging, final):
             raise RuntimeError(f"batch {batch} of {writer} could not be moved into {table}")
     values = f"_watermark = {int(watermark)}L, _writer = :writer, _batch = {int(batch)}L"
-    spark.sql(f"ALTER TABLE {_quoted(table)} ADD IF NOT EXISTS PARTITION ({values})", args={"writer": writer})
+    spark.sql(f"ALTER TABLE {quoted(table)} ADD IF NOT EXISTS PARTITION ({values})", args={"writer": writer})
     return new
 
 
-def _appended(rows: DataFrame, writer: str | None, batch: int | None) -> DataFrame:
+def _appended(spark: SparkSession, table: str, streaming: bool, writer: str | None, batch: int | None) -> DataFrame:
+    """A stream takes appends as they come; a table counts each row once, compacted or not."""
+    if streaming:
+        rows = spark.readStream.table(table).where("_batch >= 0")
+    else:
+        rows = spark.table(table).where(valid(read_manifest(spark, table_files(spark, table)[0])))
     if writer is not None:
         rows = rows.where(F.col("_writer") == writer)
     return rows if batch is None else rows.where(F.col("_batch") == batch)
@@ -116,8 +121,7 @@ def stored_rows(
     batch: int | None = None,
 ) -> DataFrame:
     """A table's declared columns, of all appends or those of one writer or batch."""
-    rows = (spark.readStream if streaming else spark.read).table(table)
-    return _appended(rows, writer, batch).drop(*WRITER_COLUMNS.names)
+    return _appended(spark, table, streaming, writer, batch).drop(*WRITER_COLUMNS.names)
 
 
 def readings_from_raw(
@@ -134,8 +138,7 @@ def readings_from_raw(
     A value that another program stored and that no reading can hold becomes NULL. With
     ``watermark`` each reading has the time up to which windows were closed when it came.
     """
-    rows = (spark.readStream if streaming else spark.read).table(table)
-    return _appended(rows, writer, batch).select(
+    return _appended(spark, table, streaming, writer, batch).select(
         "measure",
         F.col("value").try_cast("int").alias("value"),
         "received",

@@ -29,7 +29,7 @@ from sensorfold.schemas import (
     RAW_SCHEMA,
 )
 from sensorfold.session import hadoop_path, require_stream_session
-from sensorfold.sources.messages import read_messages
+from sensorfold.sources.messages import once_only, read_messages
 from sensorfold.sources.tables import commit_rows, ensure_table, readings_from_raw
 
 RAW_METRICS = "extract"
@@ -131,13 +131,17 @@ def start_rows(
     checkpoint: str,
     trigger: dict[str, Any] | None,
     others: Callable[[DataFrame], Mapping[str, DataFrame]] | None = None,
+    marked: bool = True,
 ) -> StreamingQuery:
-    """Append each micro-batch to ``table``; ``others`` makes rows for further tables of it."""
+    """Append each micro-batch to ``table``; ``others`` makes rows for further tables of it.
+
+    ``marked`` notes the batch's watermark with its rows.
+    """
     spark = rows.sparkSession
     writer = writer_id(spark, checkpoint)
 
     def append(batch: DataFrame, number: int) -> None:
-        watermark = batch_watermark(batch.sparkSession, checkpoint, number)
+        watermark = batch_watermark(batch.sparkSession, checkpoint, number) if marked else 0
         if others is None:
             commit_rows(batch, table, writer, number, watermark)
             return
@@ -167,6 +171,8 @@ def start_raw(
     lateness: str = DEFAULT_LATENESS,
     quarantine_table: str | None = None,
     lenient: bool = False,
+    once: Sequence[str] = (),
+    horizon: str = "1 hour",
 ) -> StreamingQuery:
     """Append every well-formed reading. No state, and late rows are kept.
 
@@ -174,7 +180,15 @@ def start_raw(
     table knows which of its readings came after their window had closed. With a
     ``quarantine_table`` each message that is no reading is appended there with its reason, from
     the same parse: a batch is kept while both tables take their part of it.
+
+    ``once`` names the columns that tell a message, where a broker may deliver it again within
+    ``horizon``. That takes the query's only watermark, so its batches tell nothing of lateness.
     """
+    if once:
+        if quarantine_table is not None:
+            raise ValueError("once and quarantine_table do not go together")
+        readings = extract_readings(once_only(messages, once, horizon), RAW_METRICS, lenient)
+        return start_rows(raw_rows(readings), table, checkpoint, trigger, marked=False)
     if quarantine_table is None:
         readings = extract_readings(messages, RAW_METRICS, lenient).withWatermark("publish_ts", lateness)
         return start_rows(raw_rows(readings), table, checkpoint, trigger)
