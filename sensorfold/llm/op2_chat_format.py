@@ -64,6 +64,8 @@ def visit_parts(parts: Column) -> Column:
     def shown(p: Column) -> Column:
         # the kind is data too: escape it, and let no "|" close the placeholder early
         name = F.replace(escaped(kind(p)), F.lit("|"), F.lit("\\p"))
+        # only the kinds known here stand for themselves: no other kind can name a control string
+        name = F.when(kind(p).isin(*TOKENS_PER_UNIT), name).otherwise(F.concat(F.lit("part:"), name))
         text = escaped(F.coalesce(p["text"], F.lit("")))
         return F.when(kind(p) == "text", text).otherwise(F.concat(F.lit("<|"), name, F.lit("|>")))
 
