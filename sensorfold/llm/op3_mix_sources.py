@@ -160,24 +160,33 @@ def mixed_documents(
     """The mix itself: rows of ``docs``, repeated or left out as :func:`mix` says.
 
     The document at a source's cut gives a last row of as many first words as are wanted, joined by one
-    space, with its length in ``chars_col``. What a source takes is known by its rounds and the
+    space, with its length in ``chars_col``; rows that repeat its id and size share what it takes. What a source takes is known by its rounds and the
     place of its cut in the seeded order, so texts are not shuffled: that table has a row per
     source, and is broadcast if they are few.
     """
     shares = settled(_shares(docs, id_col, text_col, source_col, seed=seed, **options))
     place = F.struct("_h", F.col("_id").cast("string"), "size")
-    at = F.struct(place.alias("place"), F.col("_part").alias("part"))
+    # what rows of one place (an id that repeats) take together; the last such place is the cut
+    taking = shares.where("_part > 0").groupBy("source", place.alias("place")).agg(F.sum("_part").alias("part"))
+    ends = taking.groupBy(F.col("source").alias("__of")).agg(F.max(F.struct("place", "part")).alias("__cut"))
+    rounds_of = shares.groupBy(F.col("source").alias("__source")).agg(F.max("_rounds").alias("__rounds"))
     cuts = settled(
-        shares.groupBy("source").agg(F.max("_rounds").alias("__rounds"), F.max(F.when(F.col("_part") > 0, at)).alias("__cut"))
-        .withColumnRenamed("source", "__source")
+        rounds_of.join(ends, F.col("__source").eqNullSafe(F.col("__of")), "left").select("__source", "__rounds", "__cut")
     )
     few = cuts.count() <= BROADCAST_SOURCES
     size = word_count(F.col(text_col))
     here = F.struct(seeded_rank(seed, F.col(id_col)), F.col(id_col).cast("string"), size)
     before, same = here < F.col("__cut.place"), here == F.col("__cut.place")
-    part = F.when(before, size).when(same, F.col("__cut.part")).otherwise(0)
     joined = docs.join(F.broadcast(cuts) if few else cuts, F.col(source_col).eqNullSafe(F.col("__source")))
-    counted = joined.withColumn("__size", size).withColumn("__part", F.coalesce(part, F.lit(0)))
+    told = joined.withColumn("__size", size).withColumn("__same", F.coalesce(same, F.lit(False)))
+    plain = told.where("NOT __same").withColumn("__part", F.coalesce(F.when(before, size), F.lit(0)))
+    # rows at a cut share its words one after the other
+    turn = F.row_number().over(Window.partitionBy("__source").orderBy(F.xxhash64(text_col)))
+    left = F.col("__cut.part") - (F.col("__turn") - 1) * F.col("__size")
+    at_cut = told.where("__same").withColumn("__turn", turn).withColumn(
+        "__part", F.greatest(F.least(left, F.col("__size")), F.lit(0))
+    ).drop("__turn")
+    counted = plain.withColumn("__part", F.col("__part").cast("bigint")).unionByName(at_cut.withColumn("__part", F.col("__part").cast("bigint")))
     times = F.col("__rounds") + F.when((F.col("__part") > 0) & (F.col("__part") == F.col("__size")), 1).otherwise(0)
     rest = F.when(F.col("__part") < F.col("__size"), F.col("__part")).otherwise(0)
     # whole repetitions have rest 0; a fraction is one more row

@@ -74,3 +74,13 @@ def test_no_words(spark, rows):
 def test_single_source_takes_the_budget(spark):
     df = docs(spark, [(i, "a b c d", "only") for i in range(10)])
     assert mix(df).agg(F.sum("taken")).first()[0] == 60
+
+
+def test_rows_of_one_id_share_the_cut(spark):
+    """Three rows of one id and size take together what the mix says of them."""
+    for copies, rest in ((3, 0), (3, 4), (5, 2)):
+        rows = [(1, "a b c d e f g h i j", "s")] * copies + [(2 + k, "w " * 7, "s") for k in range(rest)] + [(90, "x y z", "t")]
+        df = docs(spark, rows)
+        taken = mix(df).groupBy("doc_id").agg(F.sum("taken").alias("n")).collect()
+        held = mixed_documents(df).groupBy("doc_id").agg(F.sum(F.size(F.split("text", " +")) - F.when(F.col("text").endswith(" "), 1).otherwise(0)).alias("n")).collect()
+        assert {r["doc_id"]: r["n"] for r in held} == {r["doc_id"]: r["n"] for r in taken if r["n"]}
