@@ -21,7 +21,8 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import released, settled, shared_dir, ship
+from ..session import hadoop_path
+from .common import bitmap, marked, released, settled, shared_dir, ship
 
 #: Payloads of fewer bytes are never stored as revisits.
 REVISIT_BYTES = 1_000
@@ -38,22 +39,26 @@ def plan_records(
 
     Of equal payloads of at least ``least`` bytes the one with the largest id is the response
     and the others revisit it. Null payloads are empty. Digests are compared before payloads
-    move: only the digests that occur twice meet the rows again.
+    move: a bitmap of those that occur twice tells which rows meet them again.
     """
     rows = pages.select(
         F.col(id_col).alias("_id"), F.coalesce(F.col(url_col), F.lit("")).alias("_url"),
         F.encode(F.coalesce(F.col(html_col), F.lit("")), "UTF-8").alias("_payload"),
     )
-    sized = rows.select("_id", F.sha1("_payload").alias("_sha"), F.octet_length("_payload").alias("_n"))
-    again = (
-        sized.where(F.col("_n") >= least)
+    big = F.octet_length("_payload") >= least
+    again = settled(
+        rows.where(big).select("_id", F.sha1("_payload").alias("_sha"))
         .groupBy("_sha")
         .agg(F.max("_id").alias("_response"), F.count(F.lit(1)).alias("_k"))
         .where("_k > 1")
         .drop("_k")
     )
-    big = F.octet_length("_payload") >= least
-    met = rows.withColumn("_sha", F.when(big, F.sha1("_payload"))).join(again, "_sha", "left")
+    # a payload moves only if its digest may have come twice; small ones and all others stay
+    keyed = rows.withColumn("_sha", F.when(big, F.sha1("_payload")))
+    near = marked(keyed, F.col("_sha"), bitmap(again, "_sha"), "_may")
+    hit = near.where(F.col("_may") & F.col("_sha").isNotNull()).join(again, "_sha", "left")
+    alone = near.where(~F.col("_may") | F.col("_sha").isNull()).withColumn("_response", F.lit(None).cast(again.schema["_response"].dataType))
+    met = alone.unionByName(hit)
     revisit = F.col("_response").isNotNull() & ~F.col("_id").eqNullSafe(F.col("_response"))
     return met.select(
         "_id", "_url", F.when(~revisit, F.col("_payload")).alias("_payload"),
@@ -151,7 +156,7 @@ class _Stream:
 
 
 CHUNK_SHAPE = (
-    "page_id bigint, record_type string, refers_to bigint, header_digest string, chunk_no int, "
+    "record string, page_id bigint, record_type string, refers_to bigint, header_digest string, chunk_no int, "
     "offset bigint, bytes int, data binary, digest_so_far string, last boolean"
 )
 
@@ -159,7 +164,7 @@ CHUNK_SHAPE = (
 def _reader(folder: str, chunk: int, with_data: bool) -> Callable:
     def records(path: str, store) -> Iterator[tuple]:
         with store.open_input_stream(path, compression=None) as source:
-            stream = _Stream(source, chunk)
+            stream, place = _Stream(source, chunk), 0
             while (line := stream.line()) is not None:
                 if not line.startswith(b"WARC/"):
                     raise ValueError(f"no record where one should begin in {path}")
@@ -169,7 +174,7 @@ def _reader(folder: str, chunk: int, with_data: bool) -> Callable:
                     head[name] = value
                 left, number, offset, sha = int(head["Content-Length"]), 0, 0, hashlib.sha1()
                 fixed = (
-                    int(head["X-Page-ID"]) if head["X-Page-ID"] else None, head["WARC-Type"],
+                    f"{path.rpartition('/')[2]}#{place}", int(head["X-Page-ID"]) if head["X-Page-ID"] else None, head["WARC-Type"],
                     int(head["X-Refers-To-Page"]) if "X-Refers-To-Page" in head else None,
                     base64.b32decode(head["WARC-Payload-Digest"][5:]).hex(),
                 )
@@ -177,11 +182,11 @@ def _reader(folder: str, chunk: int, with_data: bool) -> Callable:
                     data = stream.take(min(left, chunk)) if left else b""
                     sha.update(data)
                     left -= len(data)
-                    if with_data or not left:
-                        yield (*fixed, number, offset, len(data), data if with_data else None, sha.hexdigest(), not left)
+                    yield (*fixed, number, offset, len(data), data if with_data else None, sha.hexdigest(), not left)
                     number, offset = number + 1, offset + len(data)
                     if not left:
                         break
+                place += 1
                 if stream.line() != b"" or stream.line() != b"":
                     raise ValueError(f"a record of {path} does not end as its length says")
 
@@ -194,7 +199,7 @@ def _reader(folder: str, chunk: int, with_data: bool) -> Callable:
                 rows, held = [], 0
                 for row in records(path, store):
                     rows.append(row)
-                    held += len(row[7] or b"") + 200
+                    held += len(row[8] or b"") + 200
                     if held >= 16 * chunk:
                         yield framed(rows)
                         rows, held = [], 0
@@ -212,30 +217,48 @@ def _reader(folder: str, chunk: int, with_data: bool) -> Callable:
 def read_chunks(manifest: DataFrame, folder: str, chunk: int = CHUNK, with_data: bool = True) -> DataFrame:
     """The record table: a row per record and chunk, numbered from 0.
 
-    ``digest_so_far`` is the SHA-1 of the payload up to and including the chunk, so the
+    ``record`` names a record by its archive and place, as page ids may repeat. ``digest_so_far`` is the SHA-1 of the payload up to and including the chunk, so the
     ``last`` row holds that of all. Empty payloads and revisits have one row without bytes.
-    ``with_data=False`` leaves the bytes out and gives the last row alone.
+    ``with_data=False`` leaves the bytes themselves out.
     """
     n = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return manifest.repartition(n, "archive").mapInPandas(_reader(folder, chunk, with_data), CHUNK_SHAPE)
 
 
+def qualified(spark, folder: str) -> str:
+    """The folder with the scheme that Spark would read it by: that of its default file system."""
+    where, files = hadoop_path(spark, folder)
+    uri = where.makeQualified(files.getUri(), files.getWorkingDirectory()).toString()
+    return uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file:///") else uri
+
+
 def round_trip(
     pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
     folder: str | None = None, least: int = REVISIT_BYTES, chunk: int = CHUNK,
 ) -> DataFrame:
     """Writes all pages, reads the archives back, and describes each record as read.
 
+    Archives go to ``folder`` and stay there; without one they are removed once they have been read.
     Returns id, ``payload_bytes``, ``payload_digest``, ``record_type``, ``refers_to``. A digest read
     that differs from its header raises. Null html is an empty payload; an empty payload is a
     response. Rows that repeat an id get a record each, and one that shares the largest id of its
     group is a response too. A null id only refers or is referred to as null. No pages, no rows.
     """
     ship(pages.sparkSession)
-    folder = folder or shared_dir(pages.sparkSession)
-    uri = folder if ":/" in folder else f"file://{folder}"
+    kept = folder is not None
+    uri = qualified(pages.sparkSession, folder or shared_dir(pages.sparkSession))
     manifest = write_archives(plan_records(pages, id_col, url_col, html_col, least), uri, chunk)
-    last = settled(read_chunks(manifest, uri, chunk, with_data=False).withColumn("_n", F.expr("offset + bytes")))
+    chunks = read_chunks(manifest, uri, chunk, with_data=False)
+    # the record table folded back: all chunks' bytes, and the digest after the last of them
+    last = settled(
+        chunks.groupBy("record").agg(
+            *[F.any_value(c).alias(c) for c in ("page_id", "record_type", "refers_to", "header_digest")],
+            F.sum(F.col("bytes").cast("bigint")).alias("_n"), F.max_by("digest_so_far", "chunk_no").alias("digest_so_far"),
+        )
+    )
+    if not kept:
+        where, files = hadoop_path(pages.sparkSession, uri)
+        files.delete(where, True)
     responses = last.where("record_type = 'response'")
     wrong = F.raise_error(F.concat(F.lit("digest of page "), F.col("page_id").cast("string"), F.lit(" differs")))
     whole = responses.select(

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorfold.llm.common import shared_dir, ship
-from sensorfold.llm.op6_warc import plan_records, read_chunks, round_trip, write_archives
+from sensorfold.llm import op6_warc as op
+from sensorfold.llm.op6_warc import plan_records, qualified, read_chunks, round_trip, write_archives
 
 SHAPE = "page_id bigint, url string, html string"
 
@@ -79,3 +80,36 @@ def test_a_damaged_archive_is_refused(spark):
         f.write(data[:-6])
     with pytest.raises(Exception, match="archive ends|does not end"):
         read_chunks(manifest, folder).collect()
+
+
+def test_a_folder_without_a_scheme_is_the_cluster_s(spark, tmp_path):
+    rows = ROWS[:4]
+    got = round_trip(spark.createDataFrame(rows, SHAPE), folder=f"{tmp_path}/archives")
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(rows)
+    assert [f for f in os.listdir(tmp_path / "archives") if f.endswith(".warc.gz")]
+    default = spark._jsc.hadoopConfiguration()
+    before = default.get("fs.defaultFS")
+    default.set("fs.defaultFS", "viewfs://store/")
+    default.set("fs.viewfs.mounttable.store.link./in", f"file://{tmp_path}")
+    try:
+        assert qualified(spark, "/in/archives") == "viewfs://store/in/archives"
+    finally:
+        default.set("fs.defaultFS", before or "file:///")
+    assert qualified(spark, f"file://{tmp_path}") == qualified(spark, str(tmp_path)) == f"file://{tmp_path}"
+
+
+def test_the_query_reads_chunk_rows_and_clears_up(spark, monkeypatch):
+    seen = []
+    real = op.read_chunks
+    monkeypatch.setattr(op, "read_chunks", lambda *a, **b: seen.append((a[1], out := real(*a, **b))) or out)
+    got = round_trip(spark.createDataFrame(ROWS, SHAPE), chunk=4_096)
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(ROWS)
+    ((folder, _),) = seen
+    assert not os.path.exists(folder.removeprefix("file://"))
+
+
+def test_only_payloads_that_came_twice_move(spark):
+    plan = plan_records(spark.createDataFrame(ROWS, SHAPE))
+    assert sorted((r["_id"], r["_type"]) for r in plan.collect() if r["_type"] == "revisit") == [(1, "revisit"), (2, "revisit"), (7, "revisit")]
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in text and text.count("LeftOuter") >= 2
