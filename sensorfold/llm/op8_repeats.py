@@ -484,7 +484,8 @@ def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One row per row of ``docs``: id, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``.
+    """One row per row of ``docs``: id, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``, and
+    ``changed``, whether anything was removed.
 
     Removes each byte covered by a string of ``least`` bytes that also starts anywhere else, in
     this text or another; matches never cross texts. Null text is empty; texts shorter than
@@ -508,7 +509,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     same = hit["_id"].eqNullSafe(per_text["_id"]) & (hit["_th"] == per_text["_th"])
     joined = hit.join(per_text, same, "left").select(hit["_id"], "_text", "_starts", "_lengths")
     return clear.unionByName(joined).mapInPandas(_cut, shape).select(
-        F.col("_id").cast(kind).alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256"
+        F.col("_id").cast(kind).alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256",
+        (F.col("n_removed") > 0).alias("changed"),
     )
 
 
@@ -539,5 +541,6 @@ g AS (
   FROM p JOIN b USING (doc_id) GROUP BY doc_id)
 SELECT b.doc_id, b.n AS n_bytes, CAST(coalesce(g.removed, 0) AS BIGINT) AS n_removed,
        coalesce(g.spans, 0) AS n_spans,
-       sha256(unhex(coalesce(g.head || substr(b.h, 2 * g.last + 1), b.h))) AS kept_sha256
+       sha256(unhex(coalesce(g.head || substr(b.h, 2 * g.last + 1), b.h))) AS kept_sha256,
+       g.removed IS NOT NULL AS changed
 FROM b LEFT JOIN g USING (doc_id)"""
