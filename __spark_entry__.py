@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import os
 import sys
+import warnings
 from collections.abc import Callable
-from importlib.util import find_spec
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,18 +66,21 @@ from sensorfold.streaming import (  # noqa: E402
     with_heartbeats,
 )
 
-def _present(module: str) -> bool:
+def _training_data():
+    """The queries of the optional training-data part; None where it is left out, or where a
+    package that it needs is not installed. Any other fault inside it shows."""
+    part = ("sensorfold.llm", "sensorfold.llm.registry", "corpus_pipeline")
     try:
-        return find_spec(module) is not None
-    except ModuleNotFoundError:
-        return False
+        return import_module("sensorfold.llm.registry")
+    except ModuleNotFoundError as missing:
+        if missing.name not in part:
+            if str(missing.name).startswith("sensorfold"):
+                raise
+            warnings.warn(f"training-data queries are left out: {missing}", stacklevel=2)
+        return None
 
 
-# The training-data part is optional; where it is there, a fault inside it shows.
-if _present("sensorfold.llm.registry") and _present("corpus_pipeline"):
-    from sensorfold.llm import registry as _llm
-else:
-    _llm = None
+_llm = _training_data()
 
 HOUR = "1 hour"
 NOW = {"availableNow": True}
