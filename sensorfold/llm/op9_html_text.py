@@ -8,7 +8,12 @@ enough pages share are the host's wrapper; its content node is the one of most v
 article or main where that holds a fair part of it. The text of a page is what stands under the
 content node, without boilerplate elements and without template blocks.
 
-A page's own tree folds into a wrapper by simple tree matching (:func:`folded`, :func:`merged`).
+Trees of a host are thus aligned by the paths they share, counted over all its pages, and not by
+matching them two by two: counts add up across tasks in any order and need no bound, where merged
+trees keep every sibling that any page ever had, or a capped choice of them.
+
+Words of class, id and role are hints. They mark a candidate, which stays where it holds an
+article, a main or most of the page's text, and wherever it is a part of a sentence.
 """
 
 from __future__ import annotations
@@ -17,7 +22,6 @@ import hashlib
 import html
 import json
 import re
-import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 
@@ -54,9 +58,15 @@ ENDS = {
     "option": ({"option"}, {"select"}), "tbody": ({"tbody", "thead", "tr"}, {"table"}),
 }
 DROPPED = set(
-    "head script style noscript template nav footer aside form button select option input textarea iframe "
-    "object embed applet canvas svg math audio video map menu dialog noembed noframes xmp title".split()
+    "head script style noscript template nav footer aside button select option input textarea iframe "
+    "object embed applet canvas svg audio video map menu dialog noembed noframes xmp title".split()
 )
+#: Elements of running text: a listed word must be one of their classes or their id as a whole.
+TEXTUAL = set("p h1 h2 h3 h4 h5 h6 li dt dd td th tr blockquote pre figcaption caption summary address".split())
+#: What marks never take away.
+KEPT = set("# html body article main".split())
+#: Share of a page's text from which a candidate is the page, and no boilerplate.
+MOST_TEXT = 0.5
 #: Words of class, id and role that mark boilerplate.
 MARKS = set(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner "
@@ -79,21 +89,51 @@ SPACES = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "key", "kids", "drop")
+    __slots__ = ("tag", "key", "kids", "drop", "doubt")
 
     def __init__(self, tag: str, attrs: str = ""):
-        self.tag, self.key, self.kids, self.drop = tag, "", [], tag in DROPPED
+        self.tag, self.key, self.kids, self.drop, self.doubt = tag, "", [], tag in DROPPED, tag == "form"
         if attrs.strip():
             names = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in NAMED.finditer(attrs)}
             self.key = " ".join(sorted(names.get("class", "").split()))[:80] or names.get("id", "")[:80]
-            words = SPLIT.split(CAMEL.sub(" ", " ".join(names.values())).lower())
-            self.drop = self.drop or not MARKS.isdisjoint(words) or bool(HIDDEN.search(attrs))
+            self.drop = self.drop or bool(HIDDEN.search(attrs))
             if "main" in names.get("role", "").split() and self.tag != "article":
                 self.tag = "main"
+            self.doubt = self.doubt or self._marked(" ".join(names.values()))
+
+    def _marked(self, named: str) -> bool:
+        if self.tag in KEPT or self.tag not in BLOCK:
+            return False
+        if self.tag in TEXTUAL:
+            return not MARKS.isdisjoint(named.lower().split())
+        return not MARKS.isdisjoint(SPLIT.split(CAMEL.sub(" ", named).lower()))
+
+
+def decide(root: Node) -> Node:
+    """Candidates go, unless they hold an article, a main or most of the page's text.
 
-    def text(self) -> str:
-        """The node's own text, without its elements'."""
-        return SPACES.sub(" ", "".join(k for k in self.kids if isinstance(k, str))).strip()
+    From the leaves up, over a list of nodes, as trees are deep. Text counts by its characters
+    without white space; that of elements which always go counts for nothing.
+    """
+    order, above = [root], {}
+    for node in order:
+        for kid in node.kids:
+            if isinstance(kid, Node) and not kid.drop:
+                above[id(kid)] = node
+                order.append(kid)
+    size, holds = {}, {}
+    for node in reversed(order):
+        own = sum(len("".join(k.split())) for k in node.kids if isinstance(k, str))
+        size[id(node)] = size.get(id(node), 0) + own
+        holds[id(node)] = holds.get(id(node), False) or node.tag in CONTENT_TAGS
+        if id(node) in above:
+            top = id(above[id(node)])
+            size[top] = size.get(top, 0) + size[id(node)]
+            holds[top] = holds.get(top, False) or holds[id(node)]
+    for node in order:
+        if node.doubt and not holds[id(node)] and size[id(node)] <= MOST_TEXT * size[id(root)]:
+            node.drop = True
+    return root
 
 
 def parse(page: str) -> Node:
@@ -137,84 +177,12 @@ def parse(page: str) -> Node:
             at = end.end() if end else n
         elif tag not in VOID and not m[3].endswith("/") and len(stack) < 200:
             stack.append(node)
-    return root
+    return decide(root)
 
 
 # --- wrappers: [tag, key, pages, text hash or None, length of changing text, children] ------
 
 
-def folded(node: Node) -> list:
-    """The tree of a page as a wrapper of one page."""
-    own = node.text()
-    out = [node.tag, node.key, 1, zlib.crc32(own.encode("utf-8", "replace")), 0 if node.drop else len(own), []]
-    if not node.drop:
-        for kid in node.kids:
-            if isinstance(kid, Node):
-                _put(out[5], folded(kid))
-    return out
-
-
-def _put(run: list, kid: list) -> None:
-    """Adds a child; a run of equal siblings is one repeated node."""
-    if run and run[-1][:2] == kid[:2]:
-        pages = run[-1][2]
-        run[-1] = merged(run[-1], kid)
-        run[-1][2] = pages
-    else:
-        run.append(kid)
-
-
-def matches(a: list, b: list, seen: dict) -> int:
-    """Simple tree matching: pairs in the largest order-keeping match of two trees."""
-    if a[:2] != b[:2]:
-        return 0
-    known = seen.get((id(a), id(b)))
-    if known is None:
-        known = seen[(id(a), id(b))] = 1 + _table(a[5], b[5], seen)[-1][-1]
-    return known
-
-
-def _table(x: list, y: list, seen: dict) -> list[list[int]]:
-    table = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-    for i, a in enumerate(x, 1):
-        row, before = table[i], table[i - 1]
-        for j, b in enumerate(y, 1):
-            row[j] = max(before[j], row[j - 1], before[j - 1] + matches(a, b, seen))
-    return table
-
-
-def aligned(x: list, y: list, seen: dict) -> list[tuple[int | None, int | None]]:
-    """Children of two matched nodes in one order, as index pairs; None where one lacks it."""
-    if [a[:2] for a in x] == [b[:2] for b in y]:
-        return [(k, k) for k in range(len(x))]
-    table, i, j, out = _table(x, y, seen), len(x), len(y), []
-    while i and j:
-        score = matches(x[i - 1], y[j - 1], seen)
-        if score and table[i][j] == table[i - 1][j - 1] + score:
-            i, j = i - 1, j - 1
-            out.append((i, j))
-        elif table[i][j] == table[i - 1][j]:
-            i -= 1
-            out.append((i, None))
-        else:
-            j -= 1
-            out.append((None, j))
-    out += [(k, None) for k in range(i - 1, -1, -1)] + [(None, k) for k in range(j - 1, -1, -1)]
-    return out[::-1]
-
-
-def merged(a: list, b: list) -> list:
-    """One wrapper of two whose roots match."""
-    same = a[3] if a[3] is not None and a[3] == b[3] else None
-    out = [a[0], a[1], a[2] + b[2], same, a[4] + b[4], []]
-    for i, j in aligned(a[5], b[5], {}):
-        if i is not None and j is not None:
-            out[5].append(merged(a[5][i], b[5][j]))
-        else:
-            out[5].append(a[5][i] if j is None else b[5][j])
-    return out
-
-
 def content_node(wrapper: list) -> list:
     """The deepest node with most of the varying text, or an article or main with a fair part of it."""
     masses: dict[int, int] = {}

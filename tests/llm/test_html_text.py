@@ -1,6 +1,6 @@
-from sensorfold.llm.op9_html_text import (
-    LEAST_PAGES, aligned, extract, folded, main_text, matches, merged, parse,
-)
+import random
+
+from sensorfold.llm.op9_html_text import LEAST_PAGES, main_text
 
 SHAPE = "page_id bigint, url string, html string"
 PAGE = (
@@ -54,15 +54,49 @@ def test_nulls_empties_deep_long_and_broken_pages(spark, crowded):
     assert main_text(spark.createDataFrame([], SHAPE)).count() == 0
 
 
-def test_tree_matching():
-    a, b = (folded(parse(f"<div><h1>x</h1>{p}<i>z</i></div>")) for p in ("<p>1</p><p>2</p>", "<ul><li>q</ul><p>1</p>"))
-    assert matches(a, b, {}) == 5  # root, div, h1, p and i
-    assert aligned(a[5][0][5], b[5][0][5], {}) == [(0, 0), (None, 1), (1, 2), (2, 3)]
-    both = merged(a, b)
-    assert both[2] == 2 and [k[0] for k in both[5][0][5]] == ["h1", "ul", "p", "i"]
-    assert [k[2] for k in both[5][0][5]] == [2, 1, 2, 2]
-    page = parse("<article><p>t</p></article>")
-    assert extract(page, folded(page)) == "t"
+LOST = [
+    ('<body class="has-sidebar"><article><p>All of it</p></article></body>', "All of it"),
+    ('<article class="post comments-open"><h1>Title</h1><p>All of it</p></article>', "Title\n\nAll of it"),
+    ("<body><form><div><article><p>In a form</p><button>Send</button></article></div></form></body>", "In a form"),
+    ("<body><form><p>Most of the page stands here</p><input></form><p>rest</p></body>", "Most of the page stands here"),
+    ('<article><p>See <a class="related">this page</a> for more</p></article>', "See this page for more"),
+    ('<article><h2 class="banner-title">Flags</h2><p class="notice-period">Two weeks</p></article>', "Flags\n\nTwo weeks"),
+    ("<article><p>As <math><mi>x</mi><mo>=</mo><mn>1</mn></math> shows</p></article>", "As x=1 shows"),
+    ('<article><p>Text <span class="social">media</span></p><div class="social-share">Share it</div></article>', "Text media"),
+    ('<article><p>Body of the text</p><p class="notice">We use cookies</p><div class="comments"><p>me too</p></div></article>', "Body of the text"),
+    ('<article><p>Body of the text</p><form><p>Your mail</p><input></form></article>', "Body of the text"),
+    ('<main><div class="widget-area"><article><p>Kept</p></article><div class="ad">buy</div></div></main>', "Kept"),
+]
+
+
+def test_words_are_hints_only(spark):
+    got = texts(spark, [(k, f"http://h{k}/", html) for k, (html, _) in enumerate(LOST)])
+    assert {k: text for k, (_, text, _) in got.items()} == {k: text for k, (_, text) in enumerate(LOST)}
+
+
+def brute_text(main, template):
+    """What a page built from known blocks should give."""
+    return "\n\n".join(t for t in main if t not in template)
+
+
+def test_planted_pages_against_known_text(spark):
+    """Pages built from known parts: what is no boilerplate and no template, in page order."""
+    rng = random.Random(4)
+    words = lambda n: " ".join(rng.choice("alpha beta gamma delta été größe ñu".split()) for _ in range(n))
+    rows, want = [], {}
+    for host in range(6):
+        fixed = [f"Read more of host {host}", f"All rights of host {host}"]
+        wrap, inner = rng.choice([("article", ""), ("main", ""), ("div", ' class="story"')]), rng.randint(0, 3)
+        for k in range(3 * LEAST_PAGES):
+            main = [f"{words(rng.randint(20, 60))} {host} {k} {j}" for j in range(rng.randint(2, 5))]
+            mixed = [*main[:1], fixed[0], *main[1:], fixed[1]]
+            body = "".join(f"<p class=c{rng.randint(0, 1)}>{t}</p>" for t in mixed)
+            noise = f'<nav>{words(4)}</nav><div class="sidebar-{host}">{words(5)}</div><script>{words(3)}</script>'
+            rows.append((100 * host + k, f"http://host{host}/{k}", f"<html><body>{noise}" + "<div>" * inner + f"<{wrap[0]}{wrap[1]}>{body}</{wrap[0]}>"
+                         + "</div>" * inner + f"<footer>{words(4)}</footer></body></html>"))
+            want[100 * host + k] = brute_text(mixed, fixed)
+    for order in (rows, rows[::-1]):
+        assert {k: text for k, (_, text, _) in texts(spark, order).items()} == want
 
 
 def test_template_and_teasers_of_pages_with_an_article(spark):
