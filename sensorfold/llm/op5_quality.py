@@ -4,8 +4,9 @@ A logistic model on the shape of the text (cases, marks, digits, repetition) giv
 document's evidence. Labels of all labelled documents are summed by path and by host; the
 strength of the prior that pulls a host to the global rate, and a path to its host, comes from
 the spread of the rates themselves, so sparse sites are shrunk most. A document's log odds are its
-evidence, as far as its length allows, plus its path's posterior. The given documents have no URL:
-by default their source stands in for the host and their language for the path.
+evidence, as far as its length allows, plus its path's posterior. Where a table has URLs, host
+and path are taken from them (``url_col``). The given documents have none: their source stands in
+for the host and their language for the path.
 """
 
 from __future__ import annotations
@@ -125,6 +126,20 @@ def _strength(sites: DataFrame, good: str, n: str, prior: Column) -> float:
     return float(min(1e6, max(1.0, 1 / between - 1))) if between > 0 else 1e6
 
 
+def url_site(url: Column, depth: int = 1) -> tuple[Column, Column]:
+    """Host and path level of a URL: its first ``depth`` folders, without the page's own name.
+
+    A null or malformed URL has the empty host and path.
+    """
+    text = F.coalesce(url.cast("string"), F.lit(""))
+    site = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)(?::[0-9]*)?([^?#]*)"
+    folders = F.slice(F.split(F.regexp_extract(text, site, 2), "/"), F.lit(2), F.lit(max(0, depth)))
+    # what follows the last slash is the page
+    deep = F.greatest(F.size(F.split(F.regexp_extract(text, site, 2), "/")) - 2, F.lit(0))
+    kept = F.slice(folders, F.lit(1), F.least(deep, F.lit(max(0, depth))))
+    return F.lower(F.regexp_extract(text, site, 1)), F.array_join(kept, "/")
+
+
 def site_posteriors(counts: DataFrame) -> tuple[DataFrame, float]:
     """``_host, _path, _site`` (posterior rate of the path) from ``_host, _path, _good, _n``, and the global rate."""
     total = counts.agg(F.sum("_good").alias("g"), F.sum("_n").alias("n")).first()
@@ -174,15 +189,19 @@ def classify(
     train_rows: int = TRAIN_ROWS,
     soft: float = SOFT,
     threshold: float = THRESHOLD,
+    url_col: str | None = None,
+    path_depth: int = 1,
 ) -> DataFrame:
     """One row per row of ``docs``: id, ``evidence``, ``site_rate``, ``p_quality``, ``kept``.
 
     Labels of null quality or id are ignored; several labels of a document vote, ties count as
     good. Without labels of both classes evidence is 0 and only rates speak; without any labels
     every document has probability 0.5 and is kept. Null hosts and paths are sites of their
-    own. Empty and null texts have no evidence, so their site alone decides. Rows that repeat an id each get a row.
+    own. With a ``url_col`` the URL's host and first ``path_depth`` folders are host and path, and
+    the columns named for them are not read.
+    Empty and null texts have no evidence, so their site alone decides. Rows that repeat an id each get a row.
     """
-    host, path = F.col(host_col), F.col(path_col)
+    host, path = url_site(F.col(url_col), path_depth) if url_col else (F.col(host_col), F.col(path_col))
     told, model, sites, rate = _scored(docs, labels, id_col, text_col, host, path, quality_col, train_rows, soft)
     sites = sites.withColumnsRenamed({"_host": "_sh", "_path": "_sp"})
     at_site = F.col("_host").eqNullSafe(F.col("_sh")) & F.col("_path").eqNullSafe(F.col("_sp"))

@@ -1,6 +1,9 @@
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
-from sensorfold.llm.op5_quality import classify, keep_good
+from sensorfold.llm.op5_quality import classify, keep_good, site_posteriors, url_site
 
 DATA = "/root/testdata/sf0.1"
 
@@ -44,3 +47,63 @@ def test_nulls_empties_and_missing_labels(spark, crowded):
     assert keep_good(df, labels_of(spark, [])).count() == len(rows)
     none = frame(spark, [])
     assert classify(none, labels_of(spark, [(1, 1, 0)])).count() == 0
+
+
+URLS = [
+    ("https://Host.Example:8080/news/2024/a.html?x=/y#z", ("host.example", "news", "news/2024")),
+    ("http://u:p@h.org/news/", ("h.org", "news", "news")), ("http://h.org/page", ("h.org", "", "")),
+    ("http://h.org", ("h.org", "", "")), ("http://h.org/", ("h.org", "", "")), ("h.org/news/a", ("", "", "")), ("", ("", "", "")), (None, ("", "", "")),
+    ("ftp://h.org//a/b", ("h.org", "", "/a")),
+]
+
+
+def test_host_and_path_of_urls(spark):
+    df = spark.createDataFrame([(u,) for u, _ in URLS], "url string")
+    (host, one), (_, two) = url_site(F.col("url"), 1), url_site(F.col("url"), 2)
+    assert [tuple(r) for r in df.select(host, one, two).collect()] == [w for _, w in URLS]
+
+
+def brute_posteriors(counts):
+    """The same sums in plain Python: moments first, then shrinking path to host to all."""
+
+    def strength(sites):
+        seen = sum(n * (g / n - p) ** 2 for g, n, p in sites if n > 0)
+        chance = sum(p * (1 - p) for g, n, p in sites if n > 0)
+        room = sum((n - 1) * p * (1 - p) for g, n, p in sites if n > 0)
+        between = (seen - chance) / room if room > 0 else 0.0
+        return min(1e6, max(1.0, 1 / between - 1)) if between > 0 else 1e6
+
+    rate = (sum(g for *_, g, _ in counts) + 1) / (sum(n for *_, n in counts) + 2)
+    hosts = {}
+    for host, _, g, n in counts:
+        hg, hn = hosts.get(host, (0, 0))
+        hosts[host] = (hg + g, hn + n)
+    m = strength([(g, n, rate) for g, n in hosts.values()])
+    prior = {h: (g + m * rate) / (n + m) for h, (g, n) in hosts.items()}
+    k = strength([(g, n, prior[h]) for h, _, g, n in counts])
+    return {(h, p): (g + k * prior[h]) / (n + k) for h, p, g, n in counts}, rate
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_posteriors_against_brute_force(spark, seed):
+    rng = random.Random(seed)
+    counts = []
+    for h in [None, *(f"h{i}" for i in range(12))]:
+        bad = rng.choice([0.1, 0.5, 0.9])
+        for p in [None, *(f"p{i}" for i in range(rng.randint(0, 5)))]:
+            n = rng.choice([0.0, 1.0, 3.0, 50.0, 400.0])
+            counts.append((h, p, round(n * min(1, max(0, rng.gauss(bad, 0.1))), 3), n))
+    got, rate = site_posteriors(spark.createDataFrame(counts, "_host string, _path string, _good double, _n double"))
+    want, want_rate = brute_posteriors(counts)
+    assert rate == pytest.approx(want_rate)
+    assert {(r["_host"], r["_path"]): r["_site"] for r in got.collect()} == {k: pytest.approx(v) for k, v in want.items()}
+
+
+def test_sites_of_urls(spark):
+    rows = [(i, "some words of a text", f"http://good.org/a/{i}") for i in range(60)]
+    rows += [(100 + i, "some words of a text", f"http://good.org/spam/{i}") for i in range(60)]
+    rows += [(200 + i, "some words of a text", f"http://new.org/x/{i}") for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, url string")
+    marks = labels_of(spark, [(i, 1, 0) for i in range(50)] + [(100 + i, 0, 0) for i in range(50)])
+    rate = {r["doc_id"]: r["site_rate"] for r in classify(df, marks, url_col="url").collect()}
+    assert rate[55] > 0.9 and rate[155] < 0.1 and 0.3 < rate[200] < 0.7
