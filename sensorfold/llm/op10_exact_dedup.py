@@ -7,7 +7,7 @@ wrong group; the last step groups by length, prefix hash and SHA-256 of the whol
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import BITMAP_BITS, SPACE, bitmap, marked, settled, unkept, without
@@ -72,11 +72,20 @@ def exact_groups(
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose text a row of smaller id has, with all their columns.
+    """One row of each group of equal texts, of the smallest id, with all columns of ``docs``.
 
-    Rows that share an id stay or go together: they stay if one of them does.
+    Of rows that share both id and text, the first by a digest of all columns stays; rows that
+    share an id with different texts stay or go together: they stay if one of them does.
     """
-    return without(docs, unkept(exact_groups(docs, id_col, text_col), id_col), id_col)
+    left = without(docs, unkept(exact_groups(docs, id_col, text_col), id_col), id_col)
+    again = settled(docs.groupBy(F.col(id_col).alias("_twice")).agg(F.count(F.lit(1)).alias("_k")).where("_k > 1"))
+    # only rows whose id may occur twice are looked at, and moved
+    near = marked(left, F.col(id_col), bitmap(again, "_twice"), "_may")
+    text = F.xxhash64(normalised(F.col(text_col))), F.sha1(F.encode(normalised(F.col(text_col)), "UTF-8"))
+    whole = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in docs.columns])
+    turn = F.row_number().over(Window.partitionBy(F.col(id_col), *text).orderBy(whole))
+    hit = near.where("_may").withColumn("_turn", turn).where("_turn = 1")
+    return near.where("NOT _may").select(*docs.columns).unionByName(hit.select(*docs.columns))
 
 
 def op10_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -47,3 +47,11 @@ def test_dedup_keeps_columns(spark, crowded):
     out = dedup(df)
     assert out.columns == df.columns
     assert sorted(r["doc_id"] for r in out.collect()) == sorted(i for i, k, *_ in brute(ROWS) if i == k)
+
+
+def test_rows_that_repeat_an_id_and_a_text_become_one(spark, crowded):
+    rows = [(1, "a b")] * 5 + [(1, "a  b"), (2, "a b"), (3, "own"), (3, "other"), (None, None), (None, ""), (7, "x")]
+    df = crowded(frame(spark, rows))
+    got = sorted(((r["doc_id"], r["text"]) for r in dedup(df).collect()), key=repr)
+    assert len(got) == 5
+    assert {(i, " ".join((t or "").split())) for i, t in got} == {(1, "a b"), (3, "own"), (3, "other"), (7, "x"), (None, "")}
