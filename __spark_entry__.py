@@ -16,6 +16,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -578,6 +579,25 @@ def q_compacted_table(spark, sf_dir):
     return _kept(spark, _plain_raw(stored_rows(spark, table)), folder, table)
 
 
+def q_refused_schemas(spark, sf_dir):
+    """A table that refuses other schemas, and unset ones that are skipped, between two appends."""
+    folder, (table,) = _work_tables(spark, raw=RAW_SCHEMA)
+    rows = raw_rows(_readings(spark, sf_dir))
+    append_rows(rows.where("received % 2 = 0"), table)
+    refused, skipped = 0, 0
+    for fields in (RAW_SCHEMA.fields[:-1], RAW_SCHEMA.fields[::-1], AGG_SCHEMA.fields):
+        try:
+            ensure_table(spark, table, StructType(fields))
+        except RuntimeError:
+            refused += 1
+    for name, schema in ((None, RAW_SCHEMA), (f"{table}_unset", None)):
+        skipped += not ensure_table(spark, name, schema) and not spark.catalog.tableExists(f"{table}_unset")
+    append_rows(rows.where("received % 2 <> 0"), table)
+    counts = stored_rows(spark, table).groupBy("measure").agg(F.count(F.lit(1)).alias("stored"))
+    told = counts.select("measure", "stored", F.lit(refused).alias("refused"), F.lit(skipped).alias("skipped"))
+    return _kept(spark, told, folder, table)
+
+
 def q_stream_quarantine(spark, sf_dir):
     """A stream of the twenty kinds into two tables: readings, and the rest with its reasons."""
     messages = _spelled(_streamed_events(spark, sf_dir), [body for body, _ in PAYLOAD_KINDS])
@@ -638,6 +658,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lenient_readings": q_lenient_readings,
         "spelled_names": q_spelled_names,
         "reject_reasons": q_reject_reasons,
+        "refused_schemas": q_refused_schemas,
         "stream_quarantine": q_stream_quarantine,
         "stream_redelivered": q_stream_redelivered,
         "compacted_table": q_compacted_table,
@@ -808,6 +829,7 @@ SELECT measure, ts, cnt AS raw_rows, cnt AS agg_cnt FROM agg""",
         "append_two_writers": raw_rows_sql,
         "stream_redelivered": raw_rows_sql,
         "compacted_table": raw_rows_sql,
+        "refused_schemas": f"WITH {_READINGS} SELECT measure, count(*) AS stored, 3 AS refused, 2 AS skipped FROM readings GROUP BY measure",
         "append_two_agg_writers": f"""WITH {_READINGS.replace("FROM events", "FROM events WHERE event_id % 2 = 1")},
 a AS ({_agg("1 hour")}),
 b AS (WITH {_READINGS.replace("FROM events", "FROM events WHERE event_id % 2 = 0")},
