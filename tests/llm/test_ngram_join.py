@@ -1,6 +1,9 @@
 import random
 import re
+import tracemalloc
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from sensorfold.llm import op7_ngram_join as op
@@ -100,3 +103,20 @@ def test_near_copies_of_null_ids(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert brute(rows, 4, 90) == sorted(map(tuple, similar_documents(df, percent=90).collect()), key=repr)
     assert sorted(c for i, _, c in brute(rows, 4, 90) if i is not None) == [8, 8]
+
+
+def test_a_tile_of_two_full_blocks_stays_small():
+    """Two blocks of near copies, as in a very large group: all hang together, in bounded memory."""
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**63, 1_000, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[k % 20 :], rng.integers(0, 2**63, 20, dtype=np.uint64)])) for k in range(2 * op.BLOCK)]
+    tile = pd.DataFrame({
+        "run": 1, "node": np.arange(len(sets)), "n": [len(s) for s in sets], "tokens": [s.tobytes() for s in sets],
+        "i": 0, "j": 1, "side": np.arange(len(sets)) % 2,
+    })
+    tracemalloc.start()
+    found = op._tile_links(80)(tile)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
+    assert set(found["a"]) == set(range(1, len(sets))) and set(found["b"]) == {0}
