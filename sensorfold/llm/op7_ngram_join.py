@@ -32,7 +32,7 @@ FREQUENT = 1 << 17
 LEAST_DF = 8
 #: Runs of up to so many classes give pairs; larger ones are compared in tiles of two blocks of
 #: about so many classes and tokens at most, so many different tokens and classes at once.
-FEW, BLOCK, BLOCK_TOKENS, STRIPE, ROWS = 64, 512, 1 << 19, 2_048, 128
+FEW, BLOCK, BLOCK_TOKENS, STRIPE, ROWS = 64, 1_024, 1 << 19, 2_048, 128
 #: Leading bits of a token by which its frequency is counted. Tokens that share them count as one,
 #: which moves them in the order and changes no result.
 COUNTED_BITS = np.uint64(40)

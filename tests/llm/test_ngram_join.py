@@ -108,7 +108,7 @@ def test_near_copies_of_null_ids(spark):
 def test_a_tile_of_two_full_blocks_stays_small():
     """Two blocks of near copies, as in a very large group: all hang together, in bounded memory."""
     rng = np.random.default_rng(5)
-    base = rng.integers(0, 2**63, 1_000, dtype=np.uint64)
+    base = rng.integers(0, 2**63, op.BLOCK_TOKENS // op.BLOCK - 20, dtype=np.uint64)
     sets = [np.unique(np.concatenate([base[k % 20 :], rng.integers(0, 2**63, 20, dtype=np.uint64)])) for k in range(2 * op.BLOCK)]
     tile = pd.DataFrame({
         "run": 1, "node": np.arange(len(sets)), "n": [len(s) for s in sets], "tokens": [s.tobytes() for s in sets],
