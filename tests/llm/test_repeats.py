@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from sensorfold.llm.op8_repeats import common_prefix, interval_tree, remove_repeats, repeated_spans
+from sensorfold.llm.op8_repeats import common_prefix, interval_tree, op8_repeats, remove_repeats, repeated_spans
 
 SHAPE = "doc_id bigint, text string"
 
@@ -110,3 +110,16 @@ def test_groups_of_copied_texts_and_of_many_classes(spark):
     assert found[0] == found[1]
     assert any({i for i, *_ in m} == {0, 1, 2, 3} for m in found[0])
     assert any(n > 40 for m in found[1] for *_, n in m)
+
+
+def test_the_operator_has_its_own_columns_and_the_query_one_more(spark, tmp_path):
+    passage = " ".join(f"wörd{k:03d}" for k in range(60))  # 539 bytes, of which 60 words repeat
+    short = " ".join(f"w{k:03d}" for k in range(60))  # as many words, but 299 bytes
+    rows = [(1, "a " + passage), (2, "b " + passage), (3, "c " + short), (4, "d " + short)]
+    docs = spark.createDataFrame(rows, SHAPE)
+    assert remove_repeats(docs).columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["changed"]) for r in op8_repeats(spark, str(tmp_path)).collect()}
+    n = len(passage.encode())
+    assert got[1] == got[2] == (n + 2, n + 1, True)  # n_bytes is the input's, the blank before repeats too
+    assert got[3] == got[4] == (301, 0, False)
