@@ -120,3 +120,30 @@ def test_a_tile_of_two_full_blocks_stays_small():
     tracemalloc.stop()
     assert peak < 100 << 20
     assert set(found["a"]) == set(range(1, len(sets))) and set(found["b"]) == {0}
+
+
+def test_edges_of_a_large_group_follow_its_size(spark, monkeypatch):
+    """Two blocks give one edge where each hangs together, not a forest of all their classes."""
+    monkeypatch.setattr(op, "BLOCK", 8)
+    op.ship(spark)
+    n = 120  # near copies: any two link
+    texts = [" ".join([f"w{k}" for k in range(59)] + [f"x{i}"]) for i in range(n)]
+    sets = list(op.shingle_sets(texts))
+    rows = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "_id string, _text string")
+    classes = spark.createDataFrame(
+        [(i, i, op.set_key(s).hex(), len(s)) for i, s in enumerate(sets)], "node bigint, rep bigint, cls string, n bigint"
+    )
+    many = spark.range(n).selectExpr("1L AS run", "id AS node")
+    so_far = spark.range(n).selectExpr("id AS node", "id AS component")
+    edges = op._tiled(rows, classes, many, so_far, op.WIDTH, op.PERCENT)
+    assert {r["component"] for r in op._together(so_far, edges).collect()} == {0}
+    assert edges.count() < n + 15 * 14 // 2
+
+
+def test_a_tile_leaves_out_links_within_a_component():
+    sets = [np.arange(20, dtype=np.uint64)] * 4
+    tile = pd.DataFrame({
+        "run": 1, "node": [5, 6, 7, 8], "n": 20, "tokens": [s.tobytes() for s in sets], "i": 0, "j": 0, "side": 0, "of": [2, 2, 7, 2],
+    })
+    assert op._tile_links(80)(tile).to_dict("list") == {"a": [7], "b": [2]}
+    assert op._tile_links(80)(tile.assign(of=2)).empty
