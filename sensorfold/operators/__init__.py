@@ -1,4 +1,4 @@
-from sensorfold.operators.cogroup import co_group, co_group_lists, co_group_only
+from sensorfold.operators.cogroup import co_group, co_group_columns, co_group_lists, co_group_only
 from sensorfold.operators.extract import (
     count_messages,
     extract_readings,
@@ -29,6 +29,7 @@ __all__ = [
     "agg_rows",
     "assign_window",
     "co_group",
+    "co_group_columns",
     "co_group_lists",
     "co_group_only",
     "comparison_from_readings",

@@ -32,8 +32,22 @@ def co_group_only(
     Keeps a count and one value per tag, so the state per key has a fixed size and combines
     before the shuffle, however often a key occurs.
     """
+    return _only(_stack(inputs, keys, value), list(inputs), keys)
+
+
+def co_group_columns(df: DataFrame, keys: Sequence[str], tags: Sequence[str]) -> DataFrame:
+    """``co_group_only`` of inputs that stand side by side, as the columns ``tags`` of one.
+
+    What ``df`` comes from is computed once, not once per tag.
+    """
+    each = [F.struct(F.lit(tag).alias("tag"), *[(F.col(t) if t == tag else F.lit(None).cast(df.schema[t].dataType)).alias(t) for t in tags]) for tag in tags]
+    stacked = df.select(*keys, F.explode(F.array(*each)).alias("_each")).select(*keys, "_each.*")
+    return _only(stacked, tags, keys)
+
+
+def _only(stacked: DataFrame, tags: Sequence[str], keys: Sequence[str]) -> DataFrame:
     aggregates = []
-    for tag in inputs:
+    for tag in tags:
         here = F.col("tag") == tag
         aggregates.append(
             F.struct(
@@ -41,7 +55,7 @@ def co_group_only(
                 F.any_value(F.when(here, F.col(tag)), True).alias("only"),
             ).alias(f"_{tag}")
         )
-    grouped = _stack(inputs, keys, value).groupBy(*keys).agg(*aggregates)
+    grouped = stacked.groupBy(*keys).agg(*aggregates)
     checked = [
         F.when(F.col(f"_{tag}.n") == 1, F.col(f"_{tag}.only"))
         .otherwise(
@@ -53,7 +67,7 @@ def co_group_only(
             )
         )
         .alias(tag)
-        for tag in inputs
+        for tag in tags
     ]
     return grouped.select(*keys, *checked)
 

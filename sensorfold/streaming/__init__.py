@@ -1,6 +1,7 @@
 from sensorfold.streaming.jobs import (
     clock_heartbeats,
     closed_co_group,
+    closed_co_group_columns,
     closed_until,
     closed_windows,
     in_time,
@@ -18,6 +19,7 @@ from sensorfold.streaming.jobs import (
 __all__ = [
     "clock_heartbeats",
     "closed_co_group",
+    "closed_co_group_columns",
     "closed_until",
     "closed_windows",
     "in_time",

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sensorfold.operators.cogroup import co_group_only
+from sensorfold.operators.cogroup import co_group_columns, co_group_only
 from sensorfold.operators.extract import extract_readings, observed, parse_messages
 from sensorfold.operators.rows import agg_rows, raw_rows
 from sensorfold.operators.windows import windowed_stats
@@ -241,6 +241,16 @@ def closed_co_group(
     return co_group_only(again, ["window", "measure"], value)
 
 
+def closed_co_group_columns(aggregates: DataFrame, tags: Sequence[str], duration: str = DEFAULT_WINDOW) -> DataFrame:
+    """``closed_co_group`` of several aggregates of one stream, which are the columns ``tags``.
+
+    The stream is read, parsed and aggregated once: of each input a query reads by itself, it
+    would do so again.
+    """
+    again = aggregates.select(F.window("window", duration).alias("window"), "measure", *tags)
+    return co_group_columns(again, ["window", "measure"], tags)
+
+
 def start_pair(
     messages: DataFrame,
     raw_table: str,

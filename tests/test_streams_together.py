@@ -14,6 +14,7 @@ from sensorfold.sources import commit_rows, ensure_table, stored_rows
 from sensorfold.streaming import (
     clock_heartbeats,
     closed_co_group,
+    closed_co_group_columns,
     closed_until,
     start_aggregate,
     start_pair,
@@ -84,6 +85,27 @@ def test_co_group_of_streams_wants_every_tag(spark, topic, tmp_path):
         wait_all([query])
 
 
+def test_co_group_of_one_stream_reads_it_once(spark, topic, tmp_path):
+    out = fresh()
+    spark.sql(f"CREATE TABLE {out} (start TIMESTAMP, measure STRING, max INT, min INT, avg FLOAT, cnt BIGINT, _watermark BIGINT, _writer STRING, _batch BIGINT) "
+              "USING parquet PARTITIONED BY (_watermark, _writer, _batch)")
+    tags = ["max", "min", "avg", "cnt"]
+    read = 0
+    for i in range(4):
+        topic.publish(quarter(spark, i))
+        stats = windowed_stats(watched(extract_readings(topic.read())), "1 hour")
+        rows = closed_co_group_columns(stats, tags, "1 hour").select("window.start", "measure", *tags)
+        query = start_rows(rows, out, f"{tmp_path}/c", NOW)
+        wait_all([query])
+        read += sum(p["numInputRows"] for p in query.recentProgress)
+    messages = topic.read(streaming=False)
+    assert read == messages.count()
+    readings = extract_readings(messages)
+    newest = readings.agg(F.max("publish_ts")).first()[0]
+    want = windowed_stats(readings, "1 hour").where(F.col("window.end") <= F.lit(newest))
+    same(stored_rows(spark, out), want.select("window.start", "measure", *tags))
+
+
 # --- heartbeats -----------------------------------------------------------------------
 
 
