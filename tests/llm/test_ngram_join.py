@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from sensorfold.llm import common
 from sensorfold.llm import op7_ngram_join as op
 from sensorfold.llm.op7_ngram_join import keep_one, similar_documents
 
@@ -147,3 +148,29 @@ def test_a_tile_leaves_out_links_within_a_component():
     })
     assert op._tile_links(80)(tile).to_dict("list") == {"a": [7], "b": [2]}
     assert op._tile_links(80)(tile.assign(of=2)).empty
+
+
+@pytest.mark.parametrize("rows", [1 << 14, 4])
+def test_rounds_of_few_edges_take_few_tasks(spark, monkeypatch, rows):
+    """A chain, a star, a null and a loop over many shuffle partitions, which AQE is not to merge."""
+    monkeypatch.setattr(common, "ROUND_ROWS", rows)
+    edges = [(k, k + 1) for k in range(9)] + [(30, k) for k in range(31, 60)] + [(1, None), (70, 70)]
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    context = spark.sparkContext
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        context.setJobGroup(f"few-edges-{rows}", "components of few edges")
+        got = common.components(spark.range(75).toDF("node"), spark.createDataFrame(edges, "a long, b long")).collect()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    want = {k: 0 if k < 10 else 30 if 30 <= k < 60 else k for k in range(75)}
+    assert {r["node"]: r["component"] for r in got} == want
+    status = context.statusTracker()
+    stages = {s for j in status.getJobIdsForGroup(f"few-edges-{rows}") for s in status.getJobInfo(j).stageIds}
+    tasks = sum(x.numCompletedTasks for s in stages if (x := status.getStageInfo(s)))
+    if rows > len(edges):
+        assert tasks < 2_000
