@@ -150,6 +150,46 @@ def test_a_tile_leaves_out_links_within_a_component():
     assert op._tile_links(80)(tile.assign(of=2)).empty
 
 
+def test_sets_take_few_bytes_on_their_way(spark, monkeypatch):
+    """Sets move once to be settled, in fewer bytes than their tokens, and what brought them goes before pairs are made."""
+    r = random.Random(3)
+    texts = [" ".join(r.choice(["the", "of", "and", f"word{r.randrange(500)}"]) for _ in range(400)) for _ in range(40)]
+    texts += [" ".join("".join(map(chr, r.choices(range(0x4E00, 0x9000), k=60))) for _ in range(9)), "One", "é \ud800 x y z"]
+    op.ship(spark)
+    sets = list(op.shingle_sets(texts))
+    wrapped = [op._wrapped(t, s) for t, s in zip(texts, sets, strict=True)]
+    assert all(np.array_equal(x, y) for x, y in zip(op._unwrapped(wrapped, op.WIDTH), sets, strict=True))
+    assert all(len(w) <= 8 * len(s) + 1 for w, s in zip(wrapped, sets, strict=True))
+    texts, sets = texts[:-1], sets[:-1]  # no lone surrogates in a table
+    rows = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)] * 2, "_id string, _text string")
+    classes = spark.createDataFrame(
+        [(i, i, op.set_key(s).hex(), len(s)) for i, s in enumerate(sets)], "node bigint, rep bigint, cls string, n bigint"
+    )
+    made, real = [], op.settled
+
+    def settled(df):
+        name = next((f.name for f in df.schema if f.dataType.simpleString() == "binary"), None)
+        out = real(df)
+        if name:
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            made.append((plan, out.selectExpr(f"sum(octet_length({name}))", "sum(n)").first()))
+        return out
+
+    monkeypatch.setattr(op, "settled", settled)
+    monkeypatch.setattr(op, "forget", lambda spark: made.append("forget"))
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        pairs = spark.range(len(texts)).selectExpr("id AS a", "(id + 1) % 42 AS b")
+        assert op._verified(rows, classes, pairs, op.WIDTH, op.PERCENT).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    (plan, (size, tokens)), then = made[-2:]
+    assert then == "forget"
+    assert size < 8 * tokens / 2
+    assert plan.split("== Initial Plan ==")[0].count("Exchange hashpartitioning") == 2  # one for each side of the join
+
+
 @pytest.mark.parametrize("rows", [1 << 14, 4])
 def test_rounds_of_few_edges_take_few_tasks(spark, monkeypatch, rows):
     """A chain, a star, a null and a loop over many shuffle partitions, which AQE is not to merge."""
